@@ -47,8 +47,8 @@ def interval_join(
     def cell(time: Column) -> Column:
         return F.floor(F.unix_micros(time) / width)
 
-    lo = F.lit(lower).cast("interval day to second")
-    hi = F.lit(upper).cast("interval day to second")
+    lo = F.lit(lower)
+    hi = F.lit(upper)
     lt, rt = F.col(left_time), F.col(right_time)
     first, last = cell(lt + lo), cell(lt + hi)
     cells = F.when(first == last, F.array(first)).otherwise(F.array(first, last))
@@ -89,17 +89,38 @@ def join_branch(left_key: str, right_key: str) -> Column:
     )
 
 
-def sale_details(orders: DataFrame, details: DataFrame) -> DataFrame:
-    """Orders with their details, however far apart they arrive; each pair once."""
+def sale_details(
+    orders: DataFrame,
+    details: DataFrame,
+    order_time: str | None = None,
+    detail_time: str | None = None,
+    wait: timedelta | None = None,
+) -> DataFrame:
+    """Orders with their details, however far apart they arrive; each pair once.
+
+    On streams name the two watermarked time columns and the longest ``wait``
+    between them, which bounds the state.
+    """
+    times = [F.col(order_time).alias("_ordered")] if order_time else []
     orders = orders.select(
         F.col("id").alias("order_id"), "order_status", "create_time", "user_id",
-        F.col("create_date").alias("dt"),
+        F.col("create_date").alias("dt"), *times,
     )
+    times = [F.col(detail_time).alias("_detailed")] if detail_time else []
     details = details.select(
         F.col("id").alias("order_detail_id"), F.col("order_id").alias("_order"), "sku_id", "sku_name",
-        F.col("order_price").try_cast("decimal(16,2)").alias("sku_price"),
+        F.col("order_price").try_cast("decimal(16,2)").alias("sku_price"), *times,
     )
-    return details.join(orders, F.col("_order") == F.col("order_id"), "inner").drop("_order")
+    same = F.col("_order") == F.col("order_id")
+    if wait is not None:
+        same = same & within(F.col("_detailed"), F.col("_ordered"), wait)
+    return details.join(orders, same, "inner").drop("_order", "_ordered", "_detailed")
+
+
+def within(time: Column, other: Column, wait: timedelta) -> Column:
+    """``time`` is at most ``wait`` away from ``other``."""
+    span = F.lit(wait)
+    return (time >= other - span) & (time <= other + span)
 
 
 def with_sale_user(sales: DataFrame, users: DataFrame, as_of: str | Column) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,19 +26,19 @@ def parse_json(lines: DataFrame, schema: T.StructType, value: str = "value") ->
         T.StructType([*schema.fields, T.StructField(broken, T.StringType())]),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken},
     )
-    rows = lines.select(
-        F.col(value), F.inline_outer(F.array(F.struct(parsed.alias("record"))))
-    )
+    rows = lines.select("*", F.inline(F.array(F.struct(parsed.alias("record")))))
     is_object = F.ltrim(F.col(value)).startswith("{")
     return rows.withColumn(
         _DIRTY, ~F.coalesce(is_object & F.col(f"record.{broken}").isNull(), F.lit(False))
     )
 
 
-def parse_clean(lines: DataFrame, schema: T.StructType = LOG_LINE, value: str = "value") -> DataFrame:
-    """Fields of the well-formed lines."""
+def parse_clean(
+    lines: DataFrame, schema: T.StructType = LOG_LINE, value: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Fields of the well-formed lines, with the columns of ``lines`` named in ``keep``."""
     rows = parse_json(lines, schema, value).where(~F.col(_DIRTY))
-    return rows.select(*[F.col(f"record.{f.name}") for f in schema.fields])
+    return rows.select(*[F.col(f"record.{f.name}") for f in schema.fields], *keep)
 
 
 def parse_dirty(lines: DataFrame, schema: T.StructType = LOG_LINE, value: str = "value") -> DataFrame:
@@ -91,10 +93,15 @@ def starts_session(last_page: str = "page.last_page_id") -> Column:
     return F.col(last_page).isNull()
 
 
-def keyword_searches(pages: DataFrame) -> DataFrame:
-    """Search texts: result pages reached from the search page by a keyword."""
-    return pages.where(
+def is_keyword_search() -> Column:
+    """A result page reached from the search page by a keyword."""
+    return (
         (F.col("page.last_page_id") == "search")
         & (F.col("page.item_type") == "keyword")
         & F.col("page.item").isNotNull()
-    ).select(F.col("page.item").alias("fullword"), "ts")
+    )
+
+
+def keyword_searches(pages: DataFrame) -> DataFrame:
+    """Search texts and their times."""
+    return pages.where(is_keyword_search()).select(F.col("page.item").alias("fullword"), "ts")

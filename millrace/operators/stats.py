@@ -9,7 +9,7 @@ the windows open.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,7 +20,7 @@ from millrace.functions.moments import (
     event_time, from_millis, from_millis_whole_seconds, with_window_bounds,
 )
 from millrace.functions.text import tokenize
-from millrace.operators.logs import keyword_searches, starts_session
+from millrace.operators.logs import is_keyword_search, starts_session
 
 WINDOW = "10 seconds"
 
@@ -100,14 +100,25 @@ def product_rows(
     return _watermarked(rows, "event_time", delay)
 
 
-def click_rows(pages: DataFrame, delay: str | None = None) -> DataFrame:
-    clicks = pages.where((F.col("page.page_id") == "good_detail") & (F.col("page.item_type") == "sku_id"))
-    return product_rows(clicks.select("page.item", "ts"), "item", from_millis("ts"), delay, click_ct=F.lit(1))
+def page_rows(pages: DataFrame, delay: str | None = None) -> DataFrame:
+    """Clicks (a product's detail page) and displays of products, in one pass.
 
-
-def display_rows(pages: DataFrame, delay: str | None = None) -> DataFrame:
-    shown = pages.select("ts", F.inline("displays")).where(F.col("item_type") == "sku_id")
-    return product_rows(shown, "item", from_millis("ts"), delay, display_ct=F.lit(1))
+    The watermark sits on all pages, so it moves even while nothing is clicked.
+    """
+    item = lambda value, kind: F.struct(value.alias("item"), F.lit(kind).alias("kind"))
+    clicked = (F.col("page.page_id") == "good_detail") & (F.col("page.item_type") == "sku_id")
+    click = F.array(item(F.col("page.item"), "click"))
+    shown = F.filter(F.coalesce("displays", F.array()), lambda d: d["item_type"] == "sku_id")
+    display = F.transform(shown, lambda d: item(d["item"], "display"))
+    rows = pages.withColumn("event_time", from_millis("ts"))
+    rows = _watermarked(rows, "event_time", delay).select(
+        "event_time", F.inline_outer(F.concat(F.when(clicked, click).otherwise(F.array_repeat(click[0], 0)), display))
+    )
+    one = lambda kind: (F.col("kind") == kind).cast("long")
+    return product_rows(
+        rows.where(F.col("kind").isNotNull()), "item", F.col("event_time"),
+        click_ct=one("click"), display_ct=one("display"),
+    )
 
 
 def favor_rows(favors: DataFrame, delay: str | None = None) -> DataFrame:
@@ -165,21 +176,33 @@ def product_stats(rows: Iterable[DataFrame], window: str = WINDOW) -> DataFrame:
 
 # -- provinces --------------------------------------------------------------
 
-_PROVINCE_KEYS = [
+PROVINCE_KEYS = [
     "province_id", "province_name", "province_area_code", "province_iso_code", "province_3166_2_code",
 ]
 
 
 def province_stats(
-    wide: DataFrame, window: str = WINDOW, delay: str | None = None, amount: str = "split_total_amount"
+    wide: DataFrame,
+    window: str = WINDOW,
+    delay: str | None = None,
+    amount: str = "split_total_amount",
+    keys: Sequence[str] = PROVINCE_KEYS,
 ) -> DataFrame:
-    """Amount and distinct orders per province."""
-    rows = _watermarked(wide.withColumn("event_time", event_time(wide, "create_time")), "event_time", delay)
-    per_order = rows.groupBy(F.window("event_time", window), *_PROVINCE_KEYS, "order_id").agg(
+    """Amount and distinct orders per province.
+
+    A ``event_time`` column, as :func:`order_wide` gives it, is used as it is;
+    otherwise the time is read from ``create_time`` under the watermark ``delay``.
+    With ``keys=["province_id"]`` the names can be joined to the result instead
+    of to every order line.
+    """
+    rows = wide
+    if "event_time" not in wide.columns:
+        rows = _watermarked(wide.withColumn("event_time", event_time(wide, "create_time")), "event_time", delay)
+    per_order = rows.groupBy(F.window("event_time", window), *keys, "order_id").agg(
         F.sum(F.col(amount).cast("decimal(16,2)")).alias("order_amount"),
         F.max(F.unix_millis("event_time")).alias("ts"),
     )
-    stats = per_order.groupBy("window", *_PROVINCE_KEYS).agg(
+    stats = per_order.groupBy("window", *keys).agg(
         F.sum("order_amount").alias("order_amount"),
         F.count("order_id").alias("order_count"),
         F.max("ts").alias("ts"),
@@ -197,9 +220,13 @@ def keyword_stats(
     words: Iterable[str] = (),
 ) -> DataFrame:
     """How often each word of the search texts was searched."""
-    searches = keyword_searches(pages).withColumn("event_time", from_millis_whole_seconds("ts"))
-    searches = _watermarked(searches, "event_time", delay)
-    found = searches.select("event_time", "ts", F.explode(tokenize("fullword", words)).alias("keyword"))
+    rows = pages.withColumn("event_time", from_millis_whole_seconds("ts"))
+    # On a stream the watermark is on all pages, so that windows close while nobody
+    # searches; in batch the filter comes first and can reach the files.
+    rows = rows.withWatermark("event_time", delay) if delay else rows.where(is_keyword_search())
+    text = F.when(is_keyword_search(), F.col("page.item"))
+    found = rows.select("event_time", "ts", F.explode_outer(tokenize(text, words)).alias("keyword"))
+    found = found.where(F.col("keyword").isNotNull())
     stats = found.groupBy(F.window("event_time", window), "keyword").agg(
         F.count("*").alias("ct"), F.max("ts").alias("ts")
     )

@@ -13,7 +13,7 @@ from millrace.operators.joins import DimSpec, enrich
 from millrace.plans.inputs import AS_OF, DIMS_SQL, PAGES_SQL, USER_SQL, Tables
 from millrace.plans.registry import query
 from millrace.plans.visit_queries import _pages
-from millrace.schemas import PRODUCT_STATS_COLUMNS
+from millrace.schemas import PRODUCT_STATS_COLUMNS, PROVINCE_STATS_COLUMNS
 
 # Order and ship dates are midnights, so the bounds are days instead of seconds.
 _BOUNDS = {"lower": timedelta(days=-5), "upper": timedelta(days=5)}
@@ -214,14 +214,15 @@ def _bucket(time: str, extra: str = "") -> str:
     return f"strftime(time_bucket(INTERVAL 30 DAY, {time}, TIMESTAMP '1970-01-01'){extra}, '{_DATE}')"
 
 
-def province_wide(t: Tables):
-    """All order lines with their order and province (no time bound)."""
+def province_lines(t: Tables):
+    """All order lines with their order and province id (no time bound)."""
     order = t.orders().select(
         F.col("id").alias("order_id"), "user_id", "create_time",
     )
     lines = t.details().select(F.col("order_id").alias("_order"), "split_total_amount")
     wide = lines.join(order, F.col("_order") == F.col("order_id")).drop("_order")
-    return enrich(wide, t.dims(), _order_dims()[:2])
+    user = DimSpec("user", "user_id", {"province_id": "PROVINCE_ID"})
+    return enrich(wide, t.dims(), [user])
 
 
 @query("province_stats", f"""
@@ -234,7 +235,9 @@ def province_wide(t: Tables):
     JOIN provinces ON province_id = province
     GROUP BY ALL""")
 def province_stats(t: Tables):
-    return stats.province_stats(province_wide(t), "30 days")
+    # The province names are joined to the finished rows, not to every line.
+    rows = stats.province_stats(province_lines(t), "30 days", keys=["province_id"])
+    return enrich(rows, t.dims(), [_order_dims()[1]]).select(*PROVINCE_STATS_COLUMNS)
 
 
 def product_sources(t: Tables) -> list:
@@ -250,8 +253,7 @@ def product_sources(t: Tables) -> list:
         F.when(F.col("l_linestatus") == "F", "1201").otherwise("1202").alias("appraise"),
     )
     return [
-        stats.click_rows(pages),
-        stats.display_rows(pages),
+        stats.page_rows(pages),
         stats.favor_rows(touched.where(kind == "view")),
         stats.cart_rows(touched.where(kind == "purchase")),
         stats.order_rows(placed),

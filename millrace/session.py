@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Settings every job wants.  Nothing here depends on the data size: partition
-# counts start high and AQE coalesces them, skewed join partitions are split,
-# and a side is broadcast only when its measured size is below the threshold.
+# Settings every job wants, whatever the data size: AQE coalesces shuffle
+# partitions and splits skewed join partitions.  No operator forces a broadcast:
+# a side is broadcast when its files are below the first threshold, or when its
+# size measured after a shuffle is below the second.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

@@ -1,0 +1,98 @@
+import json
+
+from millrace.operators import changes
+from millrace.schemas import ROUTE
+from tests.conftest import rows
+
+
+def change(table, op, data=None, before=None, **extra):
+    record = {"database": "shop", "tableName": table, "type": op, **extra}
+    if data is not None:
+        record["data"] = data
+    if before is not None:
+        record["before"] = before
+    return json.dumps(record)
+
+
+def test_connector_record(spark):
+    df = spark.createDataFrame(
+        [
+            ("src.shop.user_info", json.dumps({"op": "CREATE", "after": {"id": 1, "name": "a"}})),
+            ("src.shop.user_info", json.dumps({"op": "DELETE", "before": {"id": 1}})),
+            ("src.shop.user_info", json.dumps({"op": "Update", "before": {"id": 1}, "after": {"id": 2}})),
+        ],
+        "topic string, value string",
+    )
+    got = {(r.database, r.tableName, r.type): (r.data, r.before) for r in changes.decode_connect(df).collect()}
+    assert got == {
+        ("shop", "user_info", "insert"): ({"id": "1", "name": "a"}, {}),
+        ("shop", "user_info", "delete"): ({}, {"id": "1"}),
+        ("shop", "user_info", "update"): ({"id": "2"}, {"id": "1"}),
+    }
+
+
+def test_filter_keeps_the_empty_image_of_a_delete(lines):
+    df = lines(
+        change("t", "insert", {"id": "1"}), change("t", "delete", {}, {"id": "1"}), change("t", "read"),
+        '{"data": null}', "garbage", "",
+    )
+    kept = changes.with_after_image(changes.parse_changes(df))
+    assert rows(kept, "type") == [("delete",), ("insert",)]
+
+
+def test_static_routes(lines):
+    df = lines(
+        change("order_info", "INSERT", {"id": "1"}), change("order_info", "UPDATE", {"id": "2"}),
+        change("order_detail", "INSERT", {"id": "3"}), change("user_info", "UPDATE", {"id": "4"}),
+        change("user_info", "DELETE", {"id": "5"}), change("other", "INSERT", {"id": "6"}),
+    )
+    got = rows(changes.route_static(changes.parse_changes(df)), "topic", "value")
+    assert got == [("order_detail", '{"id":"3"}'), ("order_info", '{"id":"1"}'), ("user_info", '{"id":"4"}')]
+
+
+def routes(spark, *configured):
+    return spark.createDataFrame(list(configured), ROUTE)
+
+
+def test_configured_routes(spark, lines):
+    table = routes(
+        spark,
+        ("order_info", "insert", "kafka", "dwd_order_info", "id,user_id", None, None),
+        ("base_trademark", "insert", "hbase", "dim_base_trademark", "id, tm_name", "id", "x"),
+        ("stats", "insert", "clickhouse", "nowhere", "id", "id", ""),
+    )
+    df = lines(
+        change("order_info", "insert", {"id": "1", "user_id": "2", "secret": "s"}),
+        change("base_trademark", "insert", {"id": "1", "tm_name": "acme", "logo": "x"}),
+        change("stats", "insert", {"id": "1"}), change("order_info", "update", {"id": "1"}),
+        change("unknown", "insert", {"id": "1"}),
+    )
+    routed = changes.route_by_config(changes.parse_changes(df), table)
+    fact, = changes.facts(routed).collect()
+    assert (fact.sinkTable, fact.data, fact.sinkPk, fact.sinkExtend) == (
+        "dwd_order_info", {"id": "1", "user_id": "2"}, "id", "",
+    )
+    dim, = changes.dims(routed).collect()
+    # Names in the column list are exact: " tm_name" is not "tm_name".
+    assert (dim.sinkTable, dim.data) == ("dim_base_trademark", {"id": "1"})
+
+
+def test_current_routes_follow_updates_and_deletes(spark):
+    def row(seq, op, table, sink, image="data"):
+        m = {"sourceTable": table, "operateType": "insert", "sinkTable": sink}
+        return (seq, op, m if image == "data" else {}, m if image == "before" else {})
+
+    df = spark.createDataFrame(
+        [
+            row(1, "read", "a", "a1"), row(2, "update", "a", "a2"), row(3, "insert", "b", "b1"),
+            row(4, "delete", "b", "b1", "before"), row(5, "insert", "c", "c1"),
+        ],
+        "seq long, type string, data map<string,string>, before map<string,string>",
+    )
+    assert rows(changes.current_routes(df), "sourceTable", "sinkTable") == [("a", "a2"), ("c", "c1")]
+
+
+def test_dim_schema():
+    schema = changes.dim_schema("id,name", None)
+    assert [(f.name, f.nullable) for f in schema] == [("id", False), ("name", True)]
+    assert [f.nullable for f in changes.dim_schema("id,name", "name")] == [True, False]
