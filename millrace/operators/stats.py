@@ -69,34 +69,35 @@ def visitor_stats(
 
 # -- products ---------------------------------------------------------------
 
-_PRODUCT_SUMS = {
-    "display_ct": "long", "click_ct": "long", "favor_ct": "long", "cart_ct": "long",
-    "order_sku_num": "long", "order_amount": "decimal(16,2)", "payment_amount": "decimal(16,2)",
-    "refund_amount": "decimal(16,2)", "comment_ct": "long", "good_comment_ct": "long",
+# What a product row can be.  Each kind of row carries at most one number and one
+# amount, so rows stay narrow until the last aggregation.
+_ROW_COUNTS = {
+    "display_ct": "display", "click_ct": "click", "favor_ct": "favor", "cart_ct": "cart", "comment_ct": "comment",
 }
-_ORDER_COUNTS = ["order_ct", "paid_order_ct", "refund_order_ct"]
+_NUMBER_SUMS = {"order_sku_num": "order", "good_comment_ct": "comment"}
+_AMOUNT_SUMS = {"order_amount": "order", "payment_amount": "payment", "refund_amount": "refund"}
+_ORDER_COUNTS = {"order_ct": "order", "paid_order_ct": "payment", "refund_order_ct": "refund"}
 
 
 def product_rows(
     df: DataFrame,
+    kind: str | Column,
     sku: str,
     time: Column,
     delay: str | None = None,
-    counted: str | None = None,
     order: str | None = None,
-    **sums: Column,
+    number: Column | None = None,
+    amount: Column | None = None,
 ) -> DataFrame:
-    """Project one source onto the product statistics row.
-
-    ``counted`` names the order count this source feeds and ``order`` its order id.
-    """
+    """Project one source onto the product row: kind, sku, time, order id, number, amount."""
     rows = df.select(
         time.alias("event_time"),
         F.col(sku).try_cast("long").alias("sku_id"),
-        F.lit(counted).cast("string").alias("counted"),
-        (F.col(order).cast("long") if order else F.lit(None).cast("long")).alias("order_id"),
-        *[F.coalesce(sums.get(n, F.lit(0)), F.lit(0)).cast(t).alias(n) for n, t in _PRODUCT_SUMS.items()],
-    ).withColumn("ts", F.unix_millis("event_time"))
+        (F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
+        (F.col(order) if order else F.lit(None)).cast("long").alias("order_id"),
+        F.lit(0 if number is None else number).cast("long").alias("number"),
+        F.lit(0 if amount is None else amount).cast("decimal(16,2)").alias("amount"),
+    )
     return _watermarked(rows, "event_time", delay)
 
 
@@ -107,68 +108,69 @@ def page_rows(pages: DataFrame, delay: str | None = None) -> DataFrame:
     """
     item = lambda value, kind: F.struct(value.alias("item"), F.lit(kind).alias("kind"))
     clicked = (F.col("page.page_id") == "good_detail") & (F.col("page.item_type") == "sku_id")
-    click = F.array(item(F.col("page.item"), "click"))
+    click = F.filter(F.array(item(F.col("page.item"), "click")), lambda _: clicked)
     shown = F.filter(F.coalesce("displays", F.array()), lambda d: d["item_type"] == "sku_id")
     display = F.transform(shown, lambda d: item(d["item"], "display"))
     rows = pages.withColumn("event_time", from_millis("ts"))
-    rows = _watermarked(rows, "event_time", delay).select(
-        "event_time", F.inline_outer(F.concat(F.when(clicked, click).otherwise(F.array_repeat(click[0], 0)), display))
-    )
-    one = lambda kind: (F.col("kind") == kind).cast("long")
-    return product_rows(
-        rows.where(F.col("kind").isNotNull()), "item", F.col("event_time"),
-        click_ct=one("click"), display_ct=one("display"),
-    )
+    rows = _watermarked(rows, "event_time", delay).select("event_time", F.inline_outer(F.concat(click, display)))
+    return product_rows(rows.where(F.col("kind").isNotNull()), F.col("kind"), "item", F.col("event_time"))
 
 
 def favor_rows(favors: DataFrame, delay: str | None = None) -> DataFrame:
-    return product_rows(favors, "sku_id", event_time(favors, "create_time"), delay, favor_ct=F.lit(1))
+    return product_rows(favors, "favor", "sku_id", event_time(favors, "create_time"), delay)
 
 
 def cart_rows(carts: DataFrame, delay: str | None = None) -> DataFrame:
-    return product_rows(carts, "sku_id", event_time(carts, "create_time"), delay, cart_ct=F.lit(1))
+    return product_rows(carts, "cart", "sku_id", event_time(carts, "create_time"), delay)
 
 
 def order_rows(wide: DataFrame, delay: str | None = None, amount: str = "split_total_amount") -> DataFrame:
     """``amount`` is the detail's share; pass ``total_amount`` to count the whole order per detail."""
     return product_rows(
-        wide, "sku_id", event_time(wide, "create_time"), delay, "order_ct", "order_id",
-        order_sku_num=F.col("sku_num"), order_amount=F.col(amount),
+        wide, "order", "sku_id", event_time(wide, "create_time"), delay, "order_id", F.col("sku_num"), F.col(amount)
     )
 
 
 def payment_rows(paid: DataFrame, delay: str | None = None, amount: str = "split_total_amount") -> DataFrame:
     return product_rows(
-        paid, "sku_id", event_time(paid, "payment_create_time"), delay, "paid_order_ct", "order_id",
-        payment_amount=F.col(amount),
+        paid, "payment", "sku_id", event_time(paid, "payment_create_time"), delay, "order_id", amount=F.col(amount)
     )
 
 
 def refund_rows(refunds: DataFrame, delay: str | None = None) -> DataFrame:
     return product_rows(
-        refunds, "sku_id", event_time(refunds, "create_time"), delay, "refund_order_ct", "order_id",
-        refund_amount=F.col("refund_amount"),
+        refunds, "refund", "sku_id", event_time(refunds, "create_time"), delay, "order_id",
+        amount=F.col("refund_amount"),
     )
 
 
 def comment_rows(comments: DataFrame, delay: str | None = None) -> DataFrame:
     good = F.when(F.col("appraise") == APPRAISE_GOOD, 1).otherwise(0)
-    return product_rows(
-        comments, "sku_id", event_time(comments, "create_time"), delay, comment_ct=F.lit(1), good_comment_ct=good
-    )
+    return product_rows(comments, "comment", "sku_id", event_time(comments, "create_time"), delay, number=good)
 
 
 def product_stats(rows: Iterable[DataFrame], window: str = WINDOW) -> DataFrame:
     """Sums and exact distinct order counts per sku; join dimensions afterwards."""
     per_order = (
         _union(rows)
-        .groupBy(F.window("event_time", window), "sku_id", "counted", "order_id")
-        .agg(*[F.sum(n).alias(n) for n in _PRODUCT_SUMS], F.max("ts").alias("ts"))
+        .groupBy(F.window("event_time", window), "sku_id", "kind", "order_id")
+        .agg(
+            F.count("*").alias("ct"), F.sum("number").alias("number"), F.sum("amount").alias("amount"),
+            F.max(F.unix_millis("event_time")).alias("ts"),
+        )
     )
-    seen = F.col("order_id").isNotNull()
+
+    def total(column: Column, kinds: dict[str, str]) -> list[Column]:
+        return [
+            F.coalesce(F.sum(F.when(F.col("kind") == kind, column)), F.lit(0)).alias(name)
+            for name, kind in kinds.items()
+        ]
+
     stats = per_order.groupBy("window", "sku_id").agg(
-        *[F.sum(n).alias(n) for n in _PRODUCT_SUMS],
-        *[F.count(F.when(seen & (F.col("counted") == n), 1)).alias(n) for n in _ORDER_COUNTS],
+        *total(F.col("ct"), _ROW_COUNTS),
+        *total(F.col("number"), _NUMBER_SUMS),
+        *total(F.col("amount"), _AMOUNT_SUMS),
+        *[F.count(F.when(F.col("kind") == kind, F.col("order_id"))).alias(n) for n, kind in _ORDER_COUNTS.items()],
         F.max("ts").alias("ts"),
     )
     return with_window_bounds(stats)

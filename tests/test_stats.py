@@ -59,7 +59,7 @@ def test_clicks_and_displays(spark):
          (("good_detail", "activity_id", "4"), None, T), (("home", "sku_id", "5"), [], T)],
         "page struct<page_id string, item_type string, item string>, displays array<struct<item string, item_type string>>, ts long",
     )
-    assert rows(stats.page_rows(pages), "sku_id", "click_ct", "display_ct") == [(3, 1, 0), (7, 0, 1)]
+    assert rows(stats.page_rows(pages), "sku_id", "kind") == [(3, "click"), (7, "display")]
 
 
 def test_province_stats(spark):
