@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.moments import age_in_years
 
-_CELL, _KEY = "_cell", "_key"
+_CELL, _KEY, _SALT = "_cell", "_key", "_salt"
 
 
 def _micros(span: timedelta) -> int:
@@ -29,6 +29,7 @@ def interval_join(
     lower: timedelta,
     upper: timedelta,
     cells_per_span: int = 4,
+    salts: int = 1,
 ) -> DataFrame:
     """Inner join on key with ``right_time`` in ``[left_time + lower, left_time + upper]``.
 
@@ -38,6 +39,9 @@ def interval_join(
     A left row is copied to the (at most two) cells its interval touches, a right
     row is in exactly one, so each pair is found once.  Works on streams whose
     time columns carry watermarks.
+
+    ``salts`` spreads a key that is hot on the right side over that many tasks, at
+    the price of as many copies of the left side.  In batch AQE does this by itself.
     """
     span = _micros(upper - lower)
     if span < 0:
@@ -55,15 +59,26 @@ def interval_join(
     left = left.select("*", F.explode(cells).alias(_CELL))
     right = right.select("*", F.col(right_key).alias(_KEY), cell(rt).alias(_CELL + "_r"))
     left = left.select("*", F.col(left_key).alias(_KEY + "_l"))
+    left, right, same_salt = salted(left, right, salts)
     matched = left.join(
         right,
         (F.col(_KEY + "_l") == F.col(_KEY))
         & (F.col(_CELL) == F.col(_CELL + "_r"))
+        & same_salt
         & (rt >= lt + lo)
         & (rt <= lt + hi),
         "inner",
     )
-    return matched.drop(_CELL, _CELL + "_r", _KEY, _KEY + "_l")
+    return matched.drop(_CELL, _CELL + "_r", _KEY, _KEY + "_l", _SALT, _SALT + "_r")
+
+
+def salted(left: DataFrame, right: DataFrame, salts: int) -> tuple[DataFrame, DataFrame, Column]:
+    """Deal the right rows out to ``salts`` copies of the left; the join condition to add."""
+    if salts == 1:
+        return left, right, F.lit(True)
+    left = left.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias(_SALT))
+    dealt = F.pmod(F.xxhash64(*right.columns), F.lit(salts)).cast("int")
+    return left, right.withColumn(_SALT + "_r", dealt), F.col(_SALT) == F.col(_SALT + "_r")
 
 
 def full_outer_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -95,11 +110,12 @@ def sale_details(
     order_time: str | None = None,
     detail_time: str | None = None,
     wait: timedelta | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """Orders with their details, however far apart they arrive; each pair once.
 
     On streams name the two watermarked time columns and the longest ``wait``
-    between them, which bounds the state.
+    between them, which bounds the state, and salt against a hot order.
     """
     times = [F.col(order_time).alias("_ordered")] if order_time else []
     orders = orders.select(
@@ -114,7 +130,9 @@ def sale_details(
     same = F.col("_order") == F.col("order_id")
     if wait is not None:
         same = same & within(F.col("_detailed"), F.col("_ordered"), wait)
-    return details.join(orders, same, "inner").drop("_order", "_ordered", "_detailed")
+    orders, details, same_salt = salted(orders, details, salts)
+    joined = details.join(orders, same & same_salt, "inner")
+    return joined.drop("_order", "_ordered", "_detailed", _SALT, _SALT + "_r")
 
 
 def within(time: Column, other: Column, wait: timedelta) -> Column:

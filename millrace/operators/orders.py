@@ -23,6 +23,9 @@ def with_event_time(df: DataFrame, text: str = "create_time", name: str = "event
     return df.withColumn(name, event_time(df, text))
 
 
+# A stream has no AQE to split a hot key.
+STREAM_SALTS = 4
+
 _FROM_ORDER = [
     "province_id", "order_status", "user_id", "total_amount", "activity_reduce_amount",
     "coupon_reduce_amount", "original_total_amount", "feight_fee", "expire_time", "create_time",
@@ -40,10 +43,12 @@ def order_wide(
     lower: timedelta = timedelta(seconds=-5),
     upper: timedelta = timedelta(seconds=5),
     delay: str | None = None,
+    salts: int | None = None,
 ) -> DataFrame:
     """Each order detail with its order, when created within the bounds of it.
 
-    ``delay`` sets the watermark of both sides for a streaming run.
+    ``delay`` sets the watermark of both sides for a streaming run, where the join
+    is salted against a hot order (see :func:`interval_join`).
     ``event_time`` of the result is the order's.
     """
     orders = with_event_time(with_create_parts(orders))
@@ -58,6 +63,7 @@ def order_wide(
     wide = interval_join(
         orders, details, left_key="order_id", right_key="_order", left_time="event_time",
         right_time="detail_time", lower=lower, upper=upper,
+        salts=salts or (STREAM_SALTS if delay else 1),
     )
     # No source record holds the freight share of a single detail.
     return wide.withColumn("split_feight_fee", F.lit(None).cast("decimal(16,2)")).drop("_order", "detail_time")
@@ -69,6 +75,7 @@ def payment_wide(
     lower: timedelta = timedelta(minutes=-15),
     upper: timedelta = timedelta(seconds=5),
     delay: str | None = None,
+    salts: int | None = None,
 ) -> DataFrame:
     """Each payment with the wide order rows created within its bounds.
 
@@ -89,6 +96,7 @@ def payment_wide(
     joined = interval_join(
         payments, wide, left_key="order_id", right_key="_order", left_time="payment_time",
         right_time="event_time", lower=lower, upper=upper,
+        salts=salts or (STREAM_SALTS if delay else 1),
     )
     return joined.drop("_order", "event_time")
 

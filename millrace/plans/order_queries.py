@@ -7,11 +7,12 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from millrace.functions.codes import code_label
+from millrace.functions.moments import from_millis_whole_seconds
 from millrace.functions.text import tokenize as words_of
-from millrace.operators import joins, orders, reports, search, stats
+from millrace.operators import joins, orders, reports, search, sql_stats, stats
 from millrace.operators.joins import DimSpec, enrich
 from millrace.plans.inputs import AS_OF, DIMS_SQL, PAGES_SQL, USER_SQL, Tables
-from millrace.plans.registry import query
+from millrace.plans.registry import SQL, query
 from millrace.plans.visit_queries import _pages
 from millrace.schemas import PRODUCT_STATS_COLUMNS, PROVINCE_STATS_COLUMNS
 
@@ -322,6 +323,20 @@ def keyword_stats(t: Tables):
     return stats.keyword_stats(t.search_pages(), "30 days").select("keyword", "ct", "source", "stt", "edt", "ts")
 
 
+@query("keyword_stats_sql", SQL["keyword_stats"])
+def keyword_stats_sql(t: Tables):
+    pages = t.search_pages().withColumn("event_time", from_millis_whole_seconds("ts"))
+    pages.createOrReplaceTempView("search_pages")
+    return sql_stats.keyword_stats(t.spark, "search_pages", "30 days")
+
+
+@query("province_stats_sql", SQL["province_stats"])
+def province_stats_sql(t: Tables):
+    wide = enrich(province_lines(t), t.dims(), [_order_dims()[1]])
+    wide.withColumnRenamed("create_time", "event_time").createOrReplaceTempView("province_lines")
+    return sql_stats.province_stats(t.spark, "province_lines", "30 days")
+
+
 @query("tokenize", """
     SELECT word, count(*) AS ct
     FROM (SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS word FROM documents)

@@ -37,9 +37,10 @@ def sale_details(
     detail_time: str,
     wait: timedelta = timedelta(days=1),
     delay: str = "10 minutes",
+    salts: int = 4,
 ) -> DataFrame:
     """Orders with details that arrive up to ``wait`` before or after them."""
     return joins.sale_details(
         orders.withWatermark(order_time, delay), details.withWatermark(detail_time, delay),
-        order_time, detail_time, wait,
+        order_time, detail_time, wait, salts,
     )

@@ -19,7 +19,21 @@ from millrace.operators.visits import TIE, look_ahead, with_log_time
 DAY = "1 day"
 
 
-def unique_visits(pages: DataFrame, delay: str = DAY) -> DataFrame:
+def first_seen(df: DataFrame, keys: list[str], delay: str, salts: int = 8) -> DataFrame:
+    """One row per key, the first to arrive, over a stream with ``event_time``.
+
+    Two steps: first one row per (key, salt), then one per key.  The rows of a busy
+    key are spread over ``salts`` tasks and only one per task goes on.  Which row of a
+    key comes first inside one micro-batch is left open.
+    """
+    rows = df.withWatermark("event_time", delay)
+    if salts > 1:
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
+        rows = rows.withColumn("_salt", salt).dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
+    return rows.dropDuplicatesWithinWatermark(keys)
+
+
+def unique_visits(pages: DataFrame, delay: str = DAY, salts: int = 8) -> DataFrame:
     """The first entry page of each device on each day, as it arrives.
 
     State is kept for ``delay`` behind the newest event; less than a day would
@@ -27,15 +41,13 @@ def unique_visits(pages: DataFrame, delay: str = DAY) -> DataFrame:
     """
     entries = pages.where(is_entry()).withColumn("event_time", from_millis("ts"))
     entries = entries.withColumn("visit_day", F.to_date("event_time"))
-    kept = entries.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["mid", "visit_day"])
-    return kept.drop("event_time", "visit_day")
+    return first_seen(entries, ["mid", "visit_day"], delay, salts).drop("event_time", "visit_day")
 
 
-def daily_actives(logs: DataFrame, delay: str = DAY) -> DataFrame:
+def daily_actives(logs: DataFrame, delay: str = DAY, salts: int = 8) -> DataFrame:
     """The first start-up log of each device on each day, across all batches."""
     dated = with_log_time(logs).withColumn("event_time", from_millis("ts"))
-    kept = dated.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["mid", "logDate"])
-    return kept.drop("event_time")
+    return first_seen(dated, ["mid", "logDate"], delay, salts).drop("event_time")
 
 
 def throttled(alerts: DataFrame, delay: str = "5 minutes") -> DataFrame:

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from millrace.functions import codes, moments, text
+from millrace.functions import codes, moments, sql, text
 from millrace.operators import search
 from millrace.sources.tables import camel_columns, jdbc_options
 from tests.conftest import rows
@@ -21,6 +21,14 @@ def test_words(spark):
     assert words(spark, None) is None and words(spark, " ,!") == []
 
 
+def test_words_in_sql(spark):
+    sql.register(spark)
+    spark.createDataFrame([(1, "Red TEA"), (2, None), (3, "深空 x1")], "i int, s string").createOrReplaceTempView("texts")
+    df = spark.sql("SELECT i, word FROM texts, LATERAL words(s)")
+    assert rows(df) == [(1, "red"), (1, "tea"), (3, "x1"), (3, "深空")]
+    assert spark.sql("SELECT word_list('A b')").first()[0] == ["a", "b"]
+
+
 def test_dictionary_takes_the_longest_word(spark):
     known = ["深空", "深空灰色", "移动", "联通", "电信", "手机", "双卡双待"]
     assert words(spark, PHONE, words=known)[4:] == ["深空灰色", "移动", "联通", "电信", "4g", "手机", "双卡双待"]
