@@ -169,23 +169,43 @@ class DimSpec:
     how: str = "inner"
 
 
-def enrich(fact: DataFrame, dims: Mapping[str, DataFrame], specs: Sequence[DimSpec]) -> DataFrame:
+def enrich(
+    fact: DataFrame, dims: Mapping[str, DataFrame], specs: Sequence[DimSpec], flatten: bool = False
+) -> DataFrame:
     """Apply dimension joins in order.
 
-    No broadcast is forced: a dimension is broadcast when its (column-pruned) size
-    is below ``spark.sql.autoBroadcastJoinThreshold``, and otherwise joined by
-    shuffle, where AQE splits the hot keys of the fact side.
+    No broadcast is forced: a dimension is broadcast when its size is below the
+    thresholds, and otherwise joined by shuffle, where AQE splits the hot keys of the
+    fact side.  ``flatten`` first joins a dimension that is keyed by a column of
+    another one to that one (spu, trademark and category to sku): with dimensions
+    too large to broadcast the fact is then shuffled once instead of once per hop.
     """
+    roots: list[tuple[DimSpec, DataFrame]] = []
     for spec in specs:
-        key = f"_{spec.table}_key"
         dim = dims[spec.table].select(
-            F.col(spec.dim_key).alias(key),
+            F.col(spec.dim_key).alias(_dim_key(spec)),
             *[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in spec.take.items()],
         )
-        fact = fact.join(dim, F.col(spec.fact_key) == F.col(key), spec.how).drop(key)
+        of = [i for i, (root, d) in enumerate(roots) if spec.fact_key in d.columns and spec.how == root.how]
+        if flatten and of:
+            root, wider = roots[of[0]]
+            roots[of[0]] = root, _lookup(wider, spec, dim)
+        else:
+            roots.append((spec, dim))
+    for spec, dim in roots:
+        fact = _lookup(fact, spec, dim)
     return fact
 
 
+def _dim_key(spec: DimSpec) -> str:
+    return f"_{spec.table}_key"
+
+
+def _lookup(rows: DataFrame, spec: DimSpec, dim: DataFrame) -> DataFrame:
+    key = _dim_key(spec)
+    return rows.join(dim, F.col(spec.fact_key) == F.col(key), spec.how).drop(key)
+
+
 def order_dims(as_of: str | Column, how: str = "inner") -> list[DimSpec]:
     """The wide order's six dimensions; spu, trademark and category follow the sku."""
     return [

@@ -109,6 +109,11 @@ def test_six_dimensions_and_missing_rows(spark):
     assert (row.user_age, row.user_gender, row.province_name, row.spu_name, row.tm_name, row.category3_name) == (
         21, "M", "Anhui", "Spu", "Acme", "Drinks",
     )
+    for how in ("inner", "left"):
+        specs = joins.order_dims("2021-03-01", how=how)
+        columns = sorted(joins.enrich(wide, dims(spark), specs).columns)
+        flat = joins.enrich(wide, dims(spark), specs, flatten=True)
+        assert rows(flat, *columns) == rows(joins.enrich(wide, dims(spark), specs), *columns)
     left = joins.enrich(wide, dims(spark), joins.order_dims("2021-03-01", how="left"))
     assert rows(left, "order_id", "user_gender") == [(1, "M"), (2, None)]
     paid = orders.payment_wide_table(orders.payment_wide(
