@@ -8,6 +8,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.moments import age_in_years
 
@@ -202,8 +203,12 @@ def _dim_key(spec: DimSpec) -> str:
 
 
 def _lookup(rows: DataFrame, spec: DimSpec, dim: DataFrame) -> DataFrame:
-    key = _dim_key(spec)
-    return rows.join(dim, F.col(spec.fact_key) == F.col(key), spec.how).drop(key)
+    key, wanted = _dim_key(spec), F.col(spec.fact_key)
+    # Dimension rows are text; a number is looked up by its text, so that an odd key
+    # in the dimension matches nothing instead of failing the cast.
+    if isinstance(dim.schema[key].dataType, T.StringType):
+        wanted = wanted.cast("string")
+    return rows.join(dim, wanted == F.col(key), spec.how).drop(key)
 
 
 def order_dims(as_of: str | Column, how: str = "inner") -> list[DimSpec]:

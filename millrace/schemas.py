@@ -96,6 +96,20 @@ PAYMENT_WIDE_COLUMNS = [
     "payment_id", "subject", "payment_type", "payment_create_time", "callback_time",
     *ORDER_WIDE_COLUMNS[:18], "order_create_time", *_PROVINCE, "user_age", "user_gender", *_PRODUCT,
 ]
+
+_TYPES = {
+    **{n: "long" for n in ("payment_id", "detail_id", "order_id", "sku_id", "sku_num", "province_id", "user_id")},
+    **{n: "money" for n in (
+        "order_price", "total_amount", "activity_reduce_amount", "coupon_reduce_amount", "original_total_amount",
+        "feight_fee", "split_feight_fee", "split_activity_amount", "split_coupon_amount", "split_total_amount",
+    )},
+    "user_age": "int",
+}
+# The wide facts as read back from their topics; dimension ids stay text.
+ORDER_WIDE = _record(**{n: _TYPES.get(n, "string") for n in ORDER_WIDE_COLUMNS})
+PAYMENT_WIDE = _record(**{n: _TYPES.get(n, "string") for n in PAYMENT_WIDE_COLUMNS})
+DISPLAY = _record(page_id="string", item="string", item_type="string")
+
 VISITOR_STATS_COLUMNS = [
     "stt", "edt", "vc", "ch", "ar", "is_new", "uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum", "ts",
 ]

@@ -127,17 +127,23 @@ class UpsertTable:
         if snapshots is not None:
             known = snapshots if upto is None else snapshots.where(F.col("upto") < upto)
             base = known.agg(F.max("upto")).first()[0]
-        parts = []
         if changes is not None:
             newer = F.lit(True) if base is None else F.col("batch_id") > base
             in_range = F.lit(True) if upto is None else F.col("batch_id") <= upto
-            parts.append(changes.where(newer & in_range).drop("batch_id"))
-        if base is not None:
-            parts.append(snapshots.where(F.col("upto") == base).drop("upto"))
-        if not parts:
-            raise ValueError(f"no table at {self.path}")
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        return latest_by_key(rows, self.keys, self.order)
+            changes = changes.where(newer & in_range).drop("batch_id")
+        if base is None:
+            if changes is None:
+                raise ValueError(f"no table at {self.path}")
+            return latest_by_key(changes, self.keys, self.order)
+        snapshot = snapshots.where(F.col("upto") == base).drop("upto")
+        if changes is None:
+            return snapshot
+        # Only keys changed since the snapshot are merged.  The others pass through,
+        # without a shuffle as long as the changed keys are few enough to broadcast.
+        changed = changes.select(*self.keys).distinct()
+        touched = snapshot.join(changed, self.keys, "left_semi")
+        merged = latest_by_key(changes.unionByName(touched), self.keys, self.order)
+        return snapshot.join(changed, self.keys, "left_anti").unionByName(merged)
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:

@@ -20,7 +20,7 @@ from millrace.operators.logs import parse_clean
 @dataclass(frozen=True)
 class Feed:
     name: str
-    schema: T.StructType | None
+    schema: T.StructType
     topic: str = ""
 
     def __post_init__(self):
@@ -34,7 +34,7 @@ FEEDS = {
         Feed("ods_base_db", schemas.CHANGE),
         Feed("dwd_start_log", schemas.LOG_LINE),
         Feed("dwd_page_log", schemas.LOG_LINE),
-        Feed("dwd_display_log", None),
+        Feed("dwd_display_log", schemas.DISPLAY),
         Feed("dwm_unique_visit", schemas.LOG_LINE),
         Feed("dwm_user_jump_detail", schemas.LOG_LINE),
         Feed("dwd_order_info", schemas.ORDER_INFO),
@@ -44,8 +44,8 @@ FEEDS = {
         Feed("dwd_cart_info", schemas.CART),
         Feed("dwd_order_refund_info", schemas.REFUND),
         Feed("dwd_comment_info", schemas.COMMENT),
-        Feed("dwm_order_wide", None),
-        Feed("dwm_payment_wide", None),
+        Feed("dwm_order_wide", schemas.ORDER_WIDE),
+        Feed("dwm_payment_wide", schemas.PAYMENT_WIDE),
         Feed("startup_log", schemas.STARTUP_LOG),
         Feed("event_log", schemas.EVENT_LOG),
         Feed("shop_order", schemas.SHOP_ORDER),
@@ -61,7 +61,6 @@ def kafka_options(servers: str, topic: str, group: str | None = None, start: str
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": start,
-        "failOnDataLoss": "false",
     }
     if group:
         options["groupIdPrefix"] = group

@@ -94,8 +94,11 @@ def unique_visit(page_lines: DataFrame) -> DataFrame:
     return log_message(keyed.unique_visits(logs.page_logs(logs.parse_logs(page_lines))))
 
 
-def user_jump(page_lines: DataFrame, within: timedelta = timedelta(seconds=10), delay: str = "10 seconds") -> DataFrame:
-    return log_message(keyed.user_jumps(logs.page_logs(logs.parse_logs(page_lines)), within, delay))
+def user_jump(
+    page_lines: DataFrame, within: timedelta = timedelta(seconds=10), delay: str = "10 seconds", shards: int = 512
+) -> DataFrame:
+    pages = logs.page_logs(logs.parse_logs(page_lines))
+    return log_message(keyed.user_jumps(pages, within, delay, shards=shards))
 
 
 def visitor_stats(

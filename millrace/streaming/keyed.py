@@ -64,13 +64,16 @@ def user_jumps(
     within: timedelta = timedelta(seconds=10),
     delay: str = "10 seconds",
     tie: str = TIE,
+    shards: int = 512,
 ) -> DataFrame:
     """Entry pages left without a further page, once the watermark proves it.
 
-    State is one short buffer per (device, time cell); it goes when the watermark
-    has passed the cell, so neither a busy device nor the number of devices ever
-    seen makes it grow.  Pages still inside ``within`` of the watermark when a
-    bounded run ends are not decided.
+    Devices are dealt to ``shards`` groups, each cut into time cells, and a group is
+    worked on as a whole: one call decides many devices.  Its state is the pages not
+    yet decided, and goes when the watermark has passed the cell; neither a busy
+    device nor the number of devices ever seen makes it grow.  Choose a few shards
+    per core, and keep their number over the life of a checkpoint.  Pages still
+    inside ``within`` of the watermark when a bounded run ends are not decided.
     """
     reach = within // timedelta(milliseconds=1)
     tie_type = pages.schema[tie].dataType.simpleString()
@@ -80,12 +83,16 @@ def user_jumps(
         .withColumn("event_time", from_millis("ts"))
         .withWatermark("event_time", delay)
         .select(
-            "mid", "_cell", "event_time", "ts", F.col(tie).alias("tie"), is_entry().alias("entry"),
-            F.col("_own").alias("own"), F.when(F.col("_own"), F.col("_record")).alias("record"),
+            F.pmod(F.xxhash64("mid"), F.lit(shards)).alias("shard"), "_cell", "event_time", "mid", "ts",
+            F.col(tie).alias("tie"), is_entry().alias("entry"), F.col("_own").alias("own"),
+            F.when(F.col("_own"), F.col("_record")).alias("record"),
         )
     )
-    columns = ["ts", "tie", "entry", "own", "record"]
-    buffer = f"ts array<bigint>, tie array<{tie_type}>, entry array<boolean>, own array<boolean>, record array<string>"
+    columns = ["mid", "ts", "tie", "entry", "own", "record"]
+    buffer = (
+        f"mid array<string>, ts array<bigint>, tie array<{tie_type}>, entry array<boolean>, own array<boolean>, "
+        "record array<string>"
+    )
 
     def decide(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         parts = [b[columns] for b in batches]
@@ -94,11 +101,12 @@ def user_jumps(
             parts.insert(0, pd.DataFrame(dict(zip(columns, map(list, held)))))
         if not parts:
             return
-        line = pd.concat(parts, ignore_index=True).sort_values(["ts", "tie"], kind="stable", ignore_index=True)
+        line = pd.concat(parts, ignore_index=True).sort_values(["mid", "ts", "tie"], kind="stable", ignore_index=True)
         now = state.getCurrentWatermarkMs()
-        ts, following = line["ts"], line["ts"].shift(-1)
+        same_device = line["mid"].eq(line["mid"].shift(-1))
+        ts, following = line["ts"], line["ts"].shift(-1).where(same_device)
         decided = (following <= now) | (ts + reach <= now)
-        next_entry = line["entry"].shift(-1).eq(True)
+        next_entry = line["entry"].shift(-1).eq(True) & same_device
         bounced = following.isna() | (following - ts >= reach) | next_entry
         hits = line[decided & bounced & line["entry"].astype(bool) & line["own"].astype(bool)]
         rest = line[~decided]
@@ -106,11 +114,11 @@ def user_jumps(
             state.remove()
         else:
             state.update(tuple(rest[c].tolist() for c in columns))
-            state.setTimeoutTimestamp(max(now + 1, int(rest["ts"].iloc[0]) + reach))
+            state.setTimeoutTimestamp(max(now + 1, int(rest["ts"].min()) + reach))
         if not hits.empty:
             yield hits[["record"]]
 
-    found = rows.groupBy("mid", "_cell").applyInPandasWithState(
+    found = rows.groupBy("shard", "_cell").applyInPandasWithState(
         decide, "record string", buffer, "append", GroupStateTimeout.EventTimeTimeout
     )
     return found.select(F.inline(F.array(F.from_json("record", pages.schema))))
@@ -152,10 +160,15 @@ def repair_is_new(logs: DataFrame, tie: str = TIE, shards: int = 256) -> DataFra
             for batch in batches:
                 yield batch[["record", "repaired"]]
             return
-        line = pd.concat(list(batches), ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
-        line["repaired"] = state.exists | (line.index > 0)
-        state.update((True,))
-        yield line[["record", "repaired"]]
+        parts = list(batches)
+        line = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        if len(line) > 1:
+            line = line.sort_values(order, kind="stable")
+        first = not state.exists
+        if first:
+            state.update((True,))
+        repaired = [not (first and i == 0) for i in range(len(line))]
+        yield pd.DataFrame({"record": line["record"].to_numpy(), "repaired": repaired})
 
     done = keyed.groupBy("device", "shard").applyInPandasWithState(
         flag, "record string, repaired boolean", "seen boolean", "append", GroupStateTimeout.NoTimeout

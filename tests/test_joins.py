@@ -88,12 +88,12 @@ def test_payment_wide_takes_the_payments_values(spark):
 def dims(spark):
     one = lambda data, schema: spark.createDataFrame(data, schema)
     return {
-        "user": one([("5", "M", "2000-01-01")], "ID string, GENDER string, BIRTHDAY string"),
+        "user": one([("5", "M", "2000-01-01"), ("guest", "F", None)], "ID string, GENDER string, BIRTHDAY string"),
         "province": one([("1", "Anhui", "340000", "CN-34", "CN-AH")],
                         "ID string, NAME string, AREA_CODE string, ISO_CODE string, ISO_3166_2 string"),
         "sku": one([("9", "2.5", "tea", "90", "91", "92")],
                    "ID string, PRICE string, SKU_NAME string, SPU_ID string, TM_ID string, CATEGORY3_ID string"),
-        "spu": one([("90", "Spu")], "ID string, SPU_NAME string"),
+        "spu": one([("90", "Spu"), ("n/a", "odd")], "ID string, SPU_NAME string"),
         "trademark": one([("91", "Acme")], "ID string, TM_NAME string"),
         "category3": one([("92", "Drinks")], "ID string, NAME string"),
     }

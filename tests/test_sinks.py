@@ -35,6 +35,7 @@ def test_upsert_table(spark, tmp_path):
     table.compact(spark, 2)
     table.write(batch(spark, ("1", "z", 9, False)), 3)
     assert rows(table.read(spark), "id", "v") == [("1", "z"), ("3", "d"), ("4", "e")]
+    assert "BroadcastHashJoin" in table.read(spark)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_by_topic_and_replay(spark, tmp_path):

@@ -13,6 +13,7 @@ from pyspark.sql.types import _parse_datatype_string
 from millrace.operators import alerts, joins, logs, orders, sql_stats, stats, visits
 from millrace.session import checkpoint_root
 from millrace.sinks import files
+from millrace.sinks.kafka import messages
 from millrace.sources.feeds import read_files, records
 from millrace.streaming import jobs, keyed
 from tests.conftest import rows
@@ -110,7 +111,7 @@ def test_jumps_stream(feeds, seed):
     data = random_logs(seed)
     closing = [log(999_990 + i, "end", END + i, "home") for i in range(1)]
     feeds.put("pages", *chunks(data, 25), closing, [log(999_999, "end", END + 60_000, "home")])
-    got = feeds.run(keyed.user_jumps(pages_of(feeds.stream("pages"))))
+    got = feeds.run(keyed.user_jumps(pages_of(feeds.stream("pages")), shards=3))
     hand = jumps_by_hand(
         [(d["log_id"], d["common"]["mid"], d["page"].get("last_page_id"), d["ts"]) for d in data], 10_000
     )
@@ -257,6 +258,30 @@ def test_order_and_payment_wide_stream(feeds):
     assert got.count() > 60
 
 
+def test_wide_facts_through_their_topics(feeds, spark):
+    """Orders and details -> wide order topic -> wide payment topic, each job reading lines."""
+    shop(feeds, 20)
+    one = lambda text: spark.sql(text)
+    dims = {
+        "user": one("SELECT CAST(id AS STRING) ID, 'F' GENDER, '2000-01-01' BIRTHDAY FROM range(5)"),
+        "province": one("SELECT CAST(id AS STRING) ID, 'n' NAME, 'a' AREA_CODE, 'i' ISO_CODE, '3' ISO_3166_2 FROM range(3)"),
+        "sku": one("SELECT CAST(id AS STRING) ID, 's' SPU_ID, 't' TM_ID, 'c' CATEGORY3_ID FROM range(7)"),
+        "spu": one("SELECT 's' ID, 'spu' SPU_NAME"), "trademark": one("SELECT 't' ID, 'tm' TM_NAME"),
+        "category3": one("SELECT 'c' ID, 'cat' NAME"),
+    }
+    wide = feeds.run(messages(jobs.order_wide(feeds.stream("order"), feeds.stream("detail"), dims, "2021-03-01", delay="10 seconds")))
+    feeds.put("wide", *chunks([r.value for r in wide.collect()], 20))
+    back = records(feeds.batch("wide"), "dwm_order_wide")
+    assert rows(back, "order_id", "detail_id") == rows(wide_of(feeds.batch).where("order_id >= 0"), "order_id", "detail_id")
+    assert back.where("tm_name = 'tm' AND user_age = 21 AND split_total_amount = 1.25").count() == back.count() > 20
+    stream = records(feeds.stream("wide"), "dwm_order_wide")
+    paid = feeds.run(messages(jobs.payment_wide(feeds.stream("payment"), stream, delay="1 hour")))
+    feeds.put("paid", [r.value for r in paid.collect()])
+    got = records(feeds.batch("paid"), "dwm_payment_wide")
+    want = jobs.payment_wide(feeds.batch("payment"), back)
+    assert rows(got) == rows(want) and got.count() == back.count()
+
+
 def test_interval_join_feeds_province_stats_in_one_query(feeds, spark):
     shop(feeds)
     provinces = spark.sql(
