@@ -200,8 +200,10 @@ def province_stats(
     rows = wide
     if "event_time" not in wide.columns:
         rows = _watermarked(wide.withColumn("event_time", event_time(wide, "create_time")), "event_time", delay)
+    exact = wide.schema[amount].dataType.typeName() == "decimal"
+    value = F.col(amount) if exact else F.col(amount).cast("decimal(16,2)")
     per_order = rows.groupBy(F.window("event_time", window), *keys, "order_id").agg(
-        F.sum(F.col(amount).cast("decimal(16,2)")).alias("order_amount"),
+        F.sum(value).alias("order_amount"),
         F.max(F.unix_millis("event_time")).alias("ts"),
     )
     stats = per_order.groupBy("window", *keys).agg(

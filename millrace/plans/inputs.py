@@ -6,6 +6,8 @@ say the same for the SQL side.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +21,13 @@ class Tables:
         # Event times are stored without a zone and mean UTC.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        # Opening a file reads its schema; once per table is enough.
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def events(self) -> DataFrame:
         """Events with ``k`` (number in the properties) and ``ms`` (epoch milliseconds)."""
@@ -190,51 +196,72 @@ class Tables:
 
     # -- dimensions --
 
-    def dims(self) -> dict[str, DataFrame]:
-        part, nation = self.table("part"), self.table("nation")
-        customer, supplier = self.table("customer"), self.table("supplier")
-        return {
-            "user": customer.select(
-                F.col("c_custkey").alias("ID"), F.col("c_nationkey").alias("PROVINCE_ID"),
-                F.when(F.col("c_mktsegment").isin("HOUSEHOLD", "FURNITURE"), "F").otherwise("M").alias("GENDER"),
-                F.date_add(F.lit("1950-01-01").cast("date"), F.floor("c_acctbal").cast("int")).alias("BIRTHDAY"),
-                F.col("c_mktsegment").alias("LEVEL"),
-            ),
-            "province": nation.select(
-                F.col("n_nationkey").alias("ID"), F.col("n_name").alias("NAME"),
-                F.col("n_regionkey").cast("string").alias("AREA_CODE"),
-                F.concat(F.lit("N"), "n_nationkey").alias("ISO_CODE"),
-                F.concat(F.lit("R"), "n_regionkey", F.lit("-"), "n_nationkey").alias("ISO_3166_2"),
-            ),
-            "sku": part.select(
-                F.col("p_partkey").alias("ID"), F.col("p_name").alias("SKU_NAME"),
-                F.col("p_retailprice").cast("decimal(16,2)").alias("PRICE"),
-                F.col("p_type").alias("SPU_ID"), F.col("p_brand").alias("TM_ID"),
-                F.col("p_size").alias("CATEGORY3_ID"),
-            ),
-            "spu": part.groupBy(F.col("p_type").alias("ID")).agg(F.min("p_name").alias("SPU_NAME")),
-            "trademark": part.groupBy(F.col("p_brand").alias("ID")).agg(F.max("p_name").alias("TM_NAME")),
-            "category3": part.groupBy(F.col("p_size").alias("ID")).agg(F.min("p_brand").alias("NAME")),
-            "supplier": supplier.select(
-                F.col("s_suppkey").alias("ID"), F.col("s_name").alias("NAME"),
-                F.col("s_nationkey").alias("NATION_ID"),
-            ),
-            "nation": nation.select(
-                F.col("n_nationkey").alias("ID"), F.col("n_name").alias("NAME"),
-                F.col("n_regionkey").alias("REGION_ID"),
-            ),
-            "region": self.table("region").select(
-                F.col("r_regionkey").alias("ID"), F.col("r_name").alias("NAME")
-            ),
-        }
+    def dims(self) -> Mapping[str, DataFrame]:
+        """The dimensions by name, each one built when it is asked for."""
+        return _Dims(self)
+
+    def dim_user(self) -> DataFrame:
+        return self.table("customer").select(
+            F.col("c_custkey").alias("ID"), F.col("c_nationkey").alias("PROVINCE_ID"),
+            F.when(F.col("c_mktsegment").isin("HOUSEHOLD", "FURNITURE"), "F").otherwise("M").alias("GENDER"),
+            F.date_add(F.lit("1950-01-01").cast("date"), F.floor("c_acctbal").cast("int")).alias("BIRTHDAY"),
+            F.col("c_mktsegment").alias("LEVEL"),
+        )
+
+    def dim_province(self) -> DataFrame:
+        return self.table("nation").select(
+            F.col("n_nationkey").alias("ID"), F.col("n_name").alias("NAME"),
+            F.col("n_regionkey").cast("string").alias("AREA_CODE"),
+            F.concat(F.lit("N"), "n_nationkey").alias("ISO_CODE"),
+            F.concat(F.lit("R"), "n_regionkey", F.lit("-"), "n_nationkey").alias("ISO_3166_2"),
+        )
+
+    def dim_sku(self) -> DataFrame:
+        return self.table("part").select(
+            F.col("p_partkey").alias("ID"), F.col("p_name").alias("SKU_NAME"),
+            F.col("p_retailprice").cast("decimal(16,2)").alias("PRICE"),
+            F.col("p_type").alias("SPU_ID"), F.col("p_brand").alias("TM_ID"),
+            F.col("p_size").alias("CATEGORY3_ID"),
+        )
+
+    def dim_spu(self) -> DataFrame:
+        return self.table("part").groupBy(F.col("p_type").alias("ID")).agg(F.min("p_name").alias("SPU_NAME"))
+
+    def dim_trademark(self) -> DataFrame:
+        return self.table("part").groupBy(F.col("p_brand").alias("ID")).agg(F.max("p_name").alias("TM_NAME"))
+
+    def dim_category3(self) -> DataFrame:
+        return self.table("part").groupBy(F.col("p_size").alias("ID")).agg(F.min("p_brand").alias("NAME"))
+
+    def dim_supplier(self) -> DataFrame:
+        return self.table("supplier").select(
+            F.col("s_suppkey").alias("ID"), F.col("s_name").alias("NAME"), F.col("s_nationkey").alias("NATION_ID")
+        )
+
+    def dim_nation(self) -> DataFrame:
+        return self.table("nation").select(
+            F.col("n_nationkey").alias("ID"), F.col("n_name").alias("NAME"), F.col("n_regionkey").alias("REGION_ID")
+        )
+
+    def dim_region(self) -> DataFrame:
+        return self.table("region").select(F.col("r_regionkey").alias("ID"), F.col("r_name").alias("NAME"))
 
     def users(self) -> DataFrame:
-        return self.dims()["user"].select(
+        return self.dim_user().select(
             F.col("ID").alias("id"), F.col("GENDER").alias("gender"), F.col("BIRTHDAY").alias("birthday"),
             F.col("LEVEL").alias("user_level"),
         )
 
 
+class _Dims(dict):
+    def __init__(self, tables: Tables):
+        self._tables = tables
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = frame = getattr(self._tables, f"dim_{name}")()
+        return frame
+
+
 # Fixed configuration of the routing table.
 ROUTE_NAMES = "sourceTable, operateType, sinkType, sinkTable, sinkColumns, sinkPk, sinkExtend"
 ROUTE_ROWS = """

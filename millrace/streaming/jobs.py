@@ -52,22 +52,20 @@ def start(
 
 # -- logs -------------------------------------------------------------------
 
-def base_log(lines: DataFrame) -> dict[str, DataFrame]:
-    """Start, page and display records with repaired ``is_new``, and the dirty lines."""
-    repaired = keyed.repair_is_new(logs.parse_logs(lines))
-    return {
-        "dwd_start_log": logs.start_logs(repaired),
-        "dwd_page_log": logs.page_logs(repaired),
-        "dwd_display_log": logs.display_logs(repaired),
-        "dirty": logs.parse_dirty(lines),
-    }
-
-
-def base_log_repaired(lines: DataFrame) -> DataFrame:
-    """The repaired records in one frame, for :func:`split_log_writer`."""
+def base_log(lines: DataFrame) -> DataFrame:
+    """Log records with repaired ``is_new``, for :func:`split_log_writer`.
+
+    One frame, so that the lines are parsed and the device flags kept once for the
+    three kinds of records.
+    """
     return keyed.repair_is_new(logs.parse_logs(lines))
 
 
+def dirty_log(lines: DataFrame) -> DataFrame:
+    """The lines that are no JSON objects."""
+    return logs.parse_dirty(lines)
+
+
 def split_log_writer(writers: Mapping[str, BatchWriter]) -> BatchWriter:
     """Write the three kinds of log records of one pass over the stream."""
     split = {"dwd_start_log": logs.start_logs, "dwd_page_log": logs.page_logs, "dwd_display_log": logs.display_logs}

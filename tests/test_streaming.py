@@ -134,7 +134,7 @@ def test_repair_stream(feeds, spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
     try:
         feeds.put("logs", *chunks(data, 30))
-        got = feeds.run(jobs.base_log_repaired(feeds.stream("logs")))
+        got = feeds.run(jobs.base_log(feeds.stream("logs")))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     want = visits.repair_is_new(logs.parse_logs(feeds.batch("logs")))
@@ -148,12 +148,12 @@ def test_base_log_splits_one_stream(feeds, spark, tmp_path):
     feeds.put("raw", [shown, "broken {"], [begin])
     names = ["dwd_start_log", "dwd_page_log", "dwd_display_log"]
     writers = {n: files.append(str(tmp_path / n)) for n in names}
-    feeds.run(jobs.base_log_repaired(feeds.stream("raw")), jobs.split_log_writer(writers))
+    feeds.run(jobs.base_log(feeds.stream("raw")), jobs.split_log_writer(writers))
     start, page, display = (spark.read.parquet(str(tmp_path / n)) for n in names)
     assert rows(start, "mid", "is_new") == [("a", "0")]
     assert rows(page, "mid", "is_new") == [("a", "1")]
     assert rows(display, "page_id", "item") == [("list", "1"), ("list", "2")]
-    dirty = feeds.run(jobs.base_log(feeds.stream("raw"))["dirty"])
+    dirty = feeds.run(jobs.dirty_log(feeds.stream("raw")))
     assert rows(dirty) == [("broken {",)]
 
 
