@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import changes
-from millrace.session import checkpoint_root
+from millrace.session import checkpoint_root, shuffle_settings
 from millrace.sinks import files, jdbc, kafka
 from millrace.sources import feeds
 from tests.conftest import rows
@@ -122,3 +122,9 @@ def test_checkpoint_folder_comes_from_the_session():
     assert checkpoint_root(Session({}), "/shared/x/") == "/shared/x"
     with pytest.raises(ValueError):
         checkpoint_root(Session({}))
+
+
+def test_shuffle_partitions_grow_with_the_data():
+    of = lambda size: int(shuffle_settings(size, 4_000)["spark.sql.shuffle.partitions"])
+    assert of(1) == 4_000
+    assert of(10 << 40) == 84_000 and (10 << 40) / of(10 << 40) < 128 << 20
