@@ -13,7 +13,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
+        "tests", "local[4]", spark__sql__shuffle__partitions="2", spark__ui__enabled="false",
         spark__driver__memory="4g",
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -127,8 +127,8 @@ def test_repair_of_a_hot_device(spark, hot):
         assert "hashpartitioning(mid" in plan_of(df)
         assert rows(df.groupBy("is_new").count()) == [("0", N - 2_001), ("1", 2_001)]
         # The rows are spread by (device, time), not by device.
-        tasks = df.where("mid = '0'").groupBy(F.spark_partition_id()).count()
-        assert tasks.agg(F.max("count")).first()[0] < N // 6
+        tasks = df.where("mid = '0'").groupBy(F.spark_partition_id()).agg(F.count("*").alias("ct"), F.max("is_new"))
+        assert max(r.ct for r in tasks.collect()) < N // 20
 
 
 def test_distinct_orders_of_a_hot_group_are_reduced_first(spark, hot):

@@ -88,8 +88,8 @@ def pages_of(lines):
 
 
 def test_unique_visits_over_many_batches(feeds):
-    """Sixty batches over three days: one visit per device and day, none twice."""
-    feeds.put("pages", *chunks(random_logs(1, n=300, step=864_000), 5))
+    """Forty batches over three days: one visit per device and day, none twice."""
+    feeds.put("pages", *chunks(random_logs(1, n=240, step=1_080_000), 6))
     got = feeds.run(keyed.unique_visits(pages_of(feeds.stream("pages"))))
     day = F.to_date(F.timestamp_millis("ts")).cast("string")
     want = visits.unique_visits(pages_of(feeds.batch("pages")))
