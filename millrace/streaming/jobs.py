@@ -7,7 +7,7 @@ sink, a trigger and a checkpoint.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
@@ -173,17 +173,43 @@ def base_db_writer(
 def order_wide(
     order_lines: DataFrame,
     detail_lines: DataFrame,
-    dims: Mapping[str, DataFrame],
-    as_of: str,
+    dims: Mapping[str, DataFrame] | None = None,
+    as_of: str | None = None,
     how: str = "inner",
     delay: str = "0 seconds",
 ) -> DataFrame:
+    """Details with their orders, and with the dimensions when given.
+
+    A frame of dimension files keeps the file list it started with.  Where dimensions
+    change while the query runs, leave ``dims`` out and write through
+    :func:`enrich_writer`.
+    """
     wide = orders.order_wide(
         records(order_lines, "dwd_order_info"), records(detail_lines, "dwd_order_detail"), delay=delay
     )
+    if dims is None:
+        return wide
     return orders.order_wide_table(joins.enrich(wide, dims, joins.order_dims(as_of, how)))
 
 
+def enrich_writer(
+    read_dims: Callable[[], Mapping[str, DataFrame]],
+    specs: Callable[[], Sequence[joins.DimSpec]],
+    write: BatchWriter,
+    columns: Sequence[str] | None = None,
+) -> BatchWriter:
+    """Join each micro-batch with the dimensions as they stand, then write it.
+
+    ``specs`` is asked anew as well, so that ages follow the calendar.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        rows = joins.enrich(batch, read_dims(), specs())
+        write(rows.select(*columns) if columns else rows, batch_id)
+
+    return run
+
+
 def payment_wide(payment_lines: DataFrame, wide: DataFrame, delay: str = "0 seconds") -> DataFrame:
     return orders.payment_wide_table(
         orders.payment_wide(records(payment_lines, "dwd_payment_info"), wide, delay=delay)
@@ -202,12 +228,15 @@ def product_stats(
     paid: DataFrame,
     refund_lines: DataFrame,
     comment_lines: DataFrame,
-    dims: Mapping[str, DataFrame],
+    dims: Mapping[str, DataFrame] | None = None,
     window: str = stats.WINDOW,
     delay: str = "1 second",
     how: str = "inner",
 ) -> DataFrame:
-    """Seven sources to product statistics; dimensions are joined to the finished rows."""
+    """Seven sources to product statistics; dimensions are joined to the finished rows.
+
+    Leave ``dims`` out to join them in :func:`enrich_writer`.
+    """
     pages = logs.page_logs(logs.parse_logs(page_lines))
     rows = stats.product_stats(
         [
@@ -221,6 +250,8 @@ def product_stats(
         ],
         window,
     )
+    if dims is None:
+        return rows
     return joins.enrich(rows, dims, joins.product_dims(how)).select(*schemas.PRODUCT_STATS_COLUMNS)
 
 

@@ -282,6 +282,22 @@ def test_wide_facts_through_their_topics(feeds, spark):
     assert rows(got) == rows(want) and got.count() == back.count()
 
 
+def test_dimensions_are_read_anew_per_micro_batch(feeds, spark, tmp_path):
+    """A product renamed between two micro-batches shows its new name in the second."""
+    feeds.put("touch", [{"sku_id": 1, "create_time": clock(0)}], [{"sku_id": 1, "create_time": clock(1)}])
+    reads = []
+
+    def dims():
+        reads.append(1)
+        return {"sku": spark.sql(f"SELECT '1' ID, 'name {len(reads)}' SKU_NAME")}
+
+    spec = joins.DimSpec("sku", "sku_id", {"sku_name": "SKU_NAME"})
+    out = str(tmp_path / "named")
+    write = jobs.enrich_writer(dims, lambda: [spec], files.append(out), ["create_time", "sku_name"])
+    feeds.run(records(feeds.stream("touch"), "dwd_favor_info"), write)
+    assert rows(spark.read.parquet(out), "create_time", "sku_name") == [(clock(0), "name 1"), (clock(1), "name 2")]
+
+
 def test_interval_join_feeds_province_stats_in_one_query(feeds, spark):
     shop(feeds)
     provinces = spark.sql(
