@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, lines, simhash
+from millrace.llm import decontaminate, lines, mixing, rules, sharding, simhash
 from millrace.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,27 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query()
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and place in it of every document, near equal bytes in 16 shards."""
+    placed = sharding.place(table(spark, folder, "documents"), 16)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("position").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version",
+    )
+
+
+@query()
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Base statistics of every document and the verdict of the learned list."""
+    stats, _ = rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return stats.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query()
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words the mix takes of every document."""
+    mixed = mixing.mix(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
