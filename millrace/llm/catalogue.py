@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, lines, mixing, rules, sharding, simhash
+from millrace.llm import decontaminate, lines, mixing, rules, sharding, simhash, toxicity
 from millrace.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,9 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words the mix takes of every document."""
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
+
+
+@query()
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
