@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, lines, mixing, rules, sharding, simhash, toxicity
-from millrace.llm.shared import table
+from millrace.llm import decontaminate, lines, mixing, quality, rules, sharding, simhash, substrings, toxicity, warc
+from millrace.llm.shared import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -115,3 +115,60 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+# base32 of a hex digest: each five of its 160 bits pick a letter
+_BITS = "array_to_string(list_transform(range(1, 41), lambda i: substr('0000000100100011010001010110011110001001101010111100110111101111', 4 * (strpos('0123456789abcdef', substr(sha1(payload), i, 1)) - 1) + 1, 4)), '')"
+
+
+@query(f"""
+    WITH page AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+    bits AS (SELECT page_id, strlen(payload) AS payload_bytes, {_BITS} AS b FROM page),
+    digest AS (
+        SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda k: substr(
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + 16 * CAST(substr(b, 5 * k + 1, 1) AS INT) + 8 * CAST(substr(b, 5 * k + 2, 1) AS INT)
+            + 4 * CAST(substr(b, 5 * k + 3, 1) AS INT) + 2 * CAST(substr(b, 5 * k + 4, 1) AS INT) + CAST(substr(b, 5 * k + 5, 1) AS INT) AS INT), 1)), '')
+            AS payload_digest FROM bits),
+    first AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first FROM digest)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id <> first THEN first END AS refers_to FROM first
+""")
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as an archive record, written and read back."""
+    path = f"{shared_folder(spark)}/warc"
+    warc.write(table(spark, folder, "pages"), path)
+    records = warc.read(spark, path, with_payload=False).where("sound")
+    return records.select(
+        F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"))
+
+
+@query(f"""
+    WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+    line AS (SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS pos FROM split),
+    placed AS (
+        SELECT *, {_LOWER.format("line")} AS low,
+            coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+        FROM line),
+    keyed AS (SELECT *, regexp_extract_all(low, '[^\\x20\\x09-\\x0D]+') AS ws FROM placed),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY array_to_string(ws, ' ') ORDER BY doc_id, pos) AS rank FROM keyed),
+    marked AS (SELECT *, len(ws) >= 5 AND rank > 1 AS gone FROM ranked)
+    SELECT doc_id, count(*) AS n_units, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_removed,
+        CAST(sum(CASE WHEN gone THEN length(line) ELSE 0 END) AS BIGINT) AS removed_chars,
+        sha256(coalesce(string_agg(CASE WHEN gone THEN CAST(start AS BIGINT) || '-' || CAST(start + length(line) AS BIGINT) END, ',' ORDER BY pos), '')) AS spans_sha256,
+        sha256(coalesce(string_agg(CASE WHEN NOT gone THEN line || CASE WHEN pos < n THEN chr(10) ELSE '' END END, '' ORDER BY pos), '')) AS kept_sha256
+    FROM marked JOIN (SELECT doc_id, len(ls) AS n FROM split) USING (doc_id) GROUP BY doc_id
+""")
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Repeated lines of every document by place, and the digest of what stays of it."""
+    found = substrings.deduplicated(table(spark, folder, "documents"))
+    span = lambda s: F.concat_ws("-", s["start"], s["end"])
+    return found.select(
+        "doc_id", "n_units", "n_removed", F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("removed_chars"),
+        F.sha2(F.array_join(F.transform("removed", span), ","), 256).alias("spans_sha256"), F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query()
+def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document from both views."""
+    return quality.co_trained(table(spark, folder, "documents"), table(spark, folder, "labels"))
