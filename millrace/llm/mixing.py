@@ -167,8 +167,10 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     chosen = mix(docs, id_col, text_col, source_col, **options)
     # equal rows share a mark and the copies of all of them; one shuffle of the texts
     owed = chosen.groupBy("mark").agg(F.sum("copies").alias("_owed"), F.count("*").alias("_rows")).withColumnRenamed("mark", "_mark")
-    marked = docs.withColumn("_mark", F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))).join(owed.where("_owed > 0"), "_mark")
+    # the row travels as one column, so no name of its own can clash
+    rows = docs.select(F.struct("*").alias("_row"), F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("_mark"))
+    rows = rows.join(owed.where("_owed > 0"), "_mark")
     turn = F.row_number().over(Window.partitionBy("_mark").orderBy("_mark"))
     copies = F.expr("_owed div _rows") + F.when(turn <= F.col("_owed") % F.col("_rows"), 1).otherwise(0)
-    marked = marked.withColumn("_copies", copies.cast("int")).where("_copies > 0")
-    return marked.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = rows.withColumn("_copies", copies.cast("int")).where("_copies > 0")
+    return rows.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")

@@ -76,16 +76,20 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED, chunk: in
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``(id, fp)`` per row, ``fp`` the fingerprint as a signed long; a null text is one without words."""
+    """``(id, mark, fp)`` per row: a hash of the whole text, and the fingerprint as a signed long.
+
+    A null text is one without words.
+    """
     kind = docs.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["id", "fp"])
+            found = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(2)), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], ["id", "mark", "fp"])
 
-    ids = docs.select(F.col(f"`{id_col}`").alias("id"), as_bytes(F.col(f"`{text_col}`")).alias("text"))
-    return ids.mapInArrow(run, f"id {kind.simpleString()}, fp long")
+    text = F.col(f"`{text_col}`")
+    ids = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("mark"), as_bytes(text).alias("text"))
+    return ids.mapInArrow(run, f"id {kind.simpleString()}, mark long, fp long")
 
 
 def _masks(blocks: int, radius: int) -> list[int]:
@@ -180,19 +184,19 @@ def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE, radius: int = RADIUS,
     blocks: int = BLOCKS, in_task: int = IN_TASK,
 ) -> DataFrame:
-    """``(id_col, fp, component_id, n_fingerprints)`` for every row; ``component_id`` is the least id of the group.
+    """``(id_col, mark, fp, component_id, least_mark)`` for every row; ``component_id`` is the least id of the group.
 
     Rows that repeat an id belong to the group of each of their texts.  A null id keeps its
     row and never names a group that has another id.  Null and empty texts have fingerprint zero
-    and form a group like any other.  Other columns are not read.
+    and form a group like any other.  ``mark`` is a hash of the text, ``least_mark`` the group's least.  Other columns are not read.
     """
     prints = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    distinct = written(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
+    distinct = written(prints.groupBy("fp").agg(F.min("id").alias("least"), F.min("mark").alias("least_mark")), "distinct")
     sets = components(near_links(distinct.select("fp"), radius, blocks, in_task)).withColumnRenamed("key", "fp")
-    rooted = distinct.join(sets, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n_fingerprints"))
-    by_print = rooted.join(named, "root").select("fp", "component_id", "n_fingerprints")
-    return prints.join(by_print, "fp").select(F.col("id").alias(id_col), "fp", "component_id", "n_fingerprints")
+    rooted = distinct.join(sets, "fp", "left").select("fp", "least", "least_mark", F.coalesce("root", "fp").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.min("least_mark").alias("least_mark"))
+    by_print = rooted.select("fp", "root").join(named, "root").select("fp", "component_id", "least_mark")
+    return prints.join(by_print, "fp").select(F.col("id").alias(id_col), "mark", "fp", "component_id", "least_mark")
 
 
 def hex_fingerprint(fp: Column) -> Column:
@@ -202,9 +206,11 @@ def hex_fingerprint(fp: Column) -> Column:
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that name their near-duplicate group, with all columns.
 
-    Rows that repeat that id are the same document and stay together; so do rows of a
-    group without any id.
+    A group without any id keeps the text with the least hash.  Rows that repeat both id and text are the
+    same document and stay together.
     """
-    named = near_duplicates(docs, id_col, text_col).where(F.col(id_col).eqNullSafe(F.col("component_id")))
-    keep = named.select(F.col(id_col).alias("_kept_id")).distinct()
-    return docs.join(keep, docs[id_col].eqNullSafe(keep["_kept_id"]), "left_semi")
+    named = near_duplicates(docs, id_col, text_col)
+    names = F.coalesce(F.col(id_col) == F.col("component_id"), F.col("component_id").isNull() & (F.col("mark") == F.col("least_mark")))
+    keep = named.where(names).select(F.col(id_col).alias("_kept_id"), F.col("mark").alias("_kept_mark")).distinct()
+    same = docs[id_col].eqNullSafe(keep["_kept_id"]) & (F.xxhash64(docs[text_col]) == keep["_kept_mark"])
+    return docs.join(keep, same, "left_semi")

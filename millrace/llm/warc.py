@@ -59,43 +59,41 @@ def member(record_id: str, kind: str, uri: str, payload: bytes, sha1_hex: str, l
     return packer.compress("\r\n".join(head).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n") + packer.flush()
 
 
-def with_revisits(pages: DataFrame, id_col: str, payload_col: str, least_bytes: int = 0) -> DataFrame:
-    """``pages`` with ``payload_bytes``, ``payload_sha1``, ``record_type`` and ``refers_to``.
+def with_revisits(pages: DataFrame, id_col: str, uri_col: str, payload_col: str, least_bytes: int = 0) -> DataFrame:
+    """``(id, uri, payload, bytes, sha1, kind, refers_to)`` of every row of ``pages``.
 
     Of equal payloads of at least ``least_bytes``, the one with the largest id is the response and the others refer
     to it.  Only digests held more than once are joined back; a digest of very many pages is a skewed
     join, which adaptive execution splits, and its largest id is found before the shuffle.
     """
-    payload = as_bytes(F.col(f"`{payload_col}`"))
-    marked = pages.withColumns({"payload_bytes": F.octet_length(payload).cast("long"), "payload_sha1": F.sha1(payload)})
-    copies = marked.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_sha1").agg(
-        F.max(id_col).alias("_first"), F.count("*").alias("_copies")).where("_copies > 1").select("payload_sha1", "_first")
-    joined = marked.join(copies, "payload_sha1", "left")
-    again = (F.col("_first") != F.col(id_col)) & (F.col("payload_bytes") >= least_bytes)
-    return joined.withColumns({
-        "record_type": F.when(again, "revisit").otherwise("response"), "refers_to": F.when(again, F.col("_first"))}).drop("_first")
+    rows = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{uri_col}`").alias("uri"), as_bytes(F.col(f"`{payload_col}`")).alias("payload"))
+    rows = rows.withColumns({"bytes": F.octet_length("payload").cast("long"), "sha1": F.sha1("payload")})
+    copies = rows.where(F.col("bytes") >= least_bytes).groupBy("sha1").agg(F.max("id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    joined = rows.join(copies.select("sha1", "first"), "sha1", "left")
+    again = (F.col("first") != F.col("id")) & (F.col("bytes") >= least_bytes)
+    again = F.coalesce(again, F.col("id").isNull() & F.col("first").isNotNull() & (F.col("bytes") >= least_bytes))
+    return joined.select("id", "uri", "payload", "bytes", "sha1", F.when(again, "revisit").otherwise("response").alias("kind"), F.when(again, F.col("first")).alias("refers_to"))
 
 
 def write(pages: DataFrame, path: str, id_col: str = "page_id", uri_col: str = "url", payload_col: str = "html", least_bytes: int = 0) -> None:
     """One record for every row, as archives below ``path``.
 
     A null payload is empty and a null address is left out.  A row without an id is written with an empty id and is never
-    referred to.  Rows that repeat an id are records of their own.  An empty table writes no record.
+    referred to.  Rows that repeat an id are records of their own; with one payload, all those of the largest id are responses.
+    An empty table writes no record.
     """
-    marked = with_revisits(pages, id_col, payload_col, least_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cells = zip(*(batch.column(k) for k in range(7)), strict=True)
-            made = [member(*(c.as_py() for c in row)) for row in cells]
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["member"])
-
-    rows = marked.select(
-        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), "record_type", F.coalesce(F.col(f"`{uri_col}`"), F.lit("")).alias("uri"),
-        as_bytes(F.when(F.col("record_type") == "response", F.col(f"`{payload_col}`"))).alias("payload"), "payload_sha1", "payload_bytes",
-        F.col("refers_to").cast("string").alias("refers_to"))
-    members = rows.mapInArrow(run, "member binary").select(F.col("member").cast("string").alias("value"))
-    members.write.option("encoding", "ISO-8859-1").option("lineSep", EMPTY_MEMBER.decode("latin-1")).text(path)
+            yield pa.RecordBatch.from_arrays([pa.array([member(*(c.as_py() for c in row)) for row in cells], pa.binary())], ["member"])
+
+    rows = with_revisits(pages, id_col, uri_col, payload_col, least_bytes).select(
+        F.coalesce(F.col("id").cast("string"), F.lit("")), "kind", F.coalesce("uri", F.lit("")),
+        F.when(F.col("kind") == "response", F.col("payload")).otherwise(F.lit(b"")), "sha1", "bytes", F.col("refers_to").cast("string"))
+    members = rows.toDF("id", "kind", "uri", "payload", "sha1", "bytes", "refers_to").mapInArrow(run, "member binary")
+    members.select(F.col("member").cast("string").alias("value")).write.option("encoding", "ISO-8859-1").option(
+        "lineSep", EMPTY_MEMBER.decode("latin-1")).text(path)
 
 
 def parsed(record: bytes) -> tuple[dict[str, str], bytes] | None:
