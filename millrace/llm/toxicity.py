@@ -253,15 +253,17 @@ def _sample(labels: DataFrame, id_col: str, label_col: str, per_class: int) -> D
     return of[0].unionByName(of[1])
 
 
-def _pick(candidates: list[tuple[str, float]], most: int) -> list[str]:
-    """The strongest words, none very like one taken before."""
+def _pick(candidates: list[str], most: int) -> list[str]:
+    """The first words, none very like one taken before."""
     taken: list[str] = []
-    like = Landmarks([w for w, _ in candidates]).likeness([w for w, _ in candidates]) if candidates else None
-    rows: list[int] = []
-    for n, (word, _) in enumerate(candidates):
-        if len(taken) < most and (not rows or like[n, rows].max() < 0.85):
+    table = np.zeros((_LETTERS**3, most), np.float32)
+    row, key, weight = triples(candidates)
+    edges = np.searchsorted(row, np.arange(len(candidates) + 1))
+    for n, word in enumerate(candidates):
+        own = slice(edges[n], edges[n + 1])
+        if len(taken) < most and (weight[own] @ table[key[own], :max(len(taken), 1)]).max() < 0.85:
+            table[key[own], len(taken)] = weight[own]
             taken.append(word)
-            rows.append(n)
     return taken
 
 
@@ -299,7 +301,7 @@ def train(
         F.sum("toxic").alias("up"), F.sum(1 - F.col("toxic")).alias("down"))
     lift = F.col("up") / totals[1] - 3 * F.col("down") / totals[0]
     top = counts.where("up >= 2").select("word", lift.alias("lift")).where("lift > 0").orderBy(F.desc("lift"), "word").limit(candidates).collect()
-    chosen = _pick([(r.word, r.lift) for r in top], landmarks)
+    chosen = _pick([r.word for r in top], landmarks)
     if not chosen:
         return nothing
 
@@ -312,8 +314,9 @@ def train(
     kind = sample.schema["labelled"].dataType.simpleString()
     taught = rows.select("text", "toxic", "labelled").mapInArrow(described, f"toxic int, labelled {kind}, x array<float>")
     # bounded: 2 * per_class rows of len(chosen) numbers
-    got = taught.orderBy(F.xxhash64("labelled"), "labelled").select("toxic", "x").toPandas()
-    x, y = np.array(got["x"].tolist(), np.float64), np.where(got["toxic"].to_numpy() > 0, 1.0, -1.0)
+    got = taught.orderBy(F.xxhash64("labelled"), "labelled").select("toxic", "x").toArrow()
+    x = got["x"].combine_chunks().flatten().to_numpy().reshape(got.num_rows, -1).astype(np.float64)
+    y = np.where(got["toxic"].to_numpy() > 0, 1.0, -1.0)
     values, vectors = np.linalg.eigh(_near(Landmarks(chosen).likeness(chosen)).astype(np.float64))
     nystroem = np.eye(len(chosen) + 1)
     nystroem[:-1, :-1] = vectors / np.sqrt(np.maximum(values, 1e-2)) @ vectors.T
