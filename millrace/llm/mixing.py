@@ -98,16 +98,21 @@ def _newton(cells: DataFrame, plan: DataFrame, most: int, steps: int, close: flo
 
 
 def _met(cells: DataFrame, most: int, passes: int) -> DataFrame:
-    """``cells`` with ``copies`` moved by whole documents of one size a pass, so that each source's words near its target."""
+    """``cells`` with ``copies`` moved so that each source's words near its target.
+
+    A pass goes down the sizes that fit into the rest and moves as many copies of each as still fit.
+    """
     own = Window.partitionBy("k")
+    larger = own.orderBy(F.col("size").desc()).rowsBetween(Window.unboundedPreceding, -1)
     for _ in range(passes):
-        rest = F.col("target") - F.sum(F.col("copies") * F.col("size")).over(own)
-        cells = cells.withColumn("rest", rest)
+        cells = cells.withColumn("rest", F.col("target") - F.sum(F.col("copies") * F.col("size")).over(own))
         room = F.when(F.col("rest") > 0, F.col("n") * most - F.col("copies")).otherwise(F.col("copies"))
-        fits = (F.col("size") > 0) & (F.col("size") <= F.abs("rest")) & (room > 0)
-        cells = cells.withColumn("best", F.max(F.when(fits, F.col("size"))).over(own))
-        moved = F.least(room, F.floor(F.abs("rest") / F.greatest(F.col("size"), F.lit(1)))) * F.signum("rest").cast("long")
-        cells = cells.withColumn("copies", F.col("copies") + F.when(F.col("size") == F.col("best"), moved).otherwise(F.lit(0))).drop("rest", "best")
+        fits = (F.col("size") > 0) & (F.col("size") <= F.abs("rest"))
+        cells = cells.withColumn("room", F.when(fits, room).otherwise(F.lit(0)))
+        used = F.coalesce(F.sum(F.col("room") * F.col("size")).over(larger), F.lit(0))
+        moved = F.floor((F.abs("rest") - used) / F.greatest(F.col("size"), F.lit(1)))
+        moved = F.least(F.col("room"), F.greatest(moved, F.lit(0))) * F.signum("rest").cast("long")
+        cells = cells.withColumn("copies", F.col("copies") + moved).drop("rest", "room")
     return cells
 
 

@@ -96,12 +96,15 @@ class View:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
 
 
-def _sums(column: pa.ListArray, ratios: np.ndarray, mean: bool) -> np.ndarray:
-    """Sum, or mean, of the ratios of each row's features."""
+def _sums(column: pa.ListArray, ratios: np.ndarray, damped: bool) -> np.ndarray:
+    """Sum of the ratios of each row's features, or that over the root of their number."""
     offsets = column.offsets.to_numpy()
-    total = np.concatenate([[0.0], np.cumsum(ratios[column.values.to_numpy()])])
-    sums = total[offsets[1:]] - total[offsets[:-1]]
-    return sums / np.maximum(np.diff(offsets), 1) ** 0.5 if mean else sums
+    lengths = np.diff(offsets)
+    sums = np.zeros(len(lengths))
+    if lengths.any():
+        # row by row, so that a row's sum does not depend on the rows around it
+        sums[lengths > 0] = np.add.reduceat(ratios[column.values.to_numpy()[offsets[0]:offsets[-1]]], offsets[:-1][lengths > 0] - offsets[0])
+    return sums / np.maximum(lengths, 1) ** 0.5 if damped else sums
 
 
 def margins(batch: pa.RecordBatch, text: View, meta: View) -> tuple[np.ndarray, np.ndarray]:
@@ -168,7 +171,8 @@ def _taught(rows: DataFrame, views: tuple[View, View] | None, sure: float, weigh
                     for name in names:
                         column = batch.column(batch.schema.get_field_index(name))
                         lengths = np.diff(column.offsets.to_numpy())
-                        sums[k][y] += np.bincount(column.values.to_numpy(), np.repeat(use, lengths), sums[k].shape[1])
+                        values = column.values.to_numpy()[column.offsets[0].as_py():column.offsets[-1].as_py()]
+                        sums[k][y] += np.bincount(values, np.repeat(use, lengths), sums[k].shape[1])
         for k in (0, 1):
             found = np.flatnonzero(sums[k].any(axis=0))
             ids = np.append(found, -1)

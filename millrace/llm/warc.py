@@ -114,23 +114,19 @@ def parsed(record: bytes) -> tuple[dict[str, str], bytes] | None:
 class _Member:
     """A member that is being put together from the pieces between magics."""
 
-    def __init__(self, first: int, piece: bytes):
+    def __init__(self) -> None:
         self.unpack = zlib.decompressobj(31)
-        self.first, self.out, self.pieces, self.sound = first, [], [], True
-        self.add(piece)
+        self.out: list[bytes] = []
+        self.sound = True
 
     def add(self, piece: bytes) -> None:
-        self.pieces.append(piece)
         try:
             self.out.append(self.unpack.decompress(MAGIC + piece))
         except zlib.error:
             self.sound = False
-
-    @property
-    def begins(self) -> bool:
-        """Whether it may be a member: it decodes, to nothing yet or to a WARC header."""
-        head = b"".join(self.out)[:5]
-        return self.sound and (b"WARC/".startswith(head) if len(head) < 5 else head == b"WARC/")
+        head = b"".join(self.out)[:5] if len(self.out) < 6 else b"WARC/"
+        # it goes on as long as it decodes, to nothing yet or to a WARC header
+        self.sound = self.sound and (b"WARC/".startswith(head) if len(head) < 5 else head == b"WARC/")
 
     def record(self, with_payload: bool) -> dict | None:
         """The record of an ended member; None for an empty member, or if length or digest do not hold."""
@@ -149,77 +145,96 @@ class _Member:
             "sound": sound and (kind == "revisit" or int(length) == len(body)), "payload": body if with_payload else None}
 
 
+class _Assembler:
+    """Members from a series of pieces.
+
+    A piece that cannot begin a member is passed over.  When an attempt fails, the piece behind its beginning is
+    tried next, so a damaged member or a magic by chance never hides the members behind it.
+    """
+
+    def __init__(self, with_payload: bool) -> None:
+        self.with_payload = with_payload
+        self.pending: list = []   # (place, piece) from the beginning of the attempt
+        self.member: _Member | None = None
+
+    def feed(self, place, piece: bytes) -> Iterator[tuple[dict | None, list]]:
+        """For what is settled with this piece: its record, or None, and its (place, piece) pairs."""
+        ahead = [(place, piece)]
+        while ahead:
+            self.pending.append(ahead.pop(0))
+            if self.member is None:
+                self.member = _Member()
+            self.member.add(self.pending[-1][1])
+            if not self.member.sound:
+                ahead, settled = [*self.pending[1:], *ahead], self.pending[:1]
+                self.pending, self.member = [], None
+                yield None, settled
+            elif self.member.unpack.eof:
+                record, settled = self.member.record(self.with_payload), self.pending
+                self.pending, self.member = [], None
+                yield record, settled
+
+
 _RECORD = pa.schema([
     ("record_id", pa.string()), ("record_type", pa.string()), ("target_uri", pa.string()), ("payload_digest", pa.string()),
     ("payload_bytes", pa.int64()), ("refers_to", pa.string()), ("sound", pa.bool_()), ("payload", pa.binary()),
 ])
-_LEFT = [("file", pa.string()), ("start", pa.int64()), ("n", pa.int64()), ("tail", pa.bool_()), ("bytes", pa.binary())]
+_LEFT = [("file", pa.string()), ("start", pa.int64()), ("n", pa.int64()), ("bytes", pa.binary())]
 _BOTH = pa.schema([*_RECORD, *_LEFT])
 _RECORD_DDL = (
     "record_id string, record_type string, target_uri string, payload_digest string, payload_bytes long, refers_to string, "
     "sound boolean, payload binary")
-_BOTH_DDL = f"{_RECORD_DDL}, file string, start long, n long, tail boolean, bytes binary"
+_BOTH_DDL = f"{_RECORD_DDL}, file string, start long, n long, bytes binary"
 
 
 def _assembled(with_payload: bool):
     """Records from (file, start of range, piece) rows, which come in the order of the file.
 
-    What a range cannot finish is left over: pieces before its first member (they belong to one that began in
-    an earlier range) and those of a member that has not ended with it.
+    What a range cannot settle is left over: all before its first record (it may belong to one that began in
+    an earlier range) and what has not ended with it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, n, opened = None, None, 0, False
+        at, n, opened, maker = None, 0, False, _Assembler(with_payload)
 
-        def left(first: int, tail: bool, pieces: list[bytes]) -> list[dict]:
-            return [{"file": at[0], "start": at[1], "n": first + k, "tail": tail, "bytes": p} for k, p in enumerate(pieces)]
+        def left(pieces: list) -> list[dict]:
+            return [{"file": at[0], "start": at[1], "n": k, "bytes": p} for k, p in pieces]
 
         for batch in batches:
             out = []
             for file, start, piece in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 if (file, start) != at:
-                    out += left(held.first, True, held.pieces) if held else []
-                    at, held, n, opened = (file, start), None, 0, False
+                    out += left(maker.pending)
+                    at, n, opened, maker = (file, start), 0, start == 0, _Assembler(with_payload)
                 n += 1
                 if start == 0 and n == 1 and not piece:  # what stands before the file's first magic
                     continue
-                if held:
-                    held.add(piece)
-                    if not held.sound:
-                        out += [] if opened else left(held.first, False, held.pieces[:-1])
-                        held = None
-                if not held:
-                    held = _Member(n, piece)
-                    if not held.begins:
-                        out += [] if opened else left(n, False, [piece])
-                        held = None
-                if held and held.unpack.eof:
-                    opened = True
-                    found = held.record(with_payload)
-                    out += [found] if found else []
-                    held = None
+                for record, settled in maker.feed(n, piece):
+                    if record:
+                        opened = True
+                        out.append(record)
+                    elif not opened:
+                        out += left(settled)
             yield pa.RecordBatch.from_pylist(out, schema=_BOTH)
-        if held:
-            yield pa.RecordBatch.from_pylist(left(held.first, True, held.pieces), schema=_BOTH)
+        if maker.pending:
+            yield pa.RecordBatch.from_pylist(left(maker.pending), schema=_BOTH)
 
     return run
 
 
 def _across(with_payload: bool):
-    """Members that go over a range's end, from one file's left-over pieces."""
+    """Members that go over a range's end, from one file's left-over pieces.  Those that do not belong together fail their checksum."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        out, held = [], None
-        for start, n, tail, piece in group.sort_values(["start", "n"])[["start", "n", "tail", "bytes"]].itertuples(index=False):
-            if held and (not tail or held.start == start):
-                held.add(bytes(piece))
-            elif tail:
-                held = _Member(n, bytes(piece))
-                held.start = start
-            if held and held.unpack.eof:
-                found = held.record(with_payload)
-                out += [found] if found else []
-                held = None
+        maker, out = _Assembler(with_payload), []
+        for start, n, piece in group.sort_values(["start", "n"])[["start", "n", "bytes"]].itertuples(index=False):
+            out += [record for record, _ in maker.feed((start, n), bytes(piece)) if record]
+        ahead = [piece for _, piece in maker.pending]
+        while len(ahead) > 1:  # the last attempt never ended: try what stands behind its beginning
+            ahead, maker = ahead[1:], _Assembler(with_payload)
+            for k, piece in enumerate(ahead):
+                out += [record for record, _ in maker.feed(k, piece) if record]
+            ahead = [piece for _, piece in maker.pending]
         return pd.DataFrame(out, columns=_RECORD.names)
 
     return run
