@@ -2,21 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 WORD = r"[\p{L}\p{N}]+"
 
-# Above this many words an alternation is tried word by word too often, and the
-# set lookup of the vectorised form below is cheaper.
-REGEX_WORDS = 500
-
-
 def blank(column: Column | str) -> Column:
     """True for null and for the empty string."""
     column = F.col(column) if isinstance(column, str) else column
@@ -31,45 +23,46 @@ def tokenize(text: Column | str, words: Iterable[str] = ()) -> Column:
     run of Latin letters and digits, else a single character.
     """
     text = F.lower(F.col(text) if isinstance(text, str) else text)
-    listed = sorted({w.lower() for w in words if w}, key=lambda w: (-len(w), w))
-    if not listed:
-        return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    if len(listed) <= REGEX_WORDS:
-        pattern = "|".join([_quoted(w) for w in listed] + ["[a-z0-9]+", r"[\p{L}\p{N}]"])
-        return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return _longest_match(listed)(text)
-
-
-def _quoted(word: str) -> str:
-    return "".join(c if c.isalnum() else "\\" + c for c in word)
-
-
-def _longest_match(listed: list[str]):
-    known = frozenset(listed)
-    lengths = sorted({len(w) for w in listed}, reverse=True)
-    latin = re.compile("[a-z0-9]+")
-
-    def cut(text: str | None) -> list[str] | None:
-        if text is None:
-            return None
-        out, at = [], 0
-        while at < len(text):
-            found = next((text[at:at + n] for n in lengths if text[at:at + n] in known), None)
-            if found is None:
-                run = latin.match(text, at)
-                found = run.group() if run else text[at]
-                if not found[0].isalnum():
-                    at += 1
-                    continue
-            out.append(found)
-            at += len(found)
-        return out
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def segment(texts: pd.Series) -> pd.Series:
-        return texts.map(cut)
-
-    return segment
+    listed = {w.lower() for w in words if w}
+    pattern = f"{_longest_of(listed)}|[a-z0-9]+|[\\p{{L}}\\p{{N}}]" if listed else WORD
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+
+def _longest_of(listed: set[str]) -> str:
+    """Regular expression for the longest listed word at a place, whatever their number.
+
+    The words share their beginnings as a tree.  A node's branches are a balanced tree of ranges of
+    characters, so a place is decided in about as many tests as the logarithm of the branches.
+    """
+    tree: dict = {}
+    for word in listed:
+        node = tree
+        for c in word:
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def char(c: str) -> str:
+        return c if c.isascii() and c.isalnum() else f"\\x{{{ord(c):x}}}"
+
+    def either(branches: list[tuple[str, str]]) -> str:
+        if len(branches) <= 4:
+            return "|".join(expression for _, expression in branches)
+        half = len(branches) // 2
+        return "|".join(
+            f"(?=[{char(part[0][0])}-{char(part[-1][0])}])(?:{either(part)})" for part in (branches[:half], branches[half:]))
+
+    def below(node: dict) -> str:
+        out = ""
+        while len(node) == 1 and "" not in node:  # no choice: no group
+            (c, node), = node.items()
+            out += char(c)
+        branches = [(c, char(c) + below(child)) for c, child in sorted(node.items()) if c]
+        if not branches:
+            return out
+        # what is longer is tried first; where a word ends, nothing more is right too
+        return f"{out}(?:{either(branches)}){'?' if '' in node else ''}"
+
+    return below(tree)
 
 
 def match_score(text: Column | str, query: str) -> Column:

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.latest import latest_by_key
-from millrace.operators.logs import parse_clean
+from millrace.operators.logs import is_json_object, parse_clean
 from millrace.schemas import CHANGE, CONNECT_VALUE, ROUTE, TEXT_MAP
 
 FACT_SINK, DIM_SINK = "kafka", "hbase"
 
-# Which changes the forwarder passes on, and where to.
+# Which changes the forwarder passes on, and where to.
 STATIC_ROUTES = {
     "order_info": (("insert",), "order_info"),
     "order_detail": (("insert",), "order_detail"),
@@ -20,18 +22,31 @@ STATIC_ROUTES = {
 }
 
 
-def decode_connect(records: DataFrame, topic: str = "topic", value: str = "value") -> DataFrame:
-    """Connector records (topic ``server.database.table``) to change records."""
+# The connector's operation codes and names.
+OPERATIONS = {"c": "insert", "create": "insert", "u": "update", "d": "delete", "r": "read"}
+
+
+def decode_connect(
+    records: DataFrame, topic: str = "topic", value: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Connector records (topic ``server.database.table``) to change records, with the columns named in ``keep``.
+
+    Operation codes and names become the change's type; an unknown one is passed on as it is.  Values that are
+    not JSON objects are dropped.
+    """
     envelope = F.from_json(value, CONNECT_VALUE)
-    rows = records.select(F.split(topic, r"\.").alias("path"), F.inline(F.array(envelope)))
+    rows = records.where(is_json_object(value)).select(
+        F.split(topic, r"\.").alias("path"), F.inline(F.array(envelope)), *keep)
     op = F.lower("op")
+    named = F.try_element_at(F.create_map(*[F.lit(x) for pair in OPERATIONS.items() for x in pair]), op)
     empty = F.create_map().cast(TEXT_MAP)
     return rows.select(
         F.try_element_at("path", F.lit(2)).alias("database"),
         F.try_element_at("path", F.lit(3)).alias("tableName"),
-        F.when(op == "create", "insert").otherwise(op).alias("type"),
+        F.coalesce(named, op).alias("type"),
         F.coalesce("after", empty).alias("data"),
         F.coalesce("before", empty).alias("before"),
+        *keep,
     )
 
 

@@ -14,23 +14,31 @@ from millrace.schemas import LOG_LINE
 _DIRTY = "_dirty"
 
 
+# Stands behind the line in the probe of is_json_object; no line can hold it by accident.
+_END = "8d1f6c1e-end-of-line"
+
+
+def is_json_object(line: Column | str) -> Column:
+    """True for a line that is one valid JSON object and nothing else; false for null.
+
+    The probe is an array of the line and a mark: whatever follows the object, or ends it early, moves the mark.
+    """
+    line = F.col(line) if isinstance(line, str) else line
+    probe = F.try_parse_json(F.concat(F.lit("["), line, F.lit(f',"{_END}"]')))
+    whole = F.try_variant_get(probe, "$[1]", "string") == _END
+    return F.coalesce(line.rlike(r"^\s*\{") & whole, F.lit(False))
+
+
 def parse_json(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Add ``record`` (the parsed line) and ``_dirty`` (line is not a JSON object).
 
-    The line is parsed once: ``inline`` keeps later filters on the parsed fields
-    from being pushed down as a second parse.
+    A field of another shape than the schema's reads as null, and the line stays clean.  The line is read into fields
+    once: ``inline`` keeps later filters on them from being pushed down as a second parse.
     """
-    broken = "_broken"
-    parsed = F.from_json(
-        F.col(value),
-        T.StructType([*schema.fields, T.StructField(broken, T.StringType())]),
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken},
-    )
-    rows = lines.select("*", F.inline(F.array(F.struct(parsed.alias("record")))))
-    is_object = F.ltrim(F.col(value)).startswith("{")
-    return rows.withColumn(
-        _DIRTY, ~F.coalesce(is_object & F.col(f"record.{broken}").isNull(), F.lit(False))
-    )
+    parsed = F.from_json(F.col(value), schema, {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"})
+    rows = lines.select("*", is_json_object(value).alias("_object"))
+    rows = rows.select("*", F.inline(F.array(F.struct(parsed.alias("record")))))
+    return rows.withColumn(_DIRTY, ~F.col("_object")).drop("_object")
 
 
 def parse_clean(
@@ -100,8 +108,3 @@ def is_keyword_search() -> Column:
         & (F.col("page.item_type") == "keyword")
         & F.col("page.item").isNotNull()
     )
-
-
-def keyword_searches(pages: DataFrame) -> DataFrame:
-    """Search texts and their times."""
-    return pages.where(is_keyword_search()).select(F.col("page.item").alias("fullword"), "ts")

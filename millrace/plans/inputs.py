@@ -67,7 +67,13 @@ class Tables:
             of(F.array(item(k, "sku_id"), item(k + 1, "activity_id")), "click").alias("displays"),
             F.col("ms").alias("ts"),
         )
-        line = F.when(kind == "error", F.concat(F.lit("error at "), text("event_id"))).otherwise(F.to_json(record))
+        number = text("event_id")
+        broken = (
+            F.when(k % 5 == 1, F.concat(F.lit('{"log_id":"'), number, F.lit('"} tail')))
+            .when(k % 5 == 2, F.concat(F.lit('{"log_id":"'), number, F.lit('"}{"log_id":"0"}')))
+            .when(k % 5 == 3, F.concat(F.lit("{'log_id':'"), number, F.lit("'}")))
+            .otherwise(F.concat(F.lit("error at "), number)))
+        line = F.when(kind == "error", broken).otherwise(F.to_json(record))
         return self.events().select(line.alias("value"))
 
     def startup_logs(self) -> DataFrame:

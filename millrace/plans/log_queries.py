@@ -22,7 +22,10 @@ def parse_clean(t: Tables):
     )
 
 
-@query("parse_dirty", "SELECT 'error at ' || event_id AS value FROM events WHERE event_type = 'error'")
+@query("parse_dirty", '''
+    SELECT CASE k % 5 WHEN 1 THEN '{"log_id":"' || event_id || '"} tail' WHEN 2 THEN '{"log_id":"' || event_id || '"}{"log_id":"0"}'
+        WHEN 3 THEN '{' || chr(39) || 'log_id' || chr(39) || ':' || chr(39) || event_id || chr(39) || '}' ELSE 'error at ' || event_id END AS value
+    FROM (SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE event_type = 'error')''')
 def parse_dirty(t: Tables):
     return logs.parse_dirty(t.log_lines())
 

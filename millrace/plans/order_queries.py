@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from datetime import timedelta
 
 from pyspark.sql import functions as F
@@ -325,18 +327,27 @@ def keyword_stats(t: Tables):
     return stats.keyword_stats(t.search_pages(), "30 days").select("keyword", "ct", "source", "stt", "edt", "ts")
 
 
+def _with_view(t: Tables, df, statement):
+    """A SQL statement over a view whose name nobody else has; it is resolved once and the view dropped."""
+    view = f"rows_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    try:
+        return statement(view)
+    finally:
+        t.spark.catalog.dropTempView(view)
+
+
 @query("keyword_stats_sql", SQL["keyword_stats"])
 def keyword_stats_sql(t: Tables):
     pages = t.search_pages().withColumn("event_time", from_millis_whole_seconds("ts"))
-    pages.createOrReplaceTempView("search_pages")
-    return sql_stats.keyword_stats(t.spark, "search_pages", "30 days")
+    return _with_view(t, pages, lambda view: sql_stats.keyword_stats(t.spark, view, "30 days"))
 
 
 @query("province_stats_sql", SQL["province_stats"])
 def province_stats_sql(t: Tables):
     wide = enrich(province_orders(t), t.dims(), [_order_dims()[1]])
-    wide.withColumnRenamed("create_time", "event_time").createOrReplaceTempView("province_orders")
-    return sql_stats.province_stats(t.spark, "province_orders", "30 days")
+    orders_at = wide.withColumnRenamed("create_time", "event_time")
+    return _with_view(t, orders_at, lambda view: sql_stats.province_stats(t.spark, view, "30 days"))
 
 
 @query("tokenize", """
@@ -421,3 +432,17 @@ def search_page(t: Tables):
 def search_terms(t: Tables):
     # The buckets cover all hits, not only the page shown.
     return search.top_terms(_hits(t), "source", max_chars=F.max("n_chars"))
+
+
+@query("tokenize_dictionary", r"""
+    WITH listed AS (
+        SELECT string_agg(w, '|' ORDER BY length(w) DESC, w) || '|[a-z0-9]+|[\p{L}\p{N}]' AS pattern
+        FROM (SELECT DISTINCT lower(unnest([p_name, string_split(p_name, ' ')[1], string_split(p_name, ' ')[2]])) AS w FROM part)),
+    cut AS (SELECT doc_id, regexp_extract_all(lower(text), pattern) AS ws FROM documents, listed)
+    SELECT doc_id, CAST(len(ws) AS BIGINT) AS words, md5(array_to_string(ws, ' ')) AS digest FROM cut""")
+def tokenize_dictionary(t: Tables):
+    """Documents cut by the part names and their words; the list is a setting, here a few dozen names."""
+    names = {r.p_name for r in t.table("part").select("p_name").distinct().collect()}
+    listed = names | {word for name in names for word in name.split(" ")[:2]}
+    cut = t.table("documents").select("doc_id", words_of("text", listed).alias("ws"))
+    return cut.select("doc_id", F.size("ws").cast("long").alias("words"), F.md5(F.array_join("ws", " ").cast("binary")).alias("digest"))

@@ -1,4 +1,7 @@
-"""Record schemas.  Streams never infer a schema."""
+"""Record schemas.  Streams never infer a schema.
+
+Fixed values: field and column names, and their order, are those of the shop's topics and tables.
+"""
 
 from __future__ import annotations
 
@@ -79,7 +82,6 @@ EVENT_LOG = _record(
     mid="string", uid="string", appid="string", area="string", os="string", type="string",
     evid="string", pgid="string", npgid="string", itemid="string", ts="long",
 )
-SEARCH_DOC = _record(id="string", name="string", sex="int", age="int", favo="string")
 
 _PROVINCE = ["province_name", "province_area_code", "province_iso_code", "province_3166_2_code"]
 _PRODUCT = ["spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name"]

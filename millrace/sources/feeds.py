@@ -77,12 +77,12 @@ def read_kafka(
     start: str | None = None,
     extra: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Lines of a topic.  A batch read covers what the topic holds."""
+    """Lines of a topic with their place in it.  A batch read covers what the topic holds."""
     start = start or ("latest" if streaming else "earliest")
     reader = spark.readStream if streaming else spark.read
     options = {**kafka_options(servers, topic, group, start), **(extra or {})}
     rows = reader.format("kafka").options(**options).load()
-    return rows.selectExpr("CAST(value AS STRING) AS value", "topic", "timestamp")
+    return rows.selectExpr("CAST(value AS STRING) AS value", "topic", "partition", "offset", "timestamp")
 
 
 def read_files(
@@ -97,9 +97,20 @@ def read_files(
 
 
 def records(lines: DataFrame, feed: str | Feed, keep: Sequence[str] = ()) -> DataFrame:
-    """Typed records of a feed's lines; malformed lines are left out."""
+    """Typed records of a feed's lines; malformed lines are left out.
+
+    Numbers may come as numbers or as text, as change records send them.  A value that does not fit its type
+    reads as null, and the record stays.
+    """
     feed = FEEDS[feed] if isinstance(feed, str) else feed
-    return parse_clean(lines, feed.schema, keep=keep)
+    scalar = lambda t: not isinstance(t, (T.StructType, T.ArrayType, T.MapType))
+    as_text = T.StructType([T.StructField(f.name, T.StringType() if scalar(f.dataType) else f.dataType) for f in feed.schema])
+    rows = parse_clean(lines, as_text, keep=keep)
+    typed = [
+        F.col(f.name).try_cast(f.dataType).alias(f.name) if scalar(f.dataType) and f.dataType != T.StringType() else F.col(f.name)
+        for f in feed.schema
+    ]
+    return rows.select(*typed, *keep)
 
 
 def register(lines: DataFrame, feed: str | Feed, view: str | None = None) -> DataFrame:

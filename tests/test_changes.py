@@ -20,6 +20,12 @@ def test_connector_record(spark):
             ("src.shop.user_info", json.dumps({"op": "CREATE", "after": {"id": 1, "name": "a"}})),
             ("src.shop.user_info", json.dumps({"op": "DELETE", "before": {"id": 1}})),
             ("src.shop.user_info", json.dumps({"op": "Update", "before": {"id": 1}, "after": {"id": 2}})),
+            ("src.shop.codes", json.dumps({"op": "c", "after": {"id": 3}})),
+            ("src.shop.codes", json.dumps({"op": "u", "after": {"id": 4}})),
+            ("src.shop.codes", json.dumps({"op": "d", "before": {"id": 5}})),
+            ("src.shop.codes", json.dumps({"op": "r", "after": {"id": 6}})),
+            ("src.shop.codes", json.dumps({"op": "t", "after": {"id": 7}})),
+            ("src.shop.user_info", "garbage"), ("src.shop.user_info", "[1]"), ("src.shop.user_info", None),
         ],
         "topic string, value string",
     )
@@ -28,6 +34,9 @@ def test_connector_record(spark):
         ("shop", "user_info", "insert"): ({"id": "1", "name": "a"}, {}),
         ("shop", "user_info", "delete"): ({}, {"id": "1"}),
         ("shop", "user_info", "update"): ({"id": "2"}, {"id": "1"}),
+        ("shop", "codes", "insert"): ({"id": "3"}, {}), ("shop", "codes", "update"): ({"id": "4"}, {}),
+        ("shop", "codes", "delete"): ({}, {"id": "5"}), ("shop", "codes", "read"): ({"id": "6"}, {}),
+        ("shop", "codes", "t"): ({"id": "7"}, {}),
     }
 
 

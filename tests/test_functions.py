@@ -1,5 +1,7 @@
 import random
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import codes, moments, sql, text
@@ -7,7 +9,7 @@ from millrace.operators import search
 from millrace.sources.tables import camel_columns, jdbc_options
 from tests.conftest import rows
 
-PHONE = "Apple iPhoneXSMax (A2104) 256GB 深空灰色 移动联通电信4G手机 双卡双待"
+PHONE = "Kettle ProBoil3 (K77) 900ML 墨绿色 快煮静音保温2L水壶 防干烧"
 
 
 def words(spark, value, **kw):
@@ -16,7 +18,7 @@ def words(spark, value, **kw):
 
 def test_words(spark):
     assert words(spark, PHONE) == [
-        "apple", "iphonexsmax", "a2104", "256gb", "深空灰色", "移动联通电信4g手机", "双卡双待",
+        "kettle", "proboil3", "k77", "900ml", "墨绿色", "快煮静音保温2l水壶", "防干烧",
     ]
     assert words(spark, None) is None and words(spark, " ,!") == []
 
@@ -30,22 +32,39 @@ def test_words_in_sql(spark):
 
 
 def test_dictionary_takes_the_longest_word(spark):
-    known = ["深空", "深空灰色", "移动", "联通", "电信", "手机", "双卡双待"]
-    assert words(spark, PHONE, words=known)[4:] == ["深空灰色", "移动", "联通", "电信", "4g", "手机", "双卡双待"]
-    assert words(spark, "灰a灰", words=known) == ["灰", "a", "灰"]
-
-
-def test_large_dictionary_cuts_alike(spark):
-    rng = random.Random(1)
-    letters = "深空灰色移动联通电信手机双卡待ab4"
-    known = {"".join(rng.choices(letters, k=rng.randint(1, 3))) for _ in range(450)}
-    more = known | {f"zz{i}" for i in range(300)}
-    df = spark.createDataFrame(
-        [("".join(rng.choices(letters + " ,.", k=40)),) for _ in range(50)] + [(None,)], "t string"
-    )
-    small, large = text.tokenize("t", known), text.tokenize("t", more)
-    got = df.select(small.alias("a"), large.alias("b")).collect()
-    assert all(r.a == r.b for r in got) and len(more) > text.REGEX_WORDS >= len(known)
+    known = ["墨绿", "墨绿色", "快煮", "静音", "保温", "水壶", "防干烧"]
+    assert words(spark, PHONE, words=known)[4:] == ["墨绿色", "快煮", "静音", "保温", "2l", "水壶", "防干烧"]
+    assert words(spark, "绿a绿", words=known) == ["绿", "a", "绿"]
+
+
+@pytest.mark.parametrize("size", [3, 450, 501, 5000])
+def test_dictionaries_of_any_size_cut_by_the_longest_word(spark, size):
+    rng = random.Random(size)
+    letters = "深空灰色移动联通电信手机双卡待ab4é-"
+    wide = letters if size < 1000 else letters + "".join(chr(0x4E00 + k) for k in range(600))
+    known = {"".join(rng.choices(wide, k=rng.randint(1, 4))) for _ in range(size)}
+
+    def cut(line):
+        out, at = [], 0
+        while at < len(line):
+            found = max((line[at:at + n] for n in range(1, 5) if line[at:at + n] in known), key=len, default=None)
+            found = found or (re.match("[a-z0-9]+", line[at:]) or re.match(r"\w?", line[at:])).group()
+            out += [found] if found else []
+            at += len(found) or 1
+        return out
+
+    lines = ["".join(rng.choices(wide + " ,.", k=40)) for _ in range(60)]
+    df = spark.createDataFrame([(t,) for t in [*lines, None, ""]], "t string")
+    got = {r.t: r.words for r in df.select("t", text.tokenize("t", known).alias("words")).collect()}
+    assert got == {t: cut(t) for t in lines} | {None: None, "": []}
+
+
+def test_letters_are_the_same_whatever_the_list(spark):
+    """One letter class, also for code points that were letters only in some Unicode versions."""
+    df = spark.range(0x860, 0x8A0).select(F.chr("id").alias("c")).where("false").unionByName(
+        spark.createDataFrame([(chr(c),) for c in (*range(0x860, 0x8A0), 0x1F600, 0x41, 0x2460)], "c string"))
+    few, many = text.tokenize("c", ["zz"]), text.tokenize("c", [f"zz{k}" for k in range(900)])
+    assert df.where(~few.eqNullSafe(many)).count() == 0
 
 
 def test_names():
