@@ -41,7 +41,7 @@ CODES = {
     "coupon_range": {"3301": "category", "3302": "trademark", "3303": "product"},
 }
 APPRAISE_GOOD = "1201"
-KEYWORD_SEARCH, KEYWORD_CLICK, KEYWORD_CART, KEYWORD_ORDER = "SEARCH", "CLICK", "CART", "ORDER"
+KEYWORD_SEARCH = "SEARCH"
 
 
 def code_label(kind: str, code: Column | str) -> Column:

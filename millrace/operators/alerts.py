@@ -63,8 +63,10 @@ def alert_evidence(
     """What the alerts rest on, in long form: ``kind`` uid, item or event, value and count.
 
     The users, the items and the event list of an alert are each a set of rows
-    with counts; no list grows with the traffic of a device.
+    with counts; no list grows with the traffic of a device.  Only the events of devices that have an
+    alert are counted.
     """
+    events = events.join(alerts.select("mid").distinct(), "mid", "left_semi")
     took = F.col("evid") == coupon
     facts = F.array(
         F.struct(F.lit("event").alias("kind"), F.col("evid").alias("value")),
@@ -103,5 +105,7 @@ def throttled(alerts: DataFrame) -> DataFrame:
     The alert with the latest ``ts`` (then window) wins, as an overwrite by id would leave it.
     """
     keyed = alerts.withColumn("doc_id", F.concat("mid", minute_bucket("ts").cast("string")))
-    newest = F.max(F.struct("ts", *[c for c in alerts.columns if c not in ("ts", "mid")], "mid"))
+    rest = [c for c in alerts.columns if c not in ("ts", "mid", "stt")]
+    first = ["ts", "stt"] if "stt" in alerts.columns else ["ts"]
+    newest = F.max(F.struct(*first, *rest, "mid"))
     return keyed.groupBy("doc_id").agg(newest.alias("alert")).select("doc_id", "alert.*")

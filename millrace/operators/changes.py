@@ -50,9 +50,9 @@ def decode_connect(
     )
 
 
-def parse_changes(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Change records from JSON lines; malformed lines are dropped."""
-    return parse_clean(lines, CHANGE, value)
+def parse_changes(lines: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Change records from JSON lines, with the columns named in ``keep``; malformed lines are dropped."""
+    return parse_clean(lines, CHANGE, value, keep)
 
 
 def with_after_image(changes: DataFrame) -> DataFrame:

@@ -59,8 +59,10 @@ def look_ahead(pages: DataFrame, time_ms: Column, within: timedelta, spans_per_c
 
     Adds ``_cell`` and ``_own``.  Every page is once in its own cell; a page less
     than ``within`` after a cell start is also copied, as ``_own = false``, to the
-    cell before, where it can only serve as the next page of another one.
+    cell before, where it can only serve as the next page of another one.  A page without
+    a device or a time is neither a bounce nor the end of one, and is left out.
     """
+    pages = pages.where(F.col("mid").isNotNull() & time_ms.isNotNull())
     reach = within // timedelta(milliseconds=1)
     width = reach * spans_per_cell
     cell = F.floor(time_ms / width)

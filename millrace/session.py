@@ -23,22 +23,6 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-PARTITION_BYTES = 128 << 20
-
-
-def shuffle_settings(shuffle_bytes: int, cores: int) -> dict[str, str]:
-    """Settings for the largest shuffle of a batch job, by its size.
-
-    AQE merges small shuffle partitions but splits large ones only under a join, so
-    a job starts with enough of them: about 128 MB each, in whole waves of ``cores``.
-    """
-    waves = max(1, -(-shuffle_bytes // (PARTITION_BYTES * cores)))
-    return {
-        "spark.sql.shuffle.partitions": str(waves * cores),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
-    }
-
-
 def build_session(app: str = "millrace", master: str | None = None, **extra: str) -> SparkSession:
     """Create a session with :data:`SETTINGS`; ``extra`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)

@@ -22,19 +22,5 @@ def read_query(
     return camel_columns(rows) if camel else rows
 
 
-def read_table(
-    spark: SparkSession, url: str, table: str, *, column: str, lower: int, upper: int, partitions: int,
-    driver: str | None = None,
-) -> DataFrame:
-    """A whole table in parallel: ranges of a numeric key, one task each."""
-    options = {
-        "url": url, "dbtable": table, "partitionColumn": column, "lowerBound": str(lower),
-        "upperBound": str(upper), "numPartitions": str(partitions), "fetchsize": "10000",
-    }
-    if driver:
-        options["driver"] = driver
-    return spark.read.format("jdbc").options(**options).load()
-
-
 def camel_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[camel_case(c) for c in df.columns])

@@ -134,34 +134,42 @@ def forwarded(change_lines: DataFrame) -> DataFrame:
 
 
 def base_db_writer(
-    read_routes: Callable[[], DataFrame], write_facts: BatchWriter, dim_tables: Callable[[str, str], UpsertTable]
+    read_routes: Callable[[], DataFrame], write_facts: BatchWriter, dim_tables: Callable[[str, str, list[str]], UpsertTable],
+    order: str | None = None,
 ) -> BatchWriter:
     """Route change lines by the routing table as it stands at each micro-batch.
 
     ``read_routes`` reads the routing table anew; facts go to ``write_facts`` as
-    (topic, value), dimension rows to ``dim_tables(sink table, key)``, ordered by
-    ``batch`` and ``seq``.
+    (topic, value), dimension changes to ``dim_tables(sink table, key, columns)``, a table with the
+    column ``image``: a change sets the columns its route lists.  Every configured dimension is created, also
+    before its first row.  ``order`` names the column of the source position (a topic's ``offset``), by which a
+    batch's changes are ordered; without it their place in the input files counts.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         routes = read_routes()
-        rows = changes.with_after_image(changes.parse_changes(batch))
-        routed = changes.route_by_config(
-            rows.withColumns({"batch": F.lit(batch_id), "seq": F.monotonically_increasing_id()}), routes
-        ).persist()
+        # offsets rise within a partition, and a key's changes are in one: the offset alone orders them
+        placed = batch.withColumn("seq", F.col(order).cast("long") if order else F.monotonically_increasing_id())
+        rows = changes.with_after_image(changes.parse_changes(placed, keep=["seq"])).withColumn("batch", F.lit(batch_id).cast("long"))
+        routed = changes.route_by_config(rows, routes).persist()
         try:
             write_facts(routed_messages(changes.facts(routed)), batch_id)
             # One writer per configured dimension: a handful of routing rows.
             targets = routes.where(F.col("sinkType") == changes.DIM_SINK).select(
                 "sinkTable", F.coalesce("sinkPk", F.lit("id")).alias("key"), "sinkColumns"
             ).distinct().collect()
-            for table in {t.sinkTable for t in targets}:
-                mine = [t for t in targets if t.sinkTable == table]
-                columns = sorted({c for t in mine for c in t.sinkColumns.split(",")} | {mine[0].key})
-                dim_rows = changes.dims(routed).where(F.col("sinkTable") == table).select(
-                    *[F.try_element_at("data", F.lit(c)).alias(c) for c in columns], "batch", "seq"
-                )
-                dim_tables(table, mine[0].key).write(dim_rows.where(F.col(mine[0].key).isNotNull()), batch_id)
+            for name in sorted({t.sinkTable for t in targets}):
+                mine = [t for t in targets if t.sinkTable == name]
+                keys = {t.key for t in mine}
+                if len(keys) > 1:
+                    raise ValueError(f"routes give {name} different keys: {sorted(keys)}")
+                key, = keys
+                columns = sorted({c for t in mine for c in t.sinkColumns.split(",")} | {key})
+                table = dim_tables(name, key, columns)
+                table.declare(batch.sparkSession)
+                dim_rows = changes.dims(routed).where(F.col("sinkTable") == name).select(
+                    F.try_element_at("data", F.lit(key)).alias(key), F.col("data").alias("image"), "batch", "seq")
+                table.write(dim_rows.where(F.col(key).isNotNull()), batch_id)
         finally:
             routed.unpersist()
 
@@ -269,6 +277,24 @@ def coupon_alert(event_lines: DataFrame, window: str = "5 minutes", slide: str =
     return alerts.coupon_alerts(with_log_time(records(event_lines, "event_log")), window, slide, delay=delay, **options)
 
 
+def alert_writer(table: UpsertTable, read_events: Callable[[], DataFrame] | None = None, **options) -> BatchWriter:
+    """Write alerts into a table keyed by ``doc_id`` (device and minute); the last one of an id stays.
+
+    With ``read_events``, a reader of the stored events, each alert's users, items and events are written with it.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        found = batch.persist()
+        try:
+            if read_events is not None:
+                found = alerts.alert_documents(batch, alerts.alert_evidence(batch, read_events(), **options))
+            table.write(alerts.throttled(found), batch_id)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
 def sale_detail(
     order_lines: DataFrame, detail_lines: DataFrame, arrival: str = "timestamp", **bounds
 ) -> DataFrame:

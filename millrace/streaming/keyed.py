@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from millrace.functions.moments import from_millis, minute_bucket
+from millrace.functions.moments import from_millis
 from millrace.operators.logs import is_entry
 from millrace.operators.visits import TIE, look_ahead, with_log_time
 
@@ -50,13 +50,6 @@ def daily_actives(logs: DataFrame, delay: str = DAY, salts: int = 8) -> DataFram
     return first_seen(dated, ["mid", "logDate"], delay, salts).drop("event_time")
 
 
-def throttled(alerts: DataFrame, delay: str = "5 minutes") -> DataFrame:
-    """The first alert of each device and minute, under the id ``mid + minute``."""
-    keyed = alerts.withColumn("doc_id", F.concat("mid", minute_bucket("ts").cast("string")))
-    keyed = keyed.withColumn("event_time", from_millis("ts")).withWatermark("event_time", delay)
-    return keyed.dropDuplicatesWithinWatermark(["doc_id"]).drop("event_time")
-
-
 # -- bounces ----------------------------------------------------------------
 
 def user_jumps(
@@ -129,24 +122,22 @@ def user_jumps(
 def repair_is_new(logs: DataFrame, tie: str = TIE, shards: int = 256) -> DataFrame:
     """Of a device's records claiming ``is_new = 1`` only the first keeps the claim.
 
+    Only claims go through state; all other records, and claims without a device, pass by it as they are.
     Before the shuffle each Arrow batch settles all but its earliest claim per
-    device; only that one is sent to the device's state.  Everything else is spread
+    device; only that one is sent to the device's state.  The settled ones are spread
     over ``shards`` keys, so a busy device does not fill one task.  The state is
     one flag per device and is never dropped.
     """
+    claim = F.coalesce((F.col("is_new") == "1") & F.col("mid").isNotNull(), F.lit(False))
+    claims, others = logs.where(claim), logs.where(~claim)
     order = ["ts", "tie"]
     record = F.to_json(F.struct(*logs.columns), {"ignoreNullFields": "true"})
-    rows = logs.select(
-        "mid", "ts", F.col(tie).alias("tie"), (F.col("is_new") == "1").alias("claim"), record.alias("record")
-    )
+    rows = claims.select("mid", "ts", F.col(tie).alias("tie"), record.alias("record"))
 
     def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            claims = batch[batch["claim"].eq(True) & batch["mid"].notna()]
-            first = claims.sort_values(order, kind="stable").drop_duplicates("mid").index
-            yield batch.assign(
-                candidate=batch.index.isin(first), repaired=batch.index.isin(claims.index.difference(first))
-            )
+            first = batch.index.isin(batch.sort_values(order, kind="stable").drop_duplicates("mid").index)
+            yield batch.assign(candidate=first, repaired=~first)
 
     flags = [T.StructField(name, T.BooleanType()) for name in ("candidate", "repaired")]
     settled = rows.mapInPandas(settle, T.StructType([*rows.schema.fields, *flags]))
@@ -174,4 +165,5 @@ def repair_is_new(logs: DataFrame, tie: str = TIE, shards: int = 256) -> DataFra
         flag, "record string, repaired boolean", "seen boolean", "append", GroupStateTimeout.NoTimeout
     )
     out = done.select("repaired", F.inline(F.array(F.from_json("record", logs.schema))))
-    return out.withColumn("is_new", F.when(F.col("repaired"), "0").otherwise(F.col("is_new"))).select(*logs.columns)
+    out = out.withColumn("is_new", F.when(F.col("repaired"), "0").otherwise(F.col("is_new"))).select(*logs.columns)
+    return others.unionByName(out)

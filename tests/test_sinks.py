@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import changes
-from millrace.session import checkpoint_root, shuffle_settings
+from millrace.session import checkpoint_root
 from millrace.sinks import files, jdbc, kafka
 from millrace.sources import feeds
 from tests.conftest import rows
@@ -56,14 +56,49 @@ def test_dated_archive_append_and_many(spark, tmp_path):
     assert rows(spark.read.text(str(tmp_path / "raw")), "value") == [("x",), ("y",)]
 
 
-def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
-    for name in ("bucketed_a", "bucketed_b"):
-        files.write_bucketed(spark.range(50).withColumnRenamed("id", "k"), name, "k", 4, str(tmp_path / name))
-    joined = spark.table("bucketed_a").hint("merge").join(spark.table("bucketed_b"), "k")
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan and "Exchange" not in plan and joined.count() == 50
-    for name in ("bucketed_a", "bucketed_b"):
-        spark.sql(f"DROP TABLE {name}")
+def dim(path, columns=("id", "a", "b"), **options):
+    return files.UpsertTable(str(path), ["id"], ["batch", "seq"], image="image", columns=columns, **options)
+
+
+def change_rows(spark, *data):
+    return spark.createDataFrame(list(data), "id string, image map<string,string>, batch long, seq long")
+
+
+def test_changes_set_only_the_columns_they_carry(spark, tmp_path):
+    table = dim(tmp_path / "d")
+    table.declare(spark)
+    assert table.read(spark).count() == 0 and table.read(spark).columns == ["id", "a", "b", "batch", "seq"]
+    table.write(change_rows(spark, ("1", {"id": "1", "a": "x", "b": "y"}, 0, 0), ("2", {"id": "2", "a": "p"}, 0, 1), ("2", {"b": "q"}, 0, 2)), 0)
+    table.write(change_rows(spark, ("1", {"a": "z"}, 1, 0), ("2", {"a": None}, 1, 1)), 1)
+    want = [("1", "z", "y"), ("2", None, "q")]
+    assert rows(table.read(spark), "id", "a", "b") == want
+    table.compact(spark, 1)
+    assert rows(table.read(spark), "id", "a", "b") == want
+    # a column added by configuration appears, for old rows without a value
+    table.write(change_rows(spark, ("2", {"c": "new"}, 2, 0)), 2)
+    wider = dim(tmp_path / "d", ("id", "a", "b", "c"))
+    assert rows(wider.read(spark), "id", "a", "b", "c") == [("1", "z", "y", None), ("2", None, "q", "new")]
+
+
+def test_unfinished_folders_are_not_read(spark, tmp_path):
+    table = files.UpsertTable(str(tmp_path / "t"), ["id"], ["seq"])
+    table.write(batch(spark, *[(str(k), "a", k, False) for k in range(10)]), 0)
+    table.compact(spark, 0)
+    table.write(batch(spark, ("3", "b", 20, False)), 1)
+    # writers that have not finished: files are there, the mark is not
+    for folder in ("snapshots/upto=5", "changes/batch_id=6"):
+        batch(spark, ("0", "broken", 99, False)).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{tmp_path}/t/{folder}")
+    got = dict(rows(table.read(spark), "id", "v"))
+    assert len(got) == 10 and got["3"] == "b" and got["0"] == "a"
+
+
+def test_folders_stay_few(spark, tmp_path):
+    table = files.UpsertTable(str(tmp_path / "t"), ["id"], ["seq"], compact_every=5)
+    most = 0
+    for k in range(36):
+        table.write(batch(spark, (str(k % 4), f"v{k}", k, False)).coalesce(1), k)
+        most = max(most, *(len(list((tmp_path / "t" / part).glob("*=*"))) for part in ("changes", "snapshots") if (tmp_path / "t" / part).exists()))
+    assert most <= 11 and rows(table.read(spark), "id", "v") == [("0", "v32"), ("1", "v33"), ("2", "v34"), ("3", "v35")]
 
 
 def test_kafka_options_and_messages(spark):
@@ -122,9 +157,3 @@ def test_checkpoint_folder_comes_from_the_session():
     assert checkpoint_root(Session({}), "/shared/x/") == "/shared/x"
     with pytest.raises(ValueError):
         checkpoint_root(Session({}))
-
-
-def test_shuffle_partitions_grow_with_the_data():
-    of = lambda size: int(shuffle_settings(size, 4_000)["spark.sql.shuffle.partitions"])
-    assert of(1) == 4_000
-    assert of(10 << 40) == 84_000 and (10 << 40) / of(10 << 40) < 128 << 20

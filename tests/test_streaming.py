@@ -361,14 +361,62 @@ def test_coupon_alert_stream(feeds):
     assert rows(got) == rows(want) and got.count() > 3
 
 
-def test_throttled_alerts_stream(feeds, spark):
-    schema = "mid string, uid_ct long, ts long"
-    data = [{"mid": f"m{i % 2}", "uid_ct": 3, "ts": T + i * 7_000} for i in range(40)]
+def test_throttled_alerts_stream(feeds, spark, tmp_path):
+    """The last alert of a device and minute wins, on streams as in the batch form."""
+    schema = "mid string, stt string, uid_ct long, ts long"
+    data = [{"mid": f"m{i % 2}", "stt": f"s{i}", "uid_ct": i, "ts": T + i * 7_000} for i in range(40)]
     feeds.put("alerts", *chunks(data, 4))
     parsed = lambda read: logs.parse_clean(read("alerts"), _parse_datatype_string(schema))
-    got = feeds.run(keyed.throttled(parsed(feeds.stream)))
+    table = files.UpsertTable(str(tmp_path / "docs"), ["doc_id"], ["ts", "stt"])
+    feeds.run(parsed(feeds.stream), jobs.alert_writer(table))
     want = alerts.throttled(parsed(feeds.batch))
-    assert rows(got, "doc_id") == rows(want, "doc_id")
+    columns = ("doc_id", "mid", "stt", "uid_ct", "ts")
+    assert rows(table.read(spark), *columns) == rows(want, *columns)
+
+
+def test_alert_documents_from_streams(feeds, spark, tmp_path):
+    """Alerts with their users, items and events, written by id from the alerts and events of a stream."""
+    data = [
+        {"mid": f"m{i % 4}", "uid": f"u{i % 5}", "evid": "clickItem" if i % 41 == 0 else "coupon", "itemid": f"i{i % 3}",
+         "ts": T + i * 5_000} for i in range(160)
+    ]
+    feeds.put("events", *chunks(data, 20), [{"mid": "end", "evid": "x", "ts": END}])
+    read = lambda: records(feeds.batch("events"), "event_log")
+    table = files.UpsertTable(str(tmp_path / "docs"), ["doc_id"], ["ts", "stt"])
+    feeds.run(jobs.coupon_alert(feeds.stream("events")), jobs.alert_writer(table, read))
+    found = alerts.coupon_alerts(read())
+    want = alerts.throttled(alerts.alert_documents(found, alerts.alert_evidence(found, read())))
+    columns = ("doc_id", "stt", "uids", "itemIds", "events")
+    assert rows(table.read(spark), *columns) == rows(want, *columns) and want.count() > 3
+
+
+@pytest.mark.parametrize("operator", ["unique", "daily", "jumps", "repair"])
+def test_missing_devices_and_times_agree_with_batch(feeds, operator):
+    """A record without a device or a time never stops a stream, and both forms say the same about it."""
+    data = [log(i, f"m{i % 3}", T + i * 20_000) for i in range(12)]
+    for i, record in enumerate(data):
+        if i % 4 == 1:
+            record.pop("ts")
+        if i % 4 == 2:
+            record["common"].pop("mid")
+        record["common"]["is_new"] = "1" if i % 2 else "0"
+    feeds.put("pages", *chunks(data, 3), [log(99, "end", END, "home")])
+    parsed = lambda read: logs.page_logs(logs.parse_logs(read("pages")))
+    stream, batch = {
+        "unique": (keyed.unique_visits, visits.unique_visits), "daily": (keyed.daily_actives, visits.daily_actives),
+        "jumps": (keyed.user_jumps, visits.user_jumps), "repair": (keyed.repair_is_new, visits.repair_is_new)}[operator]
+    got, want = feeds.run(stream(parsed(feeds.stream))), batch(parsed(feeds.batch))
+    if operator == "jumps":
+        seen = [r for r in rows(want, "log_id", "mid", "ts") if r[1] != "end"]
+        assert rows(got, "log_id", "mid", "ts") == seen and all(m is not None and t is not None for _, m, t in seen) and seen
+    elif operator == "repair":
+        assert rows(got, "log_id", "mid") == rows(want, "log_id", "mid") and got.count() == 13
+        # of a device's claims one is kept, and a record without a device is left as it is
+        kept = lambda df: rows(df.where("is_new = '1'").groupBy("mid").count())
+        assert kept(got) == kept(want)
+    else:
+        timed = lambda df: df.where("ts IS NOT NULL AND mid IS NOT NULL")
+        assert timed(got).select("mid").distinct().count() == timed(want).select("mid").distinct().count() > 0
 
 
 def test_sale_detail_stream_with_users(feeds, spark, tmp_path):
@@ -427,11 +475,48 @@ def test_base_db_reads_the_routes_anew(feeds, spark, tmp_path):
             ('base_trademark', 'update', 'hbase', 'dim_tm', '{columns}', NULL, NULL)
             AS t(sourceTable, operateType, sinkType, sinkTable, sinkColumns, sinkPk, sinkExtend)""")
 
-    table = files.UpsertTable(str(tmp_path / "dim_tm"), ["id"], ["batch", "seq"])
+    def table(name, key, columns):
+        return files.UpsertTable(str(tmp_path / name), [key], ["batch", "seq"], image="image", columns=columns)
+
     facts = str(tmp_path / "facts")
-    feeds.run(feeds.stream("db"), jobs.base_db_writer(routes, files.by_topic(facts), lambda name, key: table))
+    feeds.run(feeds.stream("db"), jobs.base_db_writer(routes, files.by_topic(facts), table))
     assert rows(spark.read.json(facts), "topic", "value") == [("dwd_order_info", '{"id":"1"}'), ("dwd_order_info", '{"id":"2"}')]
-    assert rows(table.read(spark), "id", "tm_name") == [("1", "ACME")] and len(reads) == 2
+    assert rows(table("dim_tm", "id", ["id", "tm_name"]).read(spark), "id", "tm_name") == [("1", "ACME")] and len(reads) == 2
+    # configured, and without any row so far
+    assert table("dim_empty", "code", ["code", "name"]).read(spark).columns[:2] == ["code", "name"]
+    assert table("dim_empty", "code", ["code"]).read(spark).count() == 0
+
+
+def test_one_dimension_has_one_key(spark, tmp_path):
+    routes = spark.sql("""SELECT * FROM VALUES ('a', 'insert', 'hbase', 'dim', 'id,x', NULL, NULL), ('a', 'update', 'hbase', 'dim', 'id,x', 'x', NULL)
+        AS t(sourceTable, operateType, sinkType, sinkTable, sinkColumns, sinkPk, sinkExtend)""")
+    write = jobs.base_db_writer(lambda: routes, lambda *_: None, lambda *_: None)
+    with pytest.raises(ValueError, match="different keys"):
+        write(spark.createDataFrame([("{}",)], "value string"), 0)
+
+
+def test_connector_records_reach_the_province_statistics(feeds, spark):
+    """Connector to routing to facts to statistics, with numbers sent as text, as the topics carry them."""
+    def envelope(table, **image):
+        return json.dumps({"topic": f"s.shop.{table}", "value": json.dumps({"op": "c", "after": image})})
+
+    feeds.put("connect", [
+        envelope("order_info", id="1", province_id="7", user_id=5, total_amount="12.50", create_time="2021-03-01 09:00:00"),
+        envelope("order_detail", id="11", order_id="1", sku_id=3, split_total_amount="12.50", create_time="2021-03-01 09:00:01"),
+        envelope("order_info", id="2", province_id="7", user_id="6", total_amount="x", create_time="2021-03-01 09:30:00"),
+        envelope("order_detail", id="12", order_id=2, sku_id="3", split_total_amount=2, create_time="2021-03-01 09:30:01")])
+    connector = feeds.stream("connect").select(F.json_tuple("value", "topic", "value").alias("topic", "value"))
+    feeds.put("db", [r.value for r in feeds.run(jobs.change_messages(connector)).collect()])
+    routes = spark.sql("""SELECT * FROM VALUES
+        ('order_info', 'insert', 'kafka', 'orders', 'id,province_id,user_id,total_amount,create_time', NULL, NULL),
+        ('order_detail', 'insert', 'kafka', 'details', 'id,order_id,sku_id,split_total_amount,create_time', NULL, NULL)
+        AS t(sourceTable, operateType, sinkType, sinkTable, sinkColumns, sinkPk, sinkExtend)""")
+    sent = []
+    feeds.run(feeds.stream("db"), jobs.base_db_writer(lambda: routes, lambda batch, _: sent.extend(batch.collect()), lambda *_: None))
+    for topic in ("orders", "details"):
+        feeds.put(topic, [r.value for r in sent if r.topic == topic])
+    wide = jobs.order_wide(feeds.batch("orders"), feeds.batch("details"))
+    assert rows(wide, "order_id", "sku_id", "user_id") == [(1, 3, 5), (2, 3, 6)]
 
 
 def test_user_stream_keeps_the_latest(feeds, spark, tmp_path):
