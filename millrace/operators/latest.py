@@ -26,3 +26,13 @@ def first_by_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[st
 def latest_by_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str]) -> DataFrame:
     """The last record of each key (what an upsert store holds)."""
     return _one_per_key(df, keys, [F.col(c).desc() for c in order])
+
+
+def latest_by_column(df: DataFrame, keys: Sequence[str], image: str, order: Sequence[str]) -> DataFrame:
+    """Per key the latest value of every column that some row's map ``image`` carries, as such a map.
+
+    One row a carried column, so it is the columns, few per key, that are gathered again, never the rows.
+    """
+    values = df.select(*keys, *order, F.explode(image).alias("_name", "_value"))
+    last = latest_by_key(values, [*keys, "_name"], order)
+    return last.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_name", "_value"))).alias(image))

@@ -101,6 +101,24 @@ def product_rows(
     return _watermarked(rows, "event_time", delay)
 
 
+def rows_in_one_pass(
+    df: DataFrame, sku: str, time: Column, order: str, kinds: Sequence[tuple[str, Column | None, Column | None, Column | None]],
+    delay: str | None = None,
+) -> DataFrame:
+    """Several kinds of product rows from one read of a source: (kind, when, number, amount) each; ``when`` None is always."""
+    counted = set(_ORDER_COUNTS.values())
+    facts = []
+    for kind, when, number, amount in kinds:
+        fact = F.struct(
+            F.lit(kind).alias("kind"), (F.col(order) if kind in counted else F.lit(None)).cast("long").alias("order_id"),
+            F.lit(0 if number is None else number).cast("long").alias("number"),
+            F.lit(0 if amount is None else amount).cast("decimal(16,2)").alias("amount"))
+        facts.append(fact if when is None else F.when(when, fact))
+    rows = _watermarked(df.withColumn("event_time", time), "event_time", delay)
+    made = F.filter(F.array(*facts), lambda f: f.isNotNull())
+    return rows.select("event_time", F.col(sku).try_cast("long").alias("sku_id"), F.inline(made))
+
+
 def page_rows(pages: DataFrame, delay: str | None = None) -> DataFrame:
     """Clicks (a product's detail page) and displays of products, in one pass.
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-
 from datetime import timedelta
 
 from pyspark.sql import functions as F
@@ -11,12 +10,15 @@ from pyspark.sql import functions as F
 from millrace.functions.codes import code_label
 from millrace.functions.moments import from_millis_whole_seconds
 from millrace.functions.text import tokenize as words_of
-from millrace.operators import joins, orders, reports, search, sql_stats, stats
+from millrace.operators import changes, joins, orders, reports, search, sql_stats, stats
 from millrace.operators.joins import DimSpec, enrich
-from millrace.plans.inputs import AS_OF, DIMS_SQL, PAGES_SQL, USER_SQL, Tables
+from millrace.plans.inputs import AS_OF, DIMS_SQL, PAGES_SQL, ROUTE_NAMES, USER_SQL, Tables
 from millrace.plans.registry import SQL, query
 from millrace.plans.visit_queries import _pages
 from millrace.schemas import PRODUCT_STATS_COLUMNS, PROVINCE_STATS_COLUMNS
+from millrace.sinks.kafka import routed_messages
+from millrace.sources.feeds import records
+from millrace.streaming import jobs
 
 # Order and ship dates are midnights, so the bounds are days instead of seconds.
 _BOUNDS = {"lower": timedelta(days=-5), "upper": timedelta(days=5)}
@@ -246,25 +248,19 @@ def province_stats(t: Tables):
 
 
 def product_sources(t: Tables) -> list:
-    """The seven product sources, from page records and order lines."""
-    pages, lines = _pages(t), t.details()
-    kind = F.col("event_type")
-    touched = t.events().select(F.col("k").alias("sku_id"), F.timestamp_millis("ms").alias("create_time"), "event_type")
+    """The seven product sources, from page records and order lines; a table is read once for all rows it gives."""
+    pages, kind = _pages(t), F.col("event_type")
+    touched = t.events().where(kind.isin("view", "purchase")).select(
+        F.col("k").alias("sku_id"), F.timestamp_millis("ms").alias("create_time"), F.when(kind == "view", "favor").otherwise("cart").alias("touch"))
     order = t.orders().select(F.col("id").alias("_order"), F.col("create_time").alias("placed"))
-    placed = lines.join(order, F.col("order_id") == F.col("_order")).withColumn("create_time", F.col("placed"))
-    returned = lines.where(F.col("sku_name") == "R").withColumnRenamed("order_price", "refund_amount")
-    judged = t.table("lineitem").select(
-        F.col("l_partkey").alias("sku_id"), F.col("l_shipdate").cast("timestamp").alias("create_time"),
-        F.when(F.col("l_linestatus") == "F", "1201").otherwise("1202").alias("appraise"),
-    )
+    placed = t.details().join(order, F.col("order_id") == F.col("_order")).withColumn("create_time", F.col("placed"))
+    price = F.col("l_extendedprice").cast("decimal(16,2)")
+    shipped = stats.rows_in_one_pass(
+        t.table("lineitem"), "l_partkey", F.col("l_shipdate").cast("timestamp"), "l_orderkey", [
+            ("payment", None, None, price), ("refund", F.col("l_returnflag") == "R", None, price),
+            ("comment", None, F.when(F.col("l_linestatus") == "F", 1).otherwise(0), None)])
     return [
-        stats.page_rows(pages),
-        stats.favor_rows(touched.where(kind == "view")),
-        stats.cart_rows(touched.where(kind == "purchase")),
-        stats.order_rows(placed),
-        stats.payment_rows(lines.withColumnRenamed("create_time", "payment_create_time")),
-        stats.refund_rows(returned),
-        stats.comment_rows(judged),
+        stats.page_rows(pages), stats.product_rows(touched, F.col("touch"), "sku_id", F.col("create_time")), stats.order_rows(placed), shipped,
     ]
 
 
@@ -446,3 +442,38 @@ def tokenize_dictionary(t: Tables):
     listed = names | {word for name in names for word in name.split(" ")[:2]}
     cut = t.table("documents").select("doc_id", words_of("text", listed).alias("ws"))
     return cut.select("doc_id", F.size("ws").cast("long").alias("words"), F.md5(F.array_join("ws", " ").cast("binary")).alias("digest"))
+
+
+_FACT_ROUTES = """
+    ('order_info', 'insert', 'kafka', 'orders', 'id,user_id,order_status,total_amount,create_time', NULL, NULL),
+    ('order_detail', 'insert', 'kafka', 'details', 'id,order_id,sku_id,split_total_amount,create_time', NULL, NULL)"""
+
+
+def _as_connect_records(t: Tables, rows, name: str, columns: list[str]):
+    """Rows as the connector sends inserts: operation code and an image in which every value is text."""
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") if c == "create_time" else F.col(c).cast("string")
+    image = F.struct(*[text(c).alias(c) for c in columns], F.lit("x").alias("unrouted"))
+    return rows.select(F.lit(f"source.shop.{name}").alias("topic"), F.to_json(F.struct(F.lit("c").alias("op"), image.alias("after"))).alias("value"))
+
+
+@query("cdc_to_order_wide", f"""
+    SELECT CAST(l_linenumber AS BIGINT) AS detail_id, o_orderkey AS order_id, l_partkey AS sku_id,
+           CAST({_MONEY} AS DOUBLE) AS split_total_amount, {_STATUS_SQL} AS order_status, o_custkey AS user_id,
+           o_totalprice AS total_amount, strftime(o_orderdate, '{_DATE}') AS create_time,
+           strftime(o_orderdate, '%Y-%m-%d') AS create_date, strftime(o_orderdate, '%H') AS create_hour
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey AND {_NEAR_SQL}""")
+def cdc_to_order_wide(t: Tables):
+    """From connector records through change lines, routing and fact messages to joined orders."""
+    routes = t.spark.sql(f"SELECT * FROM VALUES {_FACT_ROUTES} AS t({ROUTE_NAMES})")
+    sent = {}
+    for name, topic, rows, columns in (
+        ("order_info", "orders", t.orders(), ["id", "user_id", "order_status", "total_amount", "create_time"]),
+        ("order_detail", "details", t.details(), ["id", "order_id", "sku_id", "split_total_amount", "create_time"]),
+    ):
+        lines = jobs.change_messages(_as_connect_records(t, rows, name, columns))
+        routed = changes.route_by_config(changes.with_after_image(changes.parse_changes(lines)), routes)
+        sent[topic] = routed_messages(changes.facts(routed)).where(F.col("topic") == topic)
+    wide = orders.order_wide(records(sent["orders"], "dwd_order_info"), records(sent["details"], "dwd_order_detail"), **_BOUNDS)
+    return wide.select(
+        "detail_id", "order_id", "sku_id", "split_total_amount", "order_status", "user_id", "total_amount",
+        "create_time", "create_date", "create_hour")

@@ -187,6 +187,26 @@ def dim_latest(t: Tables):
     return latest.latest_by_key(rows, ["id"], ["ms", "event_id"]).select("id", "event_id", "event_type", "k")
 
 
+@query("dim_upsert_columns", f"""
+    WITH {E_SQL},
+    every AS (
+        SELECT user_id, k FROM e QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ms DESC, event_id DESC) = 1),
+    clicked AS (
+        SELECT user_id, event_id FROM e WHERE event_type = 'click'
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ms DESC, event_id DESC) = 1)
+    SELECT user_id AS id, CAST(k AS VARCHAR) AS k, CAST(event_id AS VARCHAR) AS last_click
+    FROM every LEFT JOIN clicked USING (user_id)""")
+def dim_upsert_columns(t: Tables):
+    """Events as partial updates of a user: all set ``k``, only clicks set ``last_click``."""
+    carried = F.create_map(
+        F.lit("k"), F.col("k").cast("string"),
+        F.lit("last_click"), F.when(F.col("event_type") == "click", F.col("event_id").cast("string")))
+    rows = t.events().select(
+        F.col("user_id").alias("id"), F.map_filter(carried, lambda name, value: (name != "last_click") | value.isNotNull()).alias("image"), "ms", "event_id")
+    found = latest.latest_by_column(rows, ["id"], "image", ["ms", "event_id"])
+    return found.select("id", *[F.try_element_at("image", F.lit(c)).alias(c) for c in ("k", "last_click")])
+
+
 @query("user_latest", f"""
     WITH {E_SQL}
     SELECT CAST(user_id AS VARCHAR) AS id, event_type AS user_level, CAST(k AS VARCHAR) AS login_name FROM e

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.moments import day_of
-from millrace.operators.latest import latest_by_key
+from millrace.operators.latest import latest_by_column, latest_by_key
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -136,10 +136,7 @@ class UpsertTable:
         if self.image is None:
             return latest_by_key(rows, self.keys, self.order)
         rest = [c for c in rows.columns if c not in (*self.keys, *self.order, self.image)]
-        # One row a column that a change carries, the latest of each, and back; bounded by the columns of a table.
-        values = rows.select(*self.keys, *self.order, F.explode(self.image).alias("_name", "_value"))
-        images = latest_by_key(values, [*self.keys, "_name"], self.order).groupBy(*self.keys).agg(
-            F.map_from_entries(F.collect_list(F.struct("_name", "_value"))).alias(self.image))
+        images = latest_by_column(rows, self.keys, self.image, self.order)
         last = latest_by_key(rows, self.keys, self.order).select(*self.keys, *self.order, *rest)
         return last.join(images, self.keys, "left").select(*rows.columns)
 
