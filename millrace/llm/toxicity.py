@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from millrace.llm.shared import as_bytes, written
 
 TRIPLE = 3
-REACH = 6      # letters that a triple may stretch over
+REACH = 5      # letters that a triple may stretch over
 DECAY = 0.7    # weight of each letter it stretches over
 LONGEST = 24   # a longer word is read in overlapping pieces of this length
 NEAR = 0.45    # likeness below which a word is not like a landmark at all
@@ -35,16 +35,25 @@ LANDMARKS = 160
 PER_CLASS = 5_000
 _LETTERS = 32
 
-_SPACED = re.compile(r"(?<![^\W\d_])[^\W\d_](?:[\W_]{1,3}[^\W\d_](?![^\W\d_])){3,}")
+_SPACED = re.compile(rb"(?<!\S)[a-z](?:\s{1,3}[a-z](?!\S)){3,}")
+_ACCENT = re.compile(rb"\xcc[\x80-\xbf]|\xcd[\x80-\xaf]")  # combining marks, U+0300 to U+036F
+_MARKS = bytes(b for b in range(128) if not chr(b).isalpha() and not chr(b).isspace() or 0x1C <= b < 0x20)
 _SHAPES = [(0, i, j) for i, j in combinations(range(1, REACH), TRIPLE - 1)]
 _SHAPE_WEIGHT = np.array([DECAY ** (j + 1) for _, _, j in _SHAPES], np.float32)
 
 
-def letters(word: str) -> str:
-    """Lower-case letters without accents, and nothing else."""
-    if word.isascii() and word.isalpha():
-        return word.lower()
-    return "".join(c for c in unicodedata.normalize("NFKD", word.lower()) if c.isalpha())
+def words_of(text: bytes) -> list[bytes]:
+    """Lower-case words of a UTF-8 text without accents and ASCII marks; letters spaced out as one word besides."""
+    plain = text.decode("utf-8", "replace").lower()
+    if not plain.isascii():
+        plain = unicodedata.normalize("NFKD", plain)
+    flat = _ACCENT.sub(b"", plain.encode("utf-8", "replace")).translate(None, _MARKS)
+    return [*flat.split(), *(b"".join(m.group().split()) for m in _SPACED.finditer(flat))]
+
+
+def _plain(word: bytes) -> str:
+    """The letters of a word; only one that is not ASCII can hold anything else."""
+    return word.decode("ascii") if word.isascii() else "".join(c for c in word.decode("utf-8", "replace") if c.isalpha())
 
 
 def pieces(word: str) -> list[str]:
@@ -128,51 +137,46 @@ def _near(kernel: np.ndarray) -> np.ndarray:
 class Reader:
     """Describes texts by their words' likeness to the landmarks; remembers words, and forgets all at ``most``."""
 
-    def __init__(self, landmarks: Landmarks, most: int = 300_000):
+    def __init__(self, landmarks: Landmarks, most: int = 400_000):
         self.landmarks, self.most = landmarks, most
-        self.known: dict[str, np.ndarray | None] = {}
-        self.pieces: dict[str, np.ndarray | None] = {}
-
-    def learn(self, raw: set[str]) -> None:
-        if len(self.known) > self.most:
-            self.known, self.pieces = {}, {}
-        new = {w: pieces(letters(w)) for w in raw if w not in self.known}
-        unseen = [p for p in {p for own in new.values() for p in own} if p not in self.pieces]
-        for low in range(0, len(unseen), 2048):
-            part = unseen[low:low + 2048]
-            like = self.landmarks.likeness(part, NEAR)
-            self.pieces.update(dict.fromkeys(part))
+        self.seen: set[bytes] = set()
+        self.near: dict[bytes, np.ndarray] = {}
+
+    def learn(self, unseen: set[bytes]) -> None:
+        new = [(w, p) for w in unseen for p in pieces(_plain(w)) if len(p) >= TRIPLE]
+        for low in range(0, len(new), 2048):
+            part = new[low:low + 2048]
+            like = self.landmarks.likeness([p for _, p in part], NEAR)
             for n in np.flatnonzero(like.max(axis=1) > NEAR).tolist():
-                self.pieces[part[n]] = _near(like[n])
-        for w, own in new.items():
-            hits = [h for p in own if (h := self.pieces[p]) is not None]
-            self.known[w] = np.max(hits, axis=0) if hits else None
+                word = part[n][0]
+                self.near[word] = np.maximum(self.near[word], _near(like[n])) if word in self.near else _near(like[n])
+        self.seen |= unseen
 
-    def describe(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def describe(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """For each text the dampened sum of its words' likeness to each landmark, and of all likeness at the end.
 
         The sum over a text's words is the convolution kernel between the text and a landmark.  Letters
         spaced out are read as one word too.
         """
-        width = len(self.landmarks.words)
-        low = 0
+        width, low = len(self.landmarks.words), 0
         while low < len(texts):  # so many texts at a time that their words fit the memory
-            high, words, spaced = low, set(), []
-            while high < len(texts) and len(words) < 50_000:
-                text = texts[high].lower()
-                words.update(text.split())
-                spaced.append([m.group() for m in _SPACED.finditer(text)])
-                words.update(spaced[-1])
-                high += 1
-            self.learn(words)
-            for text, apart in zip(texts[low:high], spaced, strict=True):
+            if len(self.seen) > self.most:
+                self.seen, self.near = set(), {}
+            unseen, read = set(), []
+            while low < len(texts) and len(unseen) < 50_000:
+                words = words_of(texts[low])
+                distinct = set(words)
+                unseen |= distinct - self.seen
+                read.append((words, distinct))
+                low += 1
+            self.learn(unseen)
+            for words, distinct in read:
                 total = np.zeros(width, np.float32)
-                text = text.lower()
-                for word in [*text.split(), *apart]:
-                    if (h := self.known[word]) is not None:
-                        total += h
+                if hits := distinct & self.near.keys():
+                    for word in words:
+                        if word in hits:
+                            total += self.near[word]
                 yield np.append(np.log1p(total), np.log1p(total.sum()))
-            low = high
 
 
 @dataclass
@@ -185,7 +189,7 @@ class Model:
     slope: float
     offset: float
 
-    def margins(self, reader: Reader, texts: list[str]) -> np.ndarray:
+    def margins(self, reader: Reader, texts: list[bytes]) -> np.ndarray:
         return np.fromiter((float(d @ self.weights) + self.bias for d in reader.describe(texts)), np.float64, len(texts))
 
     def probability(self, margin: np.ndarray) -> np.ndarray:
@@ -199,15 +203,11 @@ class Model:
         def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             reader = Reader(Landmarks(model.words))
             for texts in batches:
-                yield pd.Series(model.probability(model.margins(reader, [_text(t) for t in texts])), dtype="float64")
+                yield pd.Series(model.probability(model.margins(reader, [bytes(t) for t in texts])), dtype="float64")
 
         return scored(as_bytes(text))
 
 
-def _text(value: bytes) -> str:
-    return bytes(value).decode("utf-8", "replace")
-
-
 def held_out(id_col: Column) -> Column:
     """Rows that never teach: crc32 of the id as text is a multiple of five; a row without an id is one of them."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 5 == 0
@@ -286,18 +286,16 @@ def train(
     if not totals.get(0) or not totals.get(1):
         return nothing
 
-    def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def taught_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, toxic = [], []
             for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                text = _text(text.as_py()).lower()
-                raw = {*text.split(), *(m.group() for m in _SPACED.finditer(text))}
-                own = {p for w in raw for p in pieces(letters(w)) if len(p) >= TRIPLE}
+                own = {p for w in set(words_of(text.as_py())) for p in pieces(_plain(w)) if len(p) >= TRIPLE}
                 words += own
                 toxic += [label] * len(own)
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(toxic, pa.int32())], ["word", "toxic"])
 
-    counts = rows.select("text", "toxic").mapInArrow(words_of, "word string, toxic int").groupBy("word").agg(
+    counts = rows.select("text", "toxic").mapInArrow(taught_words, "word string, toxic int").groupBy("word").agg(
         F.sum("toxic").alias("up"), F.sum(1 - F.col("toxic")).alias("down"))
     lift = F.col("up") / totals[1] - 3 * F.col("down") / totals[0]
     top = counts.where("up >= 2").select("word", lift.alias("lift")).where("lift > 0").orderBy(F.desc("lift"), "word").limit(candidates).collect()
@@ -308,7 +306,7 @@ def train(
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(Landmarks(chosen))
         for batch in batches:
-            found = [d.tolist() for d in reader.describe([_text(t.as_py()) for t in batch.column(0)])]
+            found = [d.tolist() for d in reader.describe([t.as_py() for t in batch.column(0)])]
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(found, pa.list_(pa.float32()))], ["toxic", "labelled", "x"])
 
     kind = sample.schema["labelled"].dataType.simpleString()
