@@ -54,24 +54,34 @@ def parse_dirty(lines: DataFrame, schema: T.StructType = LOG_LINE, value: str =
     return parse_json(lines, schema, value).where(_DIRTY).select(value)
 
 
-def parse_logs(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Well-formed log lines, with the device fields and typed times on top."""
-    logs = parse_clean(lines, LOG_LINE, value)
+def parse_logs(lines: DataFrame, value: str = "value", schema: T.StructType = LOG_LINE) -> DataFrame:
+    """Well-formed log lines, with the device fields and typed times on top.
+
+    ``schema`` may leave out page fields and displays that are not needed (:func:`only`); less is then parsed.
+    """
+    logs = parse_clean(lines, schema, value)
     return logs.select(
         "log_id",
         "common.*",
         F.struct(
             *[
                 F.col(f"page.{n}").try_cast("long").alias(n) if n == "during_time" else F.col(f"page.{n}")
-                for n in LOG_LINE["page"].dataType.names
+                for n in schema["page"].dataType.names
             ]
         ).alias("page"),
         "start",
-        "displays",
+        *[n for n in ("displays",) if n in schema.names],
         F.col("ts").try_cast("long").alias("ts"),
     )
 
 
+def only(*page_fields: str) -> T.StructType:
+    """The log line's schema with these page fields and without displays."""
+    page = T.StructType([f for f in LOG_LINE["page"].dataType if f.name in page_fields])
+    return T.StructType([
+        T.StructField("page", page) if f.name == "page" else f for f in LOG_LINE if f.name != "displays"])
+
+
 def has_start() -> Column:
     return ~blank("start")
 

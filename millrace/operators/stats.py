@@ -49,18 +49,22 @@ def visitor_rows(logs: DataFrame, delay: str | None = None, **counts: Column) ->
 
 
 def visitor_stats(
-    pages: DataFrame, visits: DataFrame, jumps: DataFrame, window: str = WINDOW, delay: str | None = None
+    pages: DataFrame, visits: DataFrame, jumps: DataFrame | None = None, window: str = WINDOW, delay: str | None = None
 ) -> DataFrame:
-    """Unique visits, pages, sessions, bounces and time spent per visitor group."""
+    """Unique visits, pages, sessions, bounces and time spent per visitor group.
+
+    Without ``jumps`` the pages say themselves, in ``bounced``, whether they are bounces.
+    """
     session = F.when(starts_session(), 1).otherwise(0)
-    rows = _union([
+    own = {} if jumps is not None else {"uj_ct": F.col("bounced").cast("long")}
+    sources = [
         visitor_rows(visits, delay, uv_ct=F.lit(1)),
-        visitor_rows(jumps, delay, uj_ct=F.lit(1)),
         visitor_rows(
             pages, delay, pv_ct=F.lit(1), sv_ct=session,
-            dur_sum=F.coalesce(F.col("page.during_time"), F.lit(0)),
+            dur_sum=F.coalesce(F.col("page.during_time"), F.lit(0)), **own,
         ),
-    ])
+    ]
+    rows = _union(sources if jumps is None else [*sources, visitor_rows(jumps, delay, uj_ct=F.lit(1))])
     stats = rows.groupBy(F.window("event_time", window), *_VISITOR_KEYS).agg(
         *[F.sum(n).alias(n) for n in _VISITOR_SUMS], F.max("ts").alias("ts")
     )

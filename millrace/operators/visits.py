@@ -54,25 +54,44 @@ def not_seen(fresh: DataFrame, seen: DataFrame, keys: tuple[str, ...] = ("mid",
     return fresh.join(seen.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def look_ahead(pages: DataFrame, time_ms: Column, within: timedelta, spans_per_cell: int = 10) -> DataFrame:
+def look_ahead(
+    pages: DataFrame, time_ms: Column, within: timedelta, spans_per_cell: int = 10, spread: Column | None = None
+) -> DataFrame:
     """Cut each device's pages into time cells that overlap by ``within``.
 
     Adds ``_cell`` and ``_own``.  Every page is once in its own cell; a page less
     than ``within`` after a cell start is also copied, as ``_own = false``, to the
     cell before, where it can only serve as the next page of another one.  A page without
-    a device or a time is neither a bounce nor the end of one, and is left out.
+    a device or a time is neither a bounce nor the end of one, and is left out; with ``spread`` it
+    stays, alone in its cell or with few others by the hash of that column.
     """
-    pages = pages.where(F.col("mid").isNotNull() & time_ms.isNotNull())
+    known = F.col("mid").isNotNull() & time_ms.isNotNull()
     reach = within // timedelta(milliseconds=1)
     width = reach * spans_per_cell
     cell = F.floor(time_ms / width)
     early = time_ms - cell * width < reach
     cells = F.when(early, F.array(cell, cell - 1)).otherwise(F.array(cell))
+    if spread is None:
+        pages = pages.where(known)
+    else:
+        cells = F.when(known, cells).otherwise(F.array(F.xxhash64(spread)))
     return pages.select("*", F.posexplode(cells).alias("_copy", "_cell")).withColumn(
         "_own", F.col("_copy") == 0
     ).drop("_copy")
 
 
+def with_bounce(pages: DataFrame, within: timedelta = timedelta(seconds=10), tie: str = TIE) -> DataFrame:
+    """Every page once, with ``bounced``: whether :func:`user_jumps` would return it.  One shuffle by (device, cell)."""
+    reach = within // timedelta(milliseconds=1)
+    line = Window.partitionBy("mid", "_cell").orderBy("ts", tie)
+    gap = F.lead("ts").over(line) - F.col("ts")
+    left = gap.isNull() | (gap >= reach) | F.lead("_entry").over(line)
+    known = F.col("mid").isNotNull() & F.col("ts").isNotNull()
+    cells = look_ahead(pages, F.col("ts"), within, spread=F.col(tie)).withColumn("_entry", is_entry())
+    flagged = cells.withColumn("bounced", F.col("_entry") & known & left)
+    return flagged.where("_own").select(*pages.columns, "bounced")
+
+
 def user_jumps(
     pages: DataFrame, within: timedelta = timedelta(seconds=10), tie: str = TIE
 ) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from millrace.operators import alerts, latest, logs, reports, stats, visits
 from millrace.plans.inputs import DAU_SQL, E_SQL, LOGS_SQL, PAGES_SQL, Tables
 from millrace.plans.registry import query
+from millrace.schemas import LOG_LINE
 
 # The test events are hours apart per device, so the widths are too.
 JUMP_WITHIN = timedelta(hours=6)
@@ -25,13 +26,15 @@ _JUMP_SQL = f"""jumps AS (
       AND (next_ts IS NULL OR next_ts - ts >= {JUMP_WITHIN // timedelta(milliseconds=1)} OR next_entry))"""
 
 
-def _logs(t: Tables):
+def _logs(t: Tables, *page_fields: str):
+    """Log records, with all fields or with those of the page alone that are named."""
+    schema = logs.only(*page_fields) if page_fields else LOG_LINE
     # The tiebreak is a number in the test data; as text it would sort differently.
-    return logs.parse_logs(t.log_lines()).withColumn("log_id", F.col("log_id").cast("long"))
+    return logs.parse_logs(t.log_lines(), schema=schema).withColumn("log_id", F.col("log_id").cast("long"))
 
 
-def _pages(t: Tables):
-    return logs.page_logs(_logs(t))
+def _pages(t: Tables, *page_fields: str):
+    return logs.page_logs(_logs(t, *page_fields))
 
 
 @query("is_new_repair", f"""
@@ -42,19 +45,19 @@ def _pages(t: Tables):
                THEN '0' ELSE is_new END AS is_new
     FROM logs""")
 def is_new_repair(t: Tables):
-    return visits.repair_is_new(_logs(t).select("log_id", "mid", "ts", "is_new"))
+    return visits.repair_is_new(_logs(t, "page_id").select("log_id", "mid", "ts", "is_new"))
 
 
 @query("unique_visit", f"""
     WITH {PAGES_SQL}, {_VISIT_SQL} SELECT CAST(log_id AS BIGINT) AS log_id, mid, page_id, ts FROM visits""")
 def unique_visit(t: Tables):
-    return visits.unique_visits(_pages(t)).select("log_id", "mid", "page.page_id", "ts")
+    return visits.unique_visits(_pages(t, "page_id", "last_page_id")).select("log_id", "mid", "page.page_id", "ts")
 
 
 @query("user_jump", f"""
     WITH {PAGES_SQL}, {_JUMP_SQL} SELECT CAST(log_id AS BIGINT) AS log_id, mid, page_id, ts FROM jumps""")
 def user_jump(t: Tables):
-    return visits.user_jumps(_pages(t), JUMP_WITHIN).select("log_id", "mid", "page.page_id", "ts")
+    return visits.user_jumps(_pages(t, "page_id", "last_page_id"), JUMP_WITHIN).select("log_id", "mid", "page.page_id", "ts")
 
 
 @query("visitor_stats", f"""
@@ -70,10 +73,9 @@ def user_jump(t: Tables):
            CAST(sum(dur) AS BIGINT) AS dur_sum, max(ts) AS ts
     FROM rows GROUP BY ALL""")
 def visitor_stats(t: Tables):
-    pages = _pages(t)
-    return stats.visitor_stats(
-        pages, visits.unique_visits(pages), visits.user_jumps(pages, JUMP_WITHIN), "1 day"
-    )
+    # Bounces are marked on the pages; only the first visits need a second, narrow look at the lines.
+    pages = visits.with_bounce(_pages(t, "last_page_id", "during_time"), JUMP_WITHIN)
+    return stats.visitor_stats(pages, visits.unique_visits(_pages(t, "last_page_id")), window="1 day")
 
 
 def _dau(t: Tables):

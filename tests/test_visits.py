@@ -97,3 +97,13 @@ def test_first_and_latest(spark):
     df = spark.createDataFrame([("k", 1, "a"), ("k", 3, "c"), ("k", 2, "b"), ("j", 1, "z")], "k string, s int, v string")
     assert rows(latest.first_by_key(df, ["k"], ["s"]), "k", "v") == [("j", "z"), ("k", "a")]
     assert rows(latest.latest_by_key(df, ["k"], ["s"]), "k", "v") == [("j", "z"), ("k", "c")]
+
+
+def test_pages_say_themselves_whether_they_are_bounces(spark):
+    """Every page once, marked as the search for bounces finds them; pages without device or time are none."""
+    rng = random.Random(9)
+    data = [(k, rng.choice(["a", "b", None]), None if k % 11 == 0 else k * 1_500 + rng.randrange(900), (rng.choice(["", None, "home"]),)) for k in range(300)]
+    pages = spark.createDataFrame(data, "log_id long, mid string, ts long, page struct<last_page_id:string>").repartition(3)
+    marked = visits.with_bounce(pages, timedelta(seconds=5))
+    assert rows(marked, "log_id") == rows(pages, "log_id")
+    assert rows(marked.where("bounced"), "log_id") == rows(visits.user_jumps(pages, timedelta(seconds=5)), "log_id") != []
