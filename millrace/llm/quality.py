@@ -73,15 +73,15 @@ def features(docs: DataFrame, id_col: str, text_col: str, meta_cols: list[str])
             for text, values in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
                 text = text.as_py()
                 a, b = text_features(text)
-                words.append(a)
+                words.append(packed(a))
                 stats.append(b)
                 meta.append(meta_features(text, values))
             ints = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, ints), pa.array(stats, ints), pa.array(meta, ints)], ["id", "words", "stats", "meta"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary()), pa.array(stats, ints), pa.array(meta, ints)], ["id", "words", "stats", "meta"])
 
     values = F.array(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in meta_cols]).cast("array<string>")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), as_bytes(F.col(f"`{text_col}`")).alias("text"), values.alias("values"))
-    return rows.mapInArrow(run, f"id {kind}, words array<int>, stats array<int>, meta array<int>")
+    return rows.mapInArrow(run, f"id {kind}, words binary, stats array<int>, meta array<int>")
 
 
 @dataclass
@@ -96,23 +96,37 @@ class View:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
 
 
-def _sums(column: pa.ListArray, ratios: np.ndarray, damped: bool) -> np.ndarray:
-    """Sum of the ratios of each row's features, or that over the root of their number."""
-    offsets = column.offsets.to_numpy()
+def packed(ids: list[int]) -> bytes:
+    """Rising numbers as compressed steps: what travels and is stored of a text is about a byte a word."""
+    return zlib.compress(np.diff(np.array(ids, np.uint16), prepend=np.uint16(0)).tobytes(), 1)
+
+
+def _lists(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """All rows' features one behind the other, and where each row begins and ends."""
+    column = batch.column(batch.schema.get_field_index(name))
+    if name != "words":
+        offsets = column.offsets.to_numpy()
+        return column.values.to_numpy()[offsets[0]:offsets[-1]], offsets - offsets[0]
+    steps = [zlib.decompress(x) for x in column.to_pylist()]
+    offsets = np.cumsum([0, *(len(x) // 2 for x in steps)])
+    total = np.cumsum(np.frombuffer(b"".join(steps), np.uint16), dtype=np.int64)
+    before = np.concatenate([[0], total])[offsets[:-1]]
+    return total - np.repeat(before, np.diff(offsets)), offsets
+
+
+def _sums(batch: pa.RecordBatch, name: str, ratios: np.ndarray) -> np.ndarray:
+    """Sum of the ratios of each row's features; words count by the root of their number, so that long texts are not surer than they should be."""
+    values, offsets = _lists(batch, name)
     lengths = np.diff(offsets)
     sums = np.zeros(len(lengths))
     if lengths.any():
         # row by row, so that a row's sum does not depend on the rows around it
-        sums[lengths > 0] = np.add.reduceat(ratios[column.values.to_numpy()[offsets[0]:offsets[-1]]], offsets[:-1][lengths > 0] - offsets[0])
-    return sums / np.maximum(lengths, 1) ** 0.5 if damped else sums
+        sums[lengths > 0] = np.add.reduceat(ratios[values], offsets[:-1][lengths > 0])
+    return sums / np.maximum(lengths, 1) ** 0.5 if name == "words" else sums
 
 
 def margins(batch: pa.RecordBatch, text: View, meta: View) -> tuple[np.ndarray, np.ndarray]:
-    """A text's words count by the root of their number, so that long texts are not surer than they should be."""
-    of = {name: batch.column(batch.schema.get_field_index(name)) for name in ("words", "stats", "meta")}
-    return (
-        _sums(of["words"], text.ratios, True) + _sums(of["stats"], text.ratios, False),
-        _sums(of["meta"], meta.ratios, False))
+    return _sums(batch, "words", text.ratios) + _sums(batch, "stats", text.ratios), _sums(batch, "meta", meta.ratios)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -169,10 +183,8 @@ def _taught(rows: DataFrame, views: tuple[View, View] | None, sure: float, weigh
                     use = np.where((label == y) & teaches, 1.0, np.where((label == -1) & (said[k] == y), weight, 0.0))
                     sizes[k, y] += use.sum()
                     for name in names:
-                        column = batch.column(batch.schema.get_field_index(name))
-                        lengths = np.diff(column.offsets.to_numpy())
-                        values = column.values.to_numpy()[column.offsets[0].as_py():column.offsets[-1].as_py()]
-                        sums[k][y] += np.bincount(values, np.repeat(use, lengths), sums[k].shape[1])
+                        values, offsets = _lists(batch, name)
+                        sums[k][y] += np.bincount(values, np.repeat(use, np.diff(offsets)), sums[k].shape[1])
         for k in (0, 1):
             found = np.flatnonzero(sums[k].any(axis=0))
             ids = np.append(found, -1)
