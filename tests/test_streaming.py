@@ -472,7 +472,8 @@ def test_base_db_reads_the_routes_anew(feeds, spark, tmp_path):
         return spark.sql(f"""SELECT * FROM VALUES
             ('order_info', 'insert', 'kafka', 'dwd_order_info', 'id', NULL, NULL),
             ('base_trademark', 'insert', 'hbase', 'dim_tm', 'id,tm_name', NULL, NULL),
-            ('base_trademark', 'update', 'hbase', 'dim_tm', '{columns}', NULL, NULL)
+            ('base_trademark', 'update', 'hbase', 'dim_tm', '{columns}', NULL, NULL),
+            ('base_code', 'insert', 'hbase', 'dim_empty', 'code,name', 'code', NULL)
             AS t(sourceTable, operateType, sinkType, sinkTable, sinkColumns, sinkPk, sinkExtend)""")
 
     def table(name, key, columns):
