@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import as_bytes
+from millrace.llm.shared import as_bytes, written
 
 MIN_WORDS = 5
 _PARAGRAPH = re.compile(rb"\n[ \t\r\x0b\x0c]*\n\s*")
@@ -69,8 +69,10 @@ def repeated_units(
     rows = docs.where(F.col(f"`{id_col}`").isNotNull()).select(
         F.col(f"`{id_col}`").alias("doc"), as_bytes(F.col(f"`{text_col}`")).alias("text"))
     found = rows.mapInArrow(_digests(min_words, paragraphs), f"doc {kind}, unit long, low long, high long, h1 long, h2 long")
+    # Both sides of the join are written: it then joins two plain shuffles, whose hot keys adaptive execution can split.
+    found = written(found, "units")
     first = found.groupBy("h1", "h2").agg(F.min(F.struct("doc", "unit")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    joined = found.join(first.select("h1", "h2", "first"), ["h1", "h2"])
+    joined = found.join(written(first.select("h1", "h2", "first"), "firsts"), ["h1", "h2"])
     return joined.where((F.col("doc") != F.col("first.doc")) | (F.col("unit") != F.col("first.unit"))).select("doc", "unit", "low", "high")
 
 
