@@ -1,5 +1,8 @@
 """Streaming forms over the events of $BENCH_SF_DIR, available-now, FILES files, one per micro-batch.
 
+    python bench_stream.py work=FOLDER [job ...]
+
+FOLDER holds the lines and the checkpoints; without it spark.checkpoint.dir is used.
 Prints one JSON line with seconds and input rows per second per job.
 """
 
@@ -8,7 +11,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 import uuid
 from datetime import timedelta
@@ -30,7 +32,9 @@ def main(names: list[str]) -> None:
         spark__driver__memory="16g", spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
-    work = tempfile.mkdtemp(prefix="run-")
+    given = next((n.removeprefix("work=") for n in names if n.startswith("work=")), None)
+    names = [n for n in names if not n.startswith("work=")]
+    work = f"{checkpoint_root(spark, given)}/run-{uuid.uuid4().hex}"
     lines = Tables(spark, folder).log_lines()
     lines.repartitionByRange(FILES, "value").write.text(f"{work}/lines")
     count = lines.count()
@@ -52,7 +56,7 @@ def main(names: list[str]) -> None:
         began = time.perf_counter()
         query = jobs.start(
             runs[name](), lambda batch, _: batch.write.format("noop").mode("overwrite").save(),
-            checkpoint=f"{checkpoint_root(spark, work)}/{uuid.uuid4()}", every=None,
+            checkpoint=f"{work}/checkpoint-{name}", every=None,
         )
         query.awaitTermination()
         took = time.perf_counter() - began
