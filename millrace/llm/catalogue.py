@@ -26,7 +26,7 @@ def query(sql: str | None = None):
     return register
 
 
-# A-Z lower-cased and nothing else, as in shared.ascii_lower
+# A-Z lower-cased and nothing else
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 

@@ -7,7 +7,6 @@ of its window, and the runs of marked words are mapped back to characters of the
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -168,7 +167,3 @@ def clean_rows(docs: DataFrame, items: DataFrame, text_col: str = "text", *, win
         return texts.map(lambda t: scan(bytes(t), parts.value)[1] == 0)
 
     return docs.where(clean(as_bytes(F.col(f"`{text_col}`"))))
-
-
-def items_digest(ids: list[str]) -> str:
-    return hashlib.sha256(",".join(ids).encode()).hexdigest()

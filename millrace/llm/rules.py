@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import SPACE, WORD, word_list, written
+from millrace.llm.shared import SPACE, word_list, written
 
 REPEAT_WINDOW = 5
 FEATURES = (

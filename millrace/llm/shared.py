@@ -49,11 +49,6 @@ def as_bytes(text: Column) -> Column:
     return F.coalesce(text.cast("binary"), F.lit(b""))
 
 
-def ascii_lower(text: Column) -> Column:
-    """A-Z lower-cased, all other characters as they are."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def word_list(text: Column) -> Column:
     """Runs of non-space characters; an empty array for null."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})"))

@@ -32,11 +32,6 @@ def units(text: bytes, paragraphs: bool = False) -> list[tuple[int, int]]:
     return [*found, (at, len(text))]
 
 
-def normal(unit: bytes) -> bytes:
-    """A-Z lower-cased, runs of ASCII white space as one space, none at the ends."""
-    return b" ".join(unit.lower().split())
-
-
 def _digests(min_words: int, paragraphs: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -44,7 +39,7 @@ def _digests(min_words: int, paragraphs: bool):
             for k, value in enumerate(batch.column(1)):
                 text = value.as_py()
                 for n, (low, high) in enumerate(units(text, paragraphs)):
-                    words = text[low:high].lower().split()
+                    words = text[low:high].lower().split()  # bytes: A-Z and ASCII white space only
                     if len(words) >= min_words:
                         row.append(k)
                         spans.append((n, low, high))
