@@ -164,8 +164,9 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS,
         raise ValueError("radius must be even and below the number of blocks")
     masks = _masks(blocks, radius)
     keyed = distinct.select("fp", F.posexplode(F.transform(literal_array(masks, "bigint"), lambda m: m.bitwiseAND(F.col("fp")))).alias("t", "key"))
-    shared = keyed.groupBy("t", "key").count().where("count > 1")
-    shared = written(keyed.join(shared, ["t", "key"]), "keyed")
+    # Written before they are joined: a join of two plain shuffles is one whose hot keys adaptive execution can split.
+    counts = written(keyed.groupBy("t", "key").count().where("count > 1"), "counts")
+    shared = written(keyed.join(counts, ["t", "key"]), "keyed")
     links = (
         shared.where(F.col("count") <= in_task).select("t", "key", "fp").repartition("t", "key")
         .sortWithinPartitions("t", "key", "fp").mapInArrow(_link_sorted(radius), "a long, b long")
@@ -193,8 +194,8 @@ def near_duplicates(
     prints = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min("id").alias("least"), F.min("mark").alias("least_mark")), "distinct")
     sets = components(near_links(distinct.select("fp"), radius, blocks, in_task)).withColumnRenamed("key", "fp")
-    rooted = distinct.join(sets, "fp", "left").select("fp", "least", "least_mark", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.min("least_mark").alias("least_mark"))
+    rooted = written(distinct.join(sets, "fp", "left").select("fp", "least", "least_mark", F.coalesce("root", "fp").alias("root")), "rooted")
+    named = written(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.min("least_mark").alias("least_mark")), "named")
     by_print = rooted.select("fp", "root").join(named, "root").select("fp", "component_id", "least_mark")
     return prints.join(by_print, "fp").select(F.col("id").alias(id_col), "mark", "fp", "component_id", "least_mark")
 
