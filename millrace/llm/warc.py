@@ -69,7 +69,8 @@ def with_revisits(pages: DataFrame, id_col: str, uri_col: str, payload_col: str,
     rows = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{uri_col}`").alias("uri"), as_bytes(F.col(f"`{payload_col}`")).alias("payload"))
     rows = rows.withColumns({"bytes": F.octet_length("payload").cast("long"), "sha1": F.sha1("payload")})
     copies = rows.where(F.col("bytes") >= least_bytes).groupBy("sha1").agg(F.max("id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    joined = rows.join(copies.select("sha1", "first"), "sha1", "left")
+    # Written first, so that the join is one of two plain shuffles.
+    joined = rows.join(written(copies.select("sha1", "first"), "copies"), "sha1", "left")
     again = (F.col("first") != F.col("id")) & (F.col("bytes") >= least_bytes)
     again = F.coalesce(again, F.col("id").isNull() & F.col("first").isNotNull() & (F.col("bytes") >= least_bytes))
     return joined.select("id", "uri", "payload", "bytes", "sha1", F.when(again, "revisit").otherwise("response").alias("kind"), F.when(again, F.col("first")).alias("refers_to"))
