@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import similar
 from millrace.llm.components import Forest, components
 from millrace.llm.shared import as_bytes, literal_array, written
 
@@ -183,17 +184,25 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS,
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE, radius: int = RADIUS,
-    blocks: int = BLOCKS, in_task: int = IN_TASK,
+    blocks: int = BLOCKS, in_task: int = IN_TASK, similarity: float | None = None,
 ) -> DataFrame:
     """``(id_col, mark, fp, component_id, least_mark)`` for every row; ``component_id`` is the least id of the group.
 
     Rows that repeat an id belong to the group of each of their texts.  A null id keeps its
     row and never names a group that has another id.  Null and empty texts have fingerprint zero
     and form a group like any other.  ``mark`` is a hash of the text, ``least_mark`` the group's least.  Other columns are not read.
+
+    With ``similarity`` the groups are those of all pairs whose shingle sets have at least that Jaccard similarity,
+    counted exactly; ``fp`` then names the set and ``radius`` is not used: no radius that tables can serve reaches such pairs.
     """
-    prints = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    found = fingerprints(docs, id_col, text_col, shingle) if similarity is None else similar.set_prints(docs, id_col, text_col, shingle)
+    prints = written(found, "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min("id").alias("least"), F.min("mark").alias("least_mark")), "distinct")
-    sets = components(near_links(distinct.select("fp"), radius, blocks, in_task)).withColumnRenamed("key", "fp")
+    if similarity is None:
+        links = near_links(distinct.select("fp"), radius, blocks, in_task)
+    else:
+        links = similar.similar_links(docs, text_col, prints, shingle, similarity)
+    sets = components(links).withColumnRenamed("key", "fp")
     rooted = written(distinct.join(sets, "fp", "left").select("fp", "least", "least_mark", F.coalesce("root", "fp").alias("root")), "rooted")
     named = written(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.min("least_mark").alias("least_mark")), "named")
     by_print = rooted.select("fp", "root").join(named, "root").select("fp", "component_id", "least_mark")
@@ -204,13 +213,16 @@ def hex_fingerprint(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each_group(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE, radius: int = RADIUS,
+    similarity: float | None = None,
+) -> DataFrame:
     """The rows of ``docs`` that name their near-duplicate group, with all columns.
 
     A group without any id keeps the text with the least hash.  Rows that repeat both id and text are the
     same document and stay together.
     """
-    named = near_duplicates(docs, id_col, text_col)
+    named = near_duplicates(docs, id_col, text_col, shingle=shingle, radius=radius, similarity=similarity)
     names = F.coalesce(F.col(id_col) == F.col("component_id"), F.col("component_id").isNull() & (F.col("mark") == F.col("least_mark")))
     keep = named.where(names).select(F.col(id_col).alias("_kept_id"), F.col("mark").alias("_kept_mark")).distinct()
     same = docs[id_col].eqNullSafe(keep["_kept_id"]) & (F.xxhash64(docs[text_col]) == keep["_kept_mark"])
