@@ -89,11 +89,17 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
-    """Shard and place in it of every document, near equal bytes in 16 shards."""
-    placed = sharding.place(table(spark, folder, "documents"), 16)
+    """Shard and place in it of every document, near equal bytes in 16 shards, and its shard once there are 17.
+
+    Both maps are versions of one stored table; ``next_shard`` and ``next_version`` are of the rebalanced one.
+    """
+    docs = table(spark, folder, "documents")
+    first, grown = sharding.stored_growth(docs, 16, 17, f"{shared_folder(spark)}/slot_map")
+    placed = sharding.place(docs, 16, slot_map=first)
+    placed = placed.withColumn("next_shard", grown.column(F.col("virtual_slot"))).withColumn("next_version", F.lit(grown.version))
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("position").cast("long").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version",
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version", "next_shard", "next_version",
     )
 
 

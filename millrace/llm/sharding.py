@@ -114,6 +114,21 @@ def load(spark: SparkSession, path: str, version: int | None = None) -> SlotMap:
     return SlotMap(tuple(r.shard for r in found), found[0].shards, version)
 
 
+def stored_growth(
+    docs: DataFrame, shards: int, grown: int, path: str, id_col: str = "doc_id", text_col: str = "text",
+) -> tuple[SlotMap, SlotMap]:
+    """First map for ``shards`` shards and its rebalancing to ``grown``, from the same slot loads.
+
+    Both are stored as versions of the table at ``path``; the second edits the first as read from there, and both
+    are returned as read back.
+    """
+    loads = slot_loads(slotted(docs, id_col, text_col))
+    store(docs.sparkSession, balanced(loads, shards), path)
+    first = load(docs.sparkSession, path, 1)
+    store(docs.sparkSession, rebalanced(first, loads, grown), path)
+    return first, load(docs.sparkSession, path)
+
+
 def slotted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
     """``(id_col, size, text_crc32, virtual_slot)`` of every row; a null text counts as empty."""
     ident, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")

@@ -6,6 +6,8 @@ from collections import Counter, defaultdict
 import pytest
 
 from millrace.llm import sharding
+from millrace.llm.catalogue import QUERIES
+from tests.conftest import SMALL
 from tests.llm.conftest import by_id
 
 COLUMNS = ("doc_id", "size", "text_crc32", "shard", "position")
@@ -68,3 +70,13 @@ def test_shard_column_and_empty_table(docs, rows):
     placed = sharding.place(df, 5, slot_map=slot_map)
     assert by_id(sharding.with_shard(df, slot_map), "doc_id", "shard") == by_id(placed, "doc_id", "shard")
     assert sharding.place(df.where("false"), 4).count() == 0
+
+
+def test_query_reads_both_versions_of_its_map(spark):
+    rows = QUERIES["op4_sharding"](spark, SMALL).collect()
+    assert {(r.map_version, r.next_version) for r in rows} == {(1, 2)}
+    assert {r.next_shard for r in rows} == set(range(17)) and {r.shard for r in rows} == set(range(16))
+    moved = {r.next_shard for r in rows if r.next_shard != r.shard}
+    by_slot = Counter(r.virtual_slot for r in {(r.virtual_slot, r.shard, r.next_shard): r for r in rows}.values())
+    assert 16 in moved and max(by_slot.values()) == 1
+    assert sum(r.next_shard != r.shard for r in rows) < len(rows) / 4
