@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from millrace.llm.shared import as_bytes, written
 
 TRIPLE = 3
-REACH = 5      # letters that a triple may stretch over
+REACH = 6      # letters that a triple may stretch over
 DECAY = 0.7    # weight of each letter it stretches over
 LONGEST = 24   # a longer word is read in overlapping pieces of this length
 NEAR = 0.45    # likeness below which a word is not like a landmark at all
@@ -35,8 +35,11 @@ LANDMARKS = 160
 PER_CLASS = 5_000
 _LETTERS = 32
 
-_SPACED = re.compile(rb"(?<!\S)[a-z](?:\s{1,3}[a-z](?!\S)){3,}")
-_ACCENT = re.compile(rb"\xcc[\x80-\xbf]|\xcd[\x80-\xaf]")  # combining marks, U+0300 to U+036F
+# Single letters with one to three characters between them that are no letters; on ASCII both patterns say the same.
+_SPACED = re.compile(r"(?<![^\W\d_])[^\W\d_](?:[\W\d_]{1,3}[^\W\d_](?![^\W\d_])){3,}")
+_SPACED_ASCII = re.compile(rb"(?<![a-z])[a-z](?:[^a-z]{1,3}[a-z](?![a-z])){3,}")
+_NO_LETTERS = bytes(b for b in range(128) if not chr(b).isalpha())
+_ACCENT = re.compile("[\u0300-\u036f]")  # combining marks
 _MARKS = bytes(b for b in range(128) if not chr(b).isalpha() and not chr(b).isspace() or 0x1C <= b < 0x20)
 _SHAPES = [(0, i, j) for i, j in combinations(range(1, REACH), TRIPLE - 1)]
 _SHAPE_WEIGHT = np.array([DECAY ** (j + 1) for _, _, j in _SHAPES], np.float32)
@@ -45,10 +48,14 @@ _SHAPE_WEIGHT = np.array([DECAY ** (j + 1) for _, _, j in _SHAPES], np.float32)
 def words_of(text: bytes) -> list[bytes]:
     """Lower-case words of a UTF-8 text without accents and ASCII marks; letters spaced out as one word besides."""
     plain = text.decode("utf-8", "replace").lower()
-    if not plain.isascii():
-        plain = unicodedata.normalize("NFKD", plain)
-    flat = _ACCENT.sub(b"", plain.encode("utf-8", "replace")).translate(None, _MARKS)
-    return [*flat.split(), *(b"".join(m.group().split()) for m in _SPACED.finditer(flat))]
+    if plain.isascii():
+        flat = plain.encode()
+        spaced = [m.group().translate(None, _NO_LETTERS) for m in _SPACED_ASCII.finditer(flat)]
+    else:
+        plain = _ACCENT.sub("", unicodedata.normalize("NFKD", plain))
+        flat = plain.encode("utf-8", "replace")
+        spaced = ["".join(c for c in m.group() if c.isalpha()).encode() for m in _SPACED.finditer(plain)]
+    return [*flat.translate(None, _MARKS).split(), *spaced]
 
 
 def _plain(word: bytes) -> str:

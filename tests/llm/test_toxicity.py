@@ -84,3 +84,29 @@ def test_empty_tables_and_one_sided_labels(docs, labels, rows):
     assert toxicity.scored(df.where("false"), labels((0, 1, 1), (1, 1, 0))).count() == 0
     kept = toxicity.clean_rows(df, labels((1, 1, 0)))
     assert kept.columns == df.columns and kept.count() == 20
+
+
+def test_gapped_and_inserted_letters_stay_near():
+    rng = random.Random(9)
+    words = ["trash", "idiot", "moron", "stupid", "scoundrel"]
+    marks = toxicity.Landmarks(words)
+    assert marks.likeness(["tkwrash"])[0, 0] > toxicity.NEAR
+    share = {}
+    for many in (1, 2):
+        near = 0
+        for _ in range(400):
+            k = rng.randrange(len(words))
+            own = list(words[k])
+            for _ in range(many):
+                own.insert(rng.randrange(1, len(own)), rng.choice("abcdefghijklmnopqrstuvwxyz"))
+            near += marks.likeness(["".join(own)])[0, k] > toxicity.NEAR
+        share[many] = near / 400
+    assert share[1] > 0.9 and share[2] > 0.5
+
+
+@pytest.mark.parametrize("text", [
+    "so i d i o t", "so i - d - i - o - t", "so i.d. i .o. t", "so i \u00b7 d \u00b7 i \u00b7 o \u00b7 t", "so i \u2013 d \u2013 i \u2013 o \u2013 t",
+    "so \u00ed \u00b7 d \u00b7 \u00ee \u00b7 o \u00b7 t", "so i 1 d 2 i 3 o 4 t", "so (i) (d) (i) (o) (t)"])
+def test_spaced_insults_are_one_word(text):
+    assert b"idiot" in toxicity.words_of(text.encode())
+    assert b"\xd0\xb4\xd1\x83\xd1\x80\xd0\xb0" in toxicity.words_of("\u0434 \u0443 \u0440 \u0430".encode())
