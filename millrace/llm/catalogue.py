@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, lines, mixing, quality, rules, sharding, simhash, substrings, toxicity, warc
+from millrace.llm import decontaminate, lines, merkle, mixing, quality, rules, sharding, simhash, substrings, toxicity, warc
 from millrace.llm.shared import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +178,56 @@ def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Quality score of every document from both views."""
     return quality.co_trained(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+# Checksum of a text as SQL: eight steps a byte, over the bytes of its hex form.
+_CRC_BIT = "xor(CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END, c >> 1)"
+_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, strlen({0}) + 1), lambda i: CAST(
+    16 * (strpos('0123456789ABCDEF', substr(hex({0}), 2 * i - 1, 1)) - 1) + strpos('0123456789ABCDEF', substr(hex({0}), 2 * i, 1)) - 1 AS BIGINT))),
+    lambda s, b: list_reduce(list_prepend(xor(s, b), CAST(range(0, 8) AS BIGINT[])), lambda c, k: """ + _CRC_BIT + """)), 4294967295)"""
+
+
+def _merkle_sql(levels: int) -> str:
+    """Trees of up to three to the ``levels`` leaves, level by level, and the fold of every leaf along them."""
+
+    def tree(name: str, first: str) -> str:
+        out = [f"{name}0 AS ({first})"]
+        for k in range(levels):
+            out.append(f"""{name}{k + 1} AS (
+                SELECT t, CASE WHEN n = 1 THEN p ELSE p // 3 END AS p, CASE WHEN n = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY p0)) END AS h,
+                    (n + 2) // 3 AS n FROM (SELECT t, p, p AS p0, n, h, p // 3 AS up FROM {name}{k}) GROUP BY t, n, up, CASE WHEN n = 1 THEN p ELSE p // 3 END)""")
+        return ", ".join(out)
+
+    def climb(name: str, start: str) -> str:
+        out = [f"{name}_up0 AS ({start})"]
+        for k in range(levels):
+            out.append(f"""{name}_up{k + 1} AS (
+                SELECT u.r, u.t, u.p // 3 AS p, u.proof || coalesce(s.lows, '') || coalesce(s.highs, '') AS proof,
+                    CASE WHEN s.n > 1 THEN sha256(coalesce(s.lows, '') || u.f || coalesce(s.highs, '')) ELSE u.f END AS f
+                FROM {name}_up{k} u LEFT JOIN (
+                    SELECT a.t, a.p, a.n, string_agg(b.h, '' ORDER BY b.p) FILTER (b.p < a.p) AS lows, string_agg(b.h, '' ORDER BY b.p) FILTER (b.p > a.p) AS highs
+                    FROM {name}{k} a JOIN {name}{k} b ON a.t = b.t AND a.p // 3 = b.p // 3 GROUP BY a.t, a.p, a.n) s ON s.t = u.t AND s.p = u.p)""")
+        return ", ".join(out)
+
+    def leaf(text: str) -> str:
+        fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+        return "sha256(" + " || ".join(f"coalesce(CAST(strlen({f}) AS VARCHAR) || ':' || {f}, '-')" for f in fields) + ")"
+
+    return f"""
+    WITH d AS (
+        SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS t, {leaf("text")} AS h,
+            CASE WHEN {_CRC.format("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS f FROM documents),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id) - 1 AS p, count(*) OVER (PARTITION BY t) AS n FROM d),
+    {tree("a", "SELECT t, p, n, h FROM placed")},
+    {tree("b", f"SELECT 0 AS t, t AS p, (SELECT count(*) FROM a{levels}) AS n, h FROM a{levels}")},
+    {climb("a", "SELECT doc_id AS r, t, p, '' AS proof, f FROM placed")},
+    {climb("b", f"SELECT r, 0 AS t, t AS p, proof, f FROM a_up{levels}")}
+    SELECT doc_id, placed.h AS leaf, a{levels}.h AS subroot, (SELECT h FROM b{levels}) AS root, sha256(proof) AS proof_sha256, b_up{levels}.f AS folded_root,
+        b_up{levels}.f = (SELECT h FROM b{levels}) AS verified
+    FROM placed JOIN a{levels} ON a{levels}.t = placed.t JOIN b_up{levels} ON r = doc_id"""
+
+
+@query(_merkle_sql(11))
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and what its tampered form folds to."""
+    return merkle.manifest(table(spark, folder, "documents"), tampered=merkle.stripped_of_newlines())

@@ -40,6 +40,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(df: DataFrame) -> None:
+    """Delete the folder of a :func:`written` table, once nothing that will still run reads it."""
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
