@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, lines, merkle, mixing, quality, rules, sharding, simhash, substrings, toxicity, warc
+from millrace.llm import decontaminate, lines, merkle, mixing, quality, rules, sharding, simhash, spelling, substrings, toxicity, warc
 from millrace.llm.shared import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -231,3 +231,34 @@ def _merkle_sql(levels: int) -> str:
 def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     """Leaf, roots and proof of every document, and what its tampered form folds to."""
     return merkle.manifest(table(spark, folder, "documents"), tampered=merkle.stripped_of_newlines())
+
+
+_RUNS = "unnest(regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + ", '[a-zÀ-ÿ]+'))"
+
+
+@query(f"""
+    WITH RECURSIVE run AS MATERIALIZED (
+        SELECT CAST(doc_id AS VARCHAR) || ':' || r AS k, r, m
+        FROM (SELECT doc_id, r, count(*) AS m FROM (SELECT doc_id, {_RUNS} AS r FROM documents) GROUP BY ALL) WHERE length(r) >= 6),
+    summed AS MATERIALIZED (SELECT r, m, {_CRC.format("k")} AS h FROM run),
+    result AS (SELECT CASE WHEN h % 199 = 0 THEN substr(r, 1, CAST(h % length(r) AS INT)) || substr(r, CAST(h % length(r) AS INT) + 2) ELSE r END AS word, m FROM summed),
+    word AS MATERIALIZED (SELECT word, CAST(sum(m) AS BIGINT) AS n FROM result WHERE length(word) >= 6 GROUP BY word HAVING sum(m) >= 5),
+    part AS MATERIALIZED (
+        SELECT word, n, word AS v, -1 AS i FROM word
+        UNION ALL SELECT word, n, substr(word, 1, CAST(i AS INT)) || substr(word, CAST(i AS INT) + 2), i FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM word)),
+    near AS MATERIALIZED (
+        SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM part a JOIN part b ON a.v = b.v
+        WHERE a.word <> b.word AND (a.i = b.i OR a.i = -1 OR b.i = -1)),
+    best AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS r, count(*) OVER (PARTITION BY word) AS n_near FROM near),
+    formed AS MATERIALIZED (
+        SELECT word.word, word.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * word.n THEN other END AS form, CASE WHEN other_n >= 5 * word.n THEN other_n END AS form_n
+        FROM word LEFT JOIN (SELECT * FROM best WHERE r = 1) b ON b.word = word.word),
+    chain AS (
+        SELECT word, word AS root, 0 AS d FROM formed
+        UNION ALL SELECT chain.word, formed.form, d + 1 FROM chain JOIN formed ON formed.word = chain.root WHERE formed.form IS NOT NULL)
+    SELECT formed.word, form, root, n, n_near, form_n
+    FROM formed JOIN (SELECT word, arg_max(root, d) AS root FROM chain GROUP BY word) USING (word)
+""")
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Form and root of every word of all documents."""
+    return spelling.variants(table(spark, folder, "documents"), damaged=spelling.DAMAGED)
