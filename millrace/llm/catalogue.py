@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, lines, merkle, mixing, quality, rules, sharding, simhash, spelling, substrings, toxicity, warc
+from millrace.llm import decontaminate, lines, merkle, mixing, mtree, quality, rules, sharding, simhash, spelling, substrings, toxicity, warc
 from millrace.llm.shared import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -262,3 +262,18 @@ _RUNS = "unnest(regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + ",
 def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
     """Form and root of every word of all documents."""
     return spelling.variants(table(spark, folder, "documents"), damaged=spelling.DAMAGED)
+
+
+@query("""
+    WITH v AS (
+        SELECT vec_id, CAST(list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS DOUBLE[]) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+    SELECT * FROM (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s)
+    WHERE rank <= 20
+""")
+def op11_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best partners of every twentieth vector."""
+    return mtree.top_k(table(spark, folder, "embeddings"), lambda i: i % 20 == 0)
