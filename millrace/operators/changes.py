@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.latest import latest_by_key
-from millrace.operators.logs import is_json_object, parse_clean
+from millrace.operators.logs import parse_clean
 from millrace.schemas import CHANGE, CONNECT_VALUE, ROUTE, TEXT_MAP
 
 FACT_SINK, DIM_SINK = "kafka", "hbase"
@@ -34,9 +34,8 @@ def decode_connect(
     Operation codes and names become the change's type; an unknown one is passed on as it is.  Values that are
     not JSON objects are dropped.
     """
-    envelope = F.from_json(value, CONNECT_VALUE)
-    rows = records.where(is_json_object(value)).select(
-        F.split(topic, r"\.").alias("path"), F.inline(F.array(envelope)), *keep)
+    path = records.withColumn("_path", F.split(topic, r"\."))
+    rows = parse_clean(path, CONNECT_VALUE, value, ["_path", *keep]).withColumnRenamed("_path", "path")
     op = F.lower("op")
     named = F.try_element_at(F.create_map(*[F.lit(x) for pair in OPERATIONS.items() for x in pair]), op)
     empty = F.create_map().cast(TEXT_MAP)

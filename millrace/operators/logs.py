@@ -14,31 +14,28 @@ from millrace.schemas import LOG_LINE
 _DIRTY = "_dirty"
 
 
-# Stands behind the line in the probe of is_json_object; no line can hold it by accident.
+# Stands behind the line in what is parsed; no line can hold it by accident.
 _END = "8d1f6c1e-end-of-line"
 
 
-def is_json_object(line: Column | str) -> Column:
-    """True for a line that is one valid JSON object and nothing else; false for null.
-
-    The probe is an array of the line and a mark: whatever follows the object, or ends it early, moves the mark.
-    """
-    line = F.col(line) if isinstance(line, str) else line
-    probe = F.try_parse_json(F.concat(F.lit("["), line, F.lit(f',"{_END}"]')))
-    whole = F.try_variant_get(probe, "$[1]", "string") == _END
-    return F.coalesce(line.rlike(r"^\s*\{") & whole, F.lit(False))
-
-
 def parse_json(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Add ``record`` (the parsed line) and ``_dirty`` (line is not a JSON object).
 
-    A field of another shape than the schema's reads as null, and the line stays clean.  The line is read into fields
-    once: ``inline`` keeps later filters on them from being pushed down as a second parse.
+    The parser sees each line once, as an array of the line and a mark: whatever follows the object, or ends it early, moves
+    the mark.  Both the fields and the validity are then taken from the binary value.  A field of another shape than the
+    schema's reads as null, and the line stays clean.  ``inline`` keeps later filters and fields from copying the
+    line's own expression, the parse or the reading of fields below or beside it.
     """
-    parsed = F.from_json(F.col(value), schema, {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"})
-    rows = lines.select("*", is_json_object(value).alias("_object"))
-    rows = rows.select("*", F.inline(F.array(F.struct(parsed.alias("record")))))
-    return rows.withColumn(_DIRTY, ~F.col("_object")).drop("_object")
+    both = F.try_parse_json(F.concat(F.lit("["), F.col(value), F.lit(f',"{_END}"]')))
+    rows = lines.select("*", _once(both.alias("_both")))
+    record = F.try_variant_get("_both", "$[0]", schema.simpleString())
+    whole = F.coalesce(F.try_variant_get("_both", "$[1]", "string") == _END, F.lit(False))
+    return rows.select(*lines.columns, _once(F.when(whole, record).alias("record"))).withColumn(_DIRTY, F.col("record").isNull())
+
+
+def _once(*columns: Column) -> Column:
+    """The columns behind a barrier that no expression is moved or copied through."""
+    return F.inline(F.array(F.struct(*columns)))
 
 
 def parse_clean(

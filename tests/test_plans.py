@@ -145,7 +145,15 @@ def test_distinct_orders_of_a_hot_group_are_reduced_first(spark, hot):
 def test_a_line_is_parsed_once(spark, lines):
     pages = logs.page_logs(logs.parse_logs(lines('{"page": {"page_id": "a"}, "ts": 1}')))
     df = visits.unique_visits(pages).where("mid = 'a'")
-    assert plan_of(df).count("from_json") == 1
+    text = plan_of(df)
+    # two reads of the parsed value: the mark and the record
+    assert text.count("parseJson") == 1 and text.count("try_variant_get") == 2 and "from_json" not in text
+
+
+@pytest.mark.parametrize("name, scans", [("parse_clean", 1), ("log_display", 1), ("unique_visit", 1), ("is_new_repair", 2), ("visitor_stats", 2)])
+def test_a_derived_line_is_printed_and_parsed_once_a_scan(spark, name, scans):
+    text = plan_of(contract.queries()[name](spark, SMALL)).split("== Initial Plan ==")[0]
+    assert text.count("parseJson") == text.count("StructsToJsonEvaluator") == text.count("FileScan") == scans
 
 
 def test_province_stats_reads_only_its_columns(spark):
