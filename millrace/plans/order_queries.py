@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.codes import code_label
 from millrace.functions.moments import from_millis_whole_seconds
 from millrace.functions.text import tokenize as words_of
-from millrace.operators import changes, joins, orders, reports, search, sql_stats, stats
+from millrace.operators import changes, joins, orders, reports, search, sql_stats, stats, words
 from millrace.operators.joins import DimSpec, enrich
 from millrace.plans.inputs import AS_OF, DIMS_SQL, PAGES_SQL, ROUTE_NAMES, USER_SQL, Tables
 from millrace.plans.registry import SQL, query
@@ -430,6 +430,33 @@ def search_terms(t: Tables):
     return search.top_terms(_hits(t), "source", max_chars=F.max("n_chars"))
 
 
+@query("tokenize_smart", r"""
+    WITH RECURSIVE run AS MATERIALIZED (
+        SELECT run, count(*) AS m FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS run FROM documents) GROUP BY 1),
+    edge AS MATERIALIZED (
+        SELECT run, i, list(n) AS ns
+        FROM (SELECT run, i, unnest([2, 3, 4]) AS n FROM (SELECT run, unnest(range(0, length(run))) AS i FROM run))
+        WHERE i + n <= length(run) AND substr(run, CAST(i + 1 AS INT), n) IN (SELECT run FROM run WHERE length(run) BETWEEN 2 AND 4) GROUP BY run, i),
+    way AS (
+        SELECT run, CAST(length(run) AS BIGINT) AS i, [CAST(1000000000 AS BIGINT)] AS best, CAST([] AS BIGINT[]) AS lens FROM run
+        UNION ALL
+        SELECT run, i, list_prepend(v - v % 1000, best), list_prepend(v % 1000, lens)
+        FROM (
+            SELECT way.run, way.i - 1 AS i, best, lens,
+                list_max(list_prepend(best[1] - 1000000 + 1, list_transform(coalesce(ns, []), lambda n: best[n] + n * 1000000000000 - 1000000 + n))) AS v
+            FROM way LEFT JOIN edge ON edge.run = way.run AND edge.i = way.i - 1 WHERE way.i > 0)),
+    step AS (
+        SELECT run, CAST(0 AS BIGINT) AS p, lens FROM way WHERE i = 0
+        UNION ALL SELECT run, p + lens[p + 1], lens FROM step WHERE p < len(lens))
+    SELECT substr(step.run, CAST(p + 1 AS INT), CAST(lens[p + 1] AS INT)) AS word, CAST(sum(m) AS BIGINT) AS ct
+    FROM step JOIN run ON run.run = step.run WHERE p < len(lens) GROUP BY 1""")
+def tokenize_smart(t: Tables):
+    # The short runs of all documents are the dictionary, and any letter is a unit, so that words overlap everywhere.
+    docs = t.table("documents")
+    short = docs.select(F.explode(words.runs_of("text")).alias("word")).where(F.length("word").between(2, 4)).distinct()
+    return words.word_counts(docs, "text", short, unit=r"[\p{L}\p{N}]")
+
+
 @query("tokenize_dictionary", r"""
     WITH listed AS (
         SELECT string_agg(w, '|' ORDER BY length(w) DESC, w) || '|[a-z0-9]+|[\p{L}\p{N}]' AS pattern
