@@ -53,11 +53,15 @@ def _best_way(stretch: Column) -> Column:
 
     back = F.transform(F.sequence(F.lit(0), last), lambda k: last - k)
     ways = F.aggregate(back, nothing, decide)
-    starts = F.aggregate(
-        F.sequence(F.lit(0), last), F.struct(F.lit(0).alias("next"), F.array().cast("array<int>").alias("at")),
-        lambda s, k: F.when(s["next"] == k, F.struct((k + F.get(ways, k)["n"]).alias("next"), F.array_append(s["at"], k).alias("at"))).otherwise(s),
-        lambda s: s["at"])
-    return F.transform(starts, lambda k: F.array_join(F.transform(F.slice(stretch, k + 1, F.get(ways, k)["n"]), lambda x: x["unit"]), ""))
+
+    def pieces(ways: Column) -> Column:
+        starts = F.aggregate(
+            F.sequence(F.lit(0), last), F.struct(F.lit(0).alias("next"), F.array().cast("array<int>").alias("at")),
+            lambda s, k: F.when(s["next"] == k, F.struct((k + F.get(ways, k)["n"]).alias("next"), F.array_append(s["at"], k).alias("at"))).otherwise(s),
+            lambda s: s["at"])
+        return F.transform(starts, lambda k: F.array_join(F.transform(F.slice(stretch, k + 1, F.get(ways, k)["n"]), lambda x: x["unit"]), ""))
+
+    return F.transform(F.array(ways), pieces)[0]  # bound to a name, so that it is decided once
 
 
 def segmented(runs: DataFrame, dictionary: DataFrame, run: str = "run", word: str = "word", unit: str = UNIT) -> DataFrame:
@@ -83,7 +87,7 @@ def segmented(runs: DataFrame, dictionary: DataFrame, run: str = "run", word: st
     spanned = F.coalesce(F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     lattice = lattice.withColumn("_new", (F.col("at") >= spanned).cast("int")).withColumn("stretch", F.sum("_new").over(line))
     stretches = lattice.groupBy("run", "stretch").agg(F.array_sort(F.collect_list(F.struct("at", "unit", "ns"))).alias("line"))
-    pieces = stretches.select("run", "stretch", _best_way(F.col("line")).alias("pieces"))
+    pieces = stretches.select("run", "stretch", F.transform(F.array("line"), _best_way)[0].alias("pieces"))
     return pieces.groupBy("run").agg(F.array_sort(F.collect_list(F.struct("stretch", "pieces"))).alias("all")).select(
         F.col("run").alias(run), F.flatten(F.transform("all", lambda s: s["pieces"])).alias("words"))
 
