@@ -327,7 +327,8 @@ def train(
     nystroem[:-1, :-1] = vectors / np.sqrt(np.maximum(values, 1e-2)) @ vectors.T
     z = x @ nystroem
     # the sample holds more toxic rows than the corpus: weights restore the labels' own shares
-    whole = {r.toxic: r.n for r in labels.where(F.col(label_col).isNotNull()).groupBy((F.col(label_col) > 0).cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect()}
+    open_labels = labels.where(F.col(label_col).isNotNull() & ~held_out(F.col(f"`{id_col}`")))
+    whole = {r.toxic: r.n for r in open_labels.groupBy((F.col(label_col) > 0).cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect()}
     share = np.where(y > 0, whole[1] / (y > 0).sum(), whole[0] / (y < 0).sum())
     share = share / share.mean()
     fold = np.arange(len(y)) % 5 == 0

@@ -57,9 +57,10 @@ def test_held_out_labels_change_nothing(docs, labels, rows):
     df = docs(*[r[:2] for r in rows[:300]])
     flip = lambda k, t: 1 - t if zlib.crc32(str(k).encode()) % 5 == 0 else t
     one = toxicity.scored(df, labels(*[(k, 1, t) for k, _, t in rows[:300]]))
-    two = toxicity.scored(df, labels(*[(k, 0, flip(k, t)) for k, _, t in rows[:300]]))
-    same = lambda d: [(k, round(s, 1)) for k, s in by_id(d, "doc_id", "score")]
-    assert [p for _, p in by_id(one, "doc_id", "predicted")] == [p for _, p in by_id(two, "doc_id", "predicted")] and len(same(one)) == 300
+    all_toxic = lambda k, t: 1 if zlib.crc32(str(k).encode()) % 5 == 0 else t
+    for change in (flip, all_toxic):
+        two = toxicity.scored(df, labels(*[(k, 0, change(k, t)) for k, _, t in rows[:300]]))
+        assert by_id(one, "doc_id", "score", "predicted") == by_id(two, "doc_id", "score", "predicted")
 
 
 def test_gapped_insults_and_defined_cases(docs, model):
