@@ -149,24 +149,41 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
         F.col("refers_to").cast("long").alias("refers_to"))
 
 
+_PIECE = r"[^.!?,;:\n]+|[.!?,;:\n]"
+
+
 @query(f"""
-    WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-    line AS (SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS pos FROM split),
+    WITH split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_PIECE}') AS ps FROM documents),
+    piece AS (SELECT doc_id, unnest(ps) AS piece, unnest(range(1, len(ps) + 1)) AS pos FROM split),
     placed AS (
-        SELECT *, {_LOWER.format("line")} AS low,
-            coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-        FROM line),
-    keyed AS (SELECT *, regexp_extract_all(low, '[^\\x20\\x09-\\x0D]+') AS ws FROM placed),
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY array_to_string(ws, ' ') ORDER BY doc_id, pos) AS rank FROM keyed),
-    marked AS (SELECT *, len(ws) >= 5 AND rank > 1 AS gone FROM ranked)
-    SELECT doc_id, count(*) AS n_units, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_removed,
-        CAST(sum(CASE WHEN gone THEN length(line) ELSE 0 END) AS BIGINT) AS removed_chars,
-        sha256(coalesce(string_agg(CASE WHEN gone THEN CAST(start AS BIGINT) || '-' || CAST(start + length(line) AS BIGINT) END, ',' ORDER BY pos), '')) AS spans_sha256,
-        sha256(coalesce(string_agg(CASE WHEN NOT gone THEN line || CASE WHEN pos < n THEN chr(10) ELSE '' END END, '' ORDER BY pos), '')) AS kept_sha256
-    FROM marked JOIN (SELECT doc_id, len(ls) AS n FROM split) USING (doc_id) GROUP BY doc_id
+        SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+            CASE WHEN piece NOT IN ('.', '!', '?', ',', ';', ':', chr(10)) THEN regexp_extract_all({_LOWER.format("piece")}, '[^\\x20\\x09-\\x0D]+') ELSE [] END AS ws
+        FROM piece),
+    unit AS (
+        SELECT doc_id, pos, len(ws) AS n_words, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS u,
+            row_number() OVER (PARTITION BY array_to_string(ws, ' ') ORDER BY doc_id, pos) > 1 AS marked
+        FROM placed WHERE len(ws) > 0),
+    island AS (SELECT *, u - row_number() OVER (PARTITION BY doc_id ORDER BY u) AS g FROM unit WHERE marked),
+    run AS (SELECT doc_id, min(pos) AS low, max(pos) AS high, count(*) AS n FROM island GROUP BY doc_id, g HAVING sum(n_words) >= 25),
+    ended AS (
+        SELECT run.*, CASE WHEN piece IN ('.', '!', '?', ',', ';', ':', chr(10)) THEN high + 1 ELSE high END AS past
+        FROM run LEFT JOIN piece ON piece.doc_id = run.doc_id AND piece.pos = run.high + 1),
+    gone AS (
+        SELECT placed.doc_id, ended.low, any_value(ended.n) AS n, min(start) AS a, max(start + length(piece)) AS b
+        FROM placed JOIN ended ON placed.doc_id = ended.doc_id AND pos BETWEEN low AND past GROUP BY placed.doc_id, ended.low),
+    summed AS (
+        SELECT doc_id, sum(n) AS n_removed, sum(b - a) AS removed_chars,
+            string_agg(CAST(a AS BIGINT) || '-' || CAST(b AS BIGINT), ',' ORDER BY a) AS spans FROM gone GROUP BY doc_id),
+    kept AS (
+        SELECT placed.doc_id, string_agg(piece, '' ORDER BY pos) AS kept FROM placed
+        WHERE NOT EXISTS (SELECT 1 FROM ended WHERE ended.doc_id = placed.doc_id AND pos BETWEEN low AND past) GROUP BY placed.doc_id)
+    SELECT d.doc_id, coalesce(n_units, 0) AS n_units, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(removed_chars, 0) AS BIGINT) AS removed_chars,
+        sha256(coalesce(spans, '')) AS spans_sha256, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM split d LEFT JOIN summed USING (doc_id) LEFT JOIN kept USING (doc_id)
+        LEFT JOIN (SELECT doc_id, count(*) AS n_units FROM unit GROUP BY doc_id) USING (doc_id)
 """)
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Repeated lines of every document by place, and the digest of what stays of it."""
+    """Repeated passages of every document by place, and the digest of what stays of it."""
     found = substrings.deduplicated(table(spark, folder, "documents"))
     span = lambda s: F.concat_ws("-", s["start"], s["end"])
     return found.select(

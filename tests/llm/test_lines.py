@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from millrace.llm import lines, substrings
+from millrace.llm import lines
 from tests.llm.conftest import by_id
 
 
@@ -54,28 +54,3 @@ def test_no_id_repeats_and_empty_table(docs):
     df = docs((None, line), (1, line), (1, line), (2, line + "\nmore of it here"))
     assert by_id(lines.kept_text_digests(df), "doc_id", "n_dropped") == sorted([(None, 0), (1, 0), (1, 0), (2, 1)], key=str)
     assert lines.kept_text_digests(df.where("false")).count() == 0
-
-
-def test_repeated_units_keep_offsets(docs):
-    passage = "a passage of quite a few words that repeats"
-    texts = [f"Été\n{passage}\nend", f"start\n  {passage.upper()} \nthe\tend", "two words", None, f"{passage}\n{passage}"]
-    found = {r.doc_id: r for r in substrings.deduplicated(docs(*texts)).collect()}
-    assert [found[k].n_removed for k in range(5)] == [0, 1, 0, 0, 2]
-    for k, text in enumerate(texts):
-        cut = [text[s.start:s.end] for s in found[k].removed]
-        assert all(" ".join(c.lower().split()) == passage for c in cut)
-    assert found[1].kept_text == "start\nthe\tend" and found[0].kept_text == texts[0] and found[3].kept_text == ""
-
-
-def test_paragraphs_are_units_too(docs):
-    block = "first line of a block\nsecond line of a block"
-    found = {r.doc_id: r for r in substrings.deduplicated(docs(f"intro\n\n{block}\n\nmiddle", f"{block}\n \nother"), paragraphs=True).collect()}
-    assert found[0].n_removed == 0 and found[1].n_removed == 1
-    assert found[1].removed[0].start == 0 and found[1].removed[0].end == len(block)
-
-
-def test_units_without_id_and_empty_table(docs):
-    line = "five words are enough here"
-    df = docs((None, line), (3, line), (3, line))
-    assert by_id(substrings.deduplicated(df), "doc_id", "n_removed") == sorted([(None, 0), (3, 0), (3, 0)], key=str)
-    assert substrings.deduplicated(df.where("false")).count() == 0
