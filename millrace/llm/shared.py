@@ -13,6 +13,7 @@ from millrace.session import checkpoint_root
 # The separators of the word and line contracts, as a regular expression class.
 SPACE = r"\x20\x09-\x0D"
 WORD = f"[^{SPACE}]+"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,15 +29,21 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{checkpoint_root(spark, fallback)}/millrace-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back.
 
-    This cuts the lineage: what follows reads the files, also after an executor is lost.
+    This cuts the lineage: what follows reads the files, also after an executor is lost.  Nothing reads the shuffles of the
+    write again; with ``free`` Spark removes their files as soon as it has ended, for steps that move much.
     The folder belongs to the application and may be removed when that has ended.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true" if free else before)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

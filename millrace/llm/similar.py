@@ -6,7 +6,7 @@ this one puts shingles of well-filled counters last, so that passages many texts
 
 *Links.*  Neighbours under a shared shingle are verified first, so that a group of near copies becomes
 one set by links in proportion to its rows.  Then all pairs under a shared shingle that are still in
-different sets are verified.  Verification counts the common shingles.
+different sets are verified.  Verification counts the common shingles of the texts themselves.
 
 Only components are kept: two texts are in one set exactly when a chain of similar pairs joins them.
 """
@@ -23,11 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.shared import as_bytes, written
+from millrace.llm.shared import as_bytes, remove, written
 
 SEED = 42
 # Counters of the common order: it decides the work, never the result.
 COUNTERS = 1 << 17
+# Pairs that a task verifies at once, with the texts they need.
+CHUNK = 2_000
 
 
 def shingle_set(text: bytes, shingle: int) -> np.ndarray:
@@ -170,46 +172,56 @@ def _pairs(similarity: float, most_steps: int | None):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs that are similar, by their common shingles."""
-    pairs = written(pairs.distinct(), "pairs")
-    one, two = (sets.select(F.col("fp").alias(k), F.col("hashes").alias(f"h{k}")) for k in "ab")
-    both = pairs.join(one, "a").join(two, "b")
-    common = F.size(F.array_intersect("ha", "hb"))
-    n = F.size("ha") + F.size("hb")
-    return both.where(common >= F.ceil(n * (similarity / (1 + similarity)) - 1e-9)).select("a", "b")
+def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float, name: str) -> DataFrame:
+    """The pairs that are similar, by their common shingles, written.
 
+    ``CHUNK`` pairs are a task's share; it gets each of their texts once, so what travels is texts and never sets.
+    """
+    ordered = written(pairs.distinct().repartitionByRange("a", "b").sortWithinPartitions("a", "b").withColumn("row", F.monotonically_increasing_id()), "pairs", free=True)
+    # the high bits are the partition's
+    chunked = ordered.select("a", "b", F.floor(F.col("row") / CHUNK).alias("chunk"))
+    need = chunked.select(F.col("chunk").alias("part"), F.explode(F.array("a", "b")).alias("fp")).distinct()
+    shipped = need.join(texts, "fp")
 
-def _sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """``(fp, hashes)`` of the wanted sets, each once."""
+    def count(pairs: pa.Table, texts: pa.Table) -> pa.Table:
+        sets = {fp: shingle_set(t.as_py(), shingle) for fp, t in zip(texts.column("fp").to_pylist(), texts.column("text"), strict=True)}
+        a, b = pairs.column("a").to_pylist(), pairs.column("b").to_pylist()
+        common = [len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(a, b, strict=True)]
+        least = [int(least_common(len(sets[x]) + len(sets[y]), similarity)) for x, y in zip(a, b, strict=True)]
+        keep = pa.array([c >= m for c, m in zip(common, least, strict=True)], pa.bool_())
+        return pairs.select(["a", "b"]).filter(keep)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingle_set(t.as_py(), shingle).view(np.int64) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["fp", "hashes"])
-
-    texts = texts.join(wanted, "mark").select("fp", "text")
-    return texts.mapInArrow(run, "fp long, hashes array<long>")
+    found = chunked.groupBy("chunk").cogroup(shipped.groupBy("part")).applyInArrow(count, "a long, b long")
+    found = written(found, name, free=True)
+    remove(ordered)
+    return found
 
 
 def similar_links(docs: DataFrame, text_col: str, prints: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """``(a, b)`` links of set names whose components are those of all pairs of at least ``similarity``."""
+    """``(a, b)`` links of set names whose components are those of all pairs of at least ``similarity``.
+
+    Null and empty texts are the empty set, which has no links; repeated rows are one set.  Tables of a step are removed when the next is written.
+    """
     # one text of each set; equal texts are one row
     named = prints.groupBy("fp").agg(F.min("mark").alias("mark"))
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.xxhash64(text).alias("mark"), as_bytes(text).alias("text"))
-    shared = written(_shared(rows, shingle, similarity), "first_shingles")
-    wanted = shared.select("fp").distinct().join(named, "fp").select("fp", "mark")
-    sets = written(_sets(rows, wanted, shingle).groupBy("fp").agg(F.first("hashes").alias("hashes")), "sets")
+    shared = written(_shared(rows, shingle, similarity), "first_shingles", free=True)
+    wanted = written(shared.select("fp").distinct().join(named, "fp").select("fp", "mark"), "wanted")
+    texts = written(rows.join(wanted, "mark").groupBy("fp").agg(F.first("text").alias("text")), "texts", free=True)
     kinds = "a long, b long"
 
     def ordered(df: DataFrame) -> DataFrame:
         return df.repartition("token").sortWithinPartitions("token", "n", "fp")
 
     near = ordered(shared.withColumn("root", F.col("fp"))).mapInArrow(_pairs(similarity, 1), kinds)
-    links = written(_verified(near, sets, similarity), "near_links")
+    links = _verified(near, texts, shingle, similarity, "near_links")
     roots = written(components(links).select(F.col("key").alias("fp"), "root"), "near_roots")
-    rooted = written(shared.join(roots, "fp", "left").select("token", "fp", "n", "at", F.coalesce("root", "fp").alias("root")), "rooted")
+    rooted = written(shared.join(roots, "fp", "left").select("token", "fp", "n", "at", F.coalesce("root", "fp").alias("root")), "rooted", free=True)
+    remove(shared)
     open_ = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
-    rest = ordered(rooted.join(written(open_, "open"), "token", "left_semi")).mapInArrow(_pairs(similarity, None), kinds)
-    return links.unionByName(_verified(rest, sets, similarity))
+    rest = ordered(rooted.join(written(open_, "open", free=True), "token", "left_semi")).mapInArrow(_pairs(similarity, None), kinds)
+    far = _verified(rest, texts, shingle, similarity, "far_links")
+    remove(rooted)
+    remove(texts)
+    return links.unionByName(far)

@@ -69,7 +69,7 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # Both sides of the join are written: it then joins two plain shuffles, whose hot keys adaptive execution can split.
     found = written(found, "units")
     first = found.groupBy("h1", "h2").agg(F.min(F.struct("doc", "unit")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    joined = found.join(written(first.select("h1", "h2", "first"), "firsts"), ["h1", "h2"])
+    joined = found.join(written(first.select("h1", "h2", "first"), "firsts", free=True), ["h1", "h2"])
     return joined.where((F.col("doc") != F.col("first.doc")) | (F.col("unit") != F.col("first.unit"))).select("doc", "unit")
 
 

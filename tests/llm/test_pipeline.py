@@ -10,7 +10,7 @@ from millrace.llm.catalogue import QUERIES, SQL
 from tests.compare import difference, duck
 from tests.conftest import SMALL
 from tests.llm.test_decontaminate import brute as hits
-from tests.llm.test_simhash import brute_fingerprint, brute_groups
+from tests.llm.test_similar import brute_sets
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -20,7 +20,7 @@ def test_matches_sql(spark, name):
 
 def test_every_operator_has_its_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= contract.queries().keys() and SQL.keys() <= contract.oracle_sql().keys()
 
 
@@ -41,10 +41,10 @@ def test_stages_filter_as_said(spark, stages):
     before, clean, one, free, mixed, sharded = stages[0], *(rows for _, rows in stages[1:])
     toxic = {r.doc_id for r in QUERIES["op7_toxicity"](spark, SMALL).where("predicted = 1").collect()}
     assert {r.doc_id for r in clean} == {r.doc_id for r in before} - toxic
-    prints = {r.doc_id: brute_fingerprint(r.text) for r in clean}
-    top, least = brute_groups(sorted(set(prints.values()))), {}
-    for k, p in prints.items():
-        least[top[p]] = min(least.get(top[p], k), k)
+    top, _ = brute_sets([r.text for r in clean])
+    least = {}
+    for r, k in zip(clean, top, strict=True):
+        least[k] = min(least.get(k, r.doc_id), r.doc_id)
     assert sorted(r.doc_id for r in one) == sorted(least.values())
     items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
     quick = lambda t: hits(t, items)[1] > 0
