@@ -59,18 +59,34 @@ def first_shingles(n: int, similarity: float) -> int:
     return n - int(np.ceil(n * similarity - 1e-9)) + 1
 
 
+def sketch_of(hashes: np.ndarray) -> bytes | None:
+    """Hashes counted in buckets, about four a bucket; none if a count does not fit a byte."""
+    m = 1 << max(4, int(len(hashes) // 4).bit_length())
+    counts = np.bincount((hashes % m).astype(np.int64), minlength=m)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else None
+
+
+def most_common(one: bytes, two: bytes) -> int:
+    """Upper bound of the common hashes of two sets by their sketches; buckets of the larger one are added up to those of the other."""
+    m = 1 << max(4, min(len(one), len(two)).bit_length() - 1)
+    a, b = (np.bincount(np.arange(len(x)) % m, weights=np.frombuffer(x, np.uint8), minlength=m) for x in (one, two))
+    return int(np.minimum(a, b).sum())
+
+
 def set_prints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``(id, mark, fp)`` per row: a hash of the whole text, and the name of its shingle set."""
+    """``(id, mark, fp, n, sketch)`` per row: a hash of the whole text, the name of its shingle set, its size and sketch."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [set_key(shingle_set(t.as_py(), shingle)) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.int64())], ["id", "mark", "fp"])
+            sets = [shingle_set(t.as_py(), shingle) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1), pa.array(map(set_key, sets), pa.int64()), pa.array(map(len, sets), pa.int32()),
+                pa.array(map(sketch_of, sets), pa.binary())], ["id", "mark", "fp", "n", "sketch"])
 
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("mark"), as_bytes(text).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, mark long, fp long")
+    return rows.mapInArrow(run, f"id {kind}, mark long, fp long, n int, sketch binary")
 
 
 def _levels(texts: DataFrame, shingle: int) -> np.ndarray:
@@ -172,16 +188,36 @@ def _pairs(similarity: float, most_steps: int | None):
     return run
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float, name: str) -> DataFrame:
+def _possible(pairs: DataFrame, named: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose sketches do not rule them out; a pair without a sketch stays."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least = least_common(batch.column(2).to_numpy() + batch.column(3).to_numpy(), similarity)
+            keep = [
+                x is None or y is None or most_common(x, y) >= m
+                for x, y, m in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), least.tolist(), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    one, two = (named.select(F.col("fp").alias(k), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"s{k}")) for k in "ab")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, named: DataFrame, shingle: int, similarity: float, name: str) -> DataFrame:
     """The pairs that are similar, by their common shingles, written.
 
-    ``CHUNK`` pairs are a task's share; it gets each of their texts once, so what travels is texts and never sets.
+    Sketches, a byte for four shingles, rule most pairs out first.  ``CHUNK`` of the others are a task's share; it
+    gets each of their texts once.
     """
-    ordered = written(pairs.distinct().repartitionByRange("a", "b").sortWithinPartitions("a", "b").withColumn("row", F.monotonically_increasing_id()), "pairs", free=True)
+    pairs = written(pairs.distinct(), "pairs", free=True)
+    ordered = _possible(pairs, named, similarity).repartitionByRange("a", "b").sortWithinPartitions("a", "b")
+    ordered = written(ordered.withColumn("row", F.monotonically_increasing_id()), "possible", free=True)
+    remove(pairs)
     # the high bits are the partition's
     chunked = ordered.select("a", "b", F.floor(F.col("row") / CHUNK).alias("chunk"))
     need = chunked.select(F.col("chunk").alias("part"), F.explode(F.array("a", "b")).alias("fp")).distinct()
-    shipped = need.join(texts, "fp")
+    wanted = need.join(named.select("fp", "mark"), "fp")
+    shipped = rows.join(wanted, "mark").groupBy("part", "fp").agg(F.first("text").alias("text"))
 
     def count(pairs: pa.Table, texts: pa.Table) -> pa.Table:
         sets = {fp: shingle_set(t.as_py(), shingle) for fp, t in zip(texts.column("fp").to_pylist(), texts.column("text"), strict=True)}
@@ -200,28 +236,26 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: floa
 def similar_links(docs: DataFrame, text_col: str, prints: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """``(a, b)`` links of set names whose components are those of all pairs of at least ``similarity``.
 
-    Null and empty texts are the empty set, which has no links; repeated rows are one set.  Tables of a step are removed when the next is written.
+    ``prints`` are :func:`set_prints`.  Null and empty texts are the empty set, which has no links; repeated rows are one set.  Tables of
+    a step are removed when the next is written.
     """
     # one text of each set; equal texts are one row
-    named = prints.groupBy("fp").agg(F.min("mark").alias("mark"))
+    named = written(prints.groupBy("fp").agg(F.min("mark").alias("mark"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "named", free=True)
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.xxhash64(text).alias("mark"), as_bytes(text).alias("text"))
     shared = written(_shared(rows, shingle, similarity), "first_shingles", free=True)
-    wanted = written(shared.select("fp").distinct().join(named, "fp").select("fp", "mark"), "wanted")
-    texts = written(rows.join(wanted, "mark").groupBy("fp").agg(F.first("text").alias("text")), "texts", free=True)
     kinds = "a long, b long"
 
     def ordered(df: DataFrame) -> DataFrame:
         return df.repartition("token").sortWithinPartitions("token", "n", "fp")
 
     near = ordered(shared.withColumn("root", F.col("fp"))).mapInArrow(_pairs(similarity, 1), kinds)
-    links = _verified(near, texts, shingle, similarity, "near_links")
+    links = _verified(near, rows, named, shingle, similarity, "near_links")
     roots = written(components(links).select(F.col("key").alias("fp"), "root"), "near_roots")
     rooted = written(shared.join(roots, "fp", "left").select("token", "fp", "n", "at", F.coalesce("root", "fp").alias("root")), "rooted", free=True)
     remove(shared)
     open_ = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
     rest = ordered(rooted.join(written(open_, "open", free=True), "token", "left_semi")).mapInArrow(_pairs(similarity, None), kinds)
-    far = _verified(rest, texts, shingle, similarity, "far_links")
+    far = _verified(rest, rows, named, shingle, similarity, "far_links")
     remove(rooted)
-    remove(texts)
     return links.unionByName(far)

@@ -4,7 +4,9 @@ import random
 
 import pytest
 
-from millrace.llm import simhash
+import numpy as np
+
+from millrace.llm import simhash, similar
 from tests.llm.conftest import by_id
 
 
@@ -67,3 +69,16 @@ def test_nulls_and_empty_table(docs):
     kept = simhash.one_of_each_group(df, shingle=5, similarity=0.8)
     assert by_id(kept, "doc_id") == [(2,), (4,)]
     assert simhash.near_duplicates(docs("a").where("false"), shingle=5, similarity=0.8).count() == 0
+
+
+def test_sketches_bound_the_common_hashes():
+    """Never below the truth, whatever the sizes; far below the threshold for unlike sets."""
+    rng = np.random.default_rng(6)
+    for n, m in ((1, 1), (10, 400), (500, 500), (500, 620), (3000, 3500), (0, 5)):
+        both = rng.integers(0, 1 << 63, max(n, m) // 2, dtype=np.uint64)
+        one, two = (np.unique(np.concatenate([both[:k // 2], rng.integers(0, 1 << 63, k - k // 2, dtype=np.uint64)])) for k in (n, m))
+        bound = similar.most_common(similar.sketch_of(one), similar.sketch_of(two))
+        assert len(np.intersect1d(one, two)) <= bound <= min(len(one), len(two))
+    unlike = [np.unique(rng.integers(0, 1 << 63, 2000, dtype=np.uint64)) for _ in range(2)]
+    assert similar.most_common(*map(similar.sketch_of, unlike)) < similar.least_common(4000, 0.8)
+    assert similar.sketch_of(np.arange(5000, dtype=np.uint64) << np.uint64(40)) is None
