@@ -23,12 +23,18 @@ def parse_json(lines: DataFrame, schema: T.StructType, value: str = "value") ->
 
     The parser sees each line once, as an array of the line and a mark: whatever follows the object, or ends it early, moves
     the mark.  Both the fields and the validity are then taken from the binary value.  A field of another shape than the
-    schema's reads as null, and the line stays clean.  ``inline`` keeps later filters and fields from copying the
+    schema's reads as null, and the line stays clean; an object read as text has its names sorted.  A schema with maps (change
+    records) takes its fields by a second reading.  ``inline`` keeps later filters and fields from copying the
     line's own expression, the parse or the reading of fields below or beside it.
     """
     both = F.try_parse_json(F.concat(F.lit("["), F.col(value), F.lit(f',"{_END}"]')))
     rows = lines.select("*", _once(both.alias("_both")))
-    record = F.try_variant_get("_both", "$[0]", schema.simpleString())
+    if any(isinstance(f.dataType, T.MapType) for f in schema):
+        # the binary value sorts names, and the entries of a map keep the order of the line
+        read = F.from_json(value, schema, {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"})
+        record = F.when(F.col(value).rlike(r"^\s*\{"), read)  # it reads other values as a record of nulls
+    else:
+        record = F.try_variant_get("_both", "$[0]", schema.simpleString())
     whole = F.coalesce(F.try_variant_get("_both", "$[1]", "string") == _END, F.lit(False))
     return rows.select(*lines.columns, _once(F.when(whole, record).alias("record"))).withColumn(_DIRTY, F.col("record").isNull())
 
