@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from millrace.functions.moments import from_millis, minute_bucket, with_window_bounds
 
 COUPON, CLICK = "coupon", "clickItem"
+# What names an alert.
+_ALERT = ["stt", "edt", "mid"]
 
 
 def coupon_alerts(
@@ -67,21 +69,35 @@ def alert_evidence(
     alert are counted.
     """
     events = events.join(alerts.select("mid").distinct(), "mid", "left_semi")
+    if slide is None or slide == window:
+        counted = _facts(events, coupon).groupBy(F.window("event_time", window), "mid", "kind", "value").agg(F.count("*").alias("ct"))
+        return with_window_bounds(counted).join(alerts.select(*_ALERT), _ALERT, "left_semi")
+    return evidence_of_panes(alerts, evidence_panes(events, slide, coupon), window, slide)
+
+
+def _facts(events: DataFrame, coupon: str) -> DataFrame:
+    """``event_time, mid, kind, value``: what each event is evidence of."""
     took = F.col("evid") == coupon
     facts = F.array(
         F.struct(F.lit("event").alias("kind"), F.col("evid").alias("value")),
         F.struct(F.lit("uid").alias("kind"), F.when(took, F.col("uid")).alias("value")),
         F.struct(F.lit("item").alias("kind"), F.when(took, F.col("itemid")).alias("value")),
     )
-    rows = (
-        _timed(events, None)
-        .select("event_time", "mid", F.inline(facts))
-        .where(F.col("value").isNotNull())
-        .withColumn("ct", F.lit(1))
-    )
-    counted = _sliding(rows, ["mid", "kind", "value"], [F.sum("ct").alias("ct")], window, slide)
-    keys = ["stt", "edt", "mid"]
-    return with_window_bounds(counted).join(alerts.select(*keys), keys, "left_semi")
+    rows = _timed(events, None).where(F.col("mid").isNotNull() & F.col("event_time").isNotNull())
+    return rows.select("event_time", "mid", F.inline(facts)).where(F.col("value").isNotNull())
+
+
+def evidence_panes(events: DataFrame, slide: str = "1 minute", coupon: str = COUPON) -> DataFrame:
+    """Evidence counted by pane: ``pane`` (its start), ``mid``, ``kind``, ``value``, ``ct``; counts of parts of the events add up."""
+    panes = _facts(events, coupon).groupBy(F.window("event_time", slide).alias("_pane"), "mid", "kind", "value")
+    return panes.agg(F.count("*").alias("ct")).select(F.col("_pane")["start"].alias("pane"), "mid", "kind", "value", "ct")
+
+
+def evidence_of_panes(alerts: DataFrame, panes: DataFrame, window: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
+    """The evidence of alerts from :func:`evidence_panes` of their devices."""
+    mine = panes.join(alerts.select("mid").distinct(), "mid", "left_semi")
+    counted = mine.groupBy(F.window("pane", window, slide).alias("window"), "mid", "kind", "value").agg(F.sum("ct").alias("ct"))
+    return with_window_bounds(counted).join(alerts.select(*_ALERT), _ALERT, "left_semi")
 
 
 def alert_documents(alerts: DataFrame, evidence: DataFrame) -> DataFrame:

@@ -19,9 +19,10 @@ from millrace.operators import alerts, changes, joins, logs, orders, stats
 from millrace.operators.visits import with_log_time
 from millrace.sinks.files import BatchWriter, UpsertTable
 from millrace.sinks.kafka import routed_messages
+from millrace.sinks.stores import PartedStore
 from millrace.sources.feeds import records
 from millrace.streaming import joins as stream_joins
-from millrace.streaming import keyed
+from millrace.streaming import kept, keyed
 
 # Micro-batch intervals of the start-up, order, alert and user jobs, and of the sale job.
 EVERY, EVERY_SALE = "5 seconds", "3 seconds"
@@ -266,9 +267,20 @@ def product_stats(
 # -- micro-batch jobs -------------------------------------------------------
 
 def dau(startup_lines: DataFrame, delay: str = keyed.DAY) -> DataFrame:
+    """First start-ups by the checkpoint's state; :func:`dau_writer` remembers beyond the checkpoint."""
     return keyed.daily_actives(records(startup_lines, "startup_log"), delay)
 
 
+def startups(startup_lines: DataFrame) -> DataFrame:
+    """Start-up records with their day and hour, for :func:`dau_writer`."""
+    return with_log_time(records(startup_lines, "startup_log"))
+
+
+def dau_writer(store: PartedStore, write: BatchWriter, **options) -> BatchWriter:
+    """Write the first start-up of each device and day, also when the query starts from a new checkpoint."""
+    return kept.first_seen_writer(store, write, ("mid",), "logDate", **options)
+
+
 def gmv(order_lines: DataFrame) -> DataFrame:
     return orders.with_create_parts(records(order_lines, "shop_order"))
 
@@ -277,17 +289,28 @@ def coupon_alert(event_lines: DataFrame, window: str = "5 minutes", slide: str =
     return alerts.coupon_alerts(with_log_time(records(event_lines, "event_log")), window, slide, delay=delay, **options)
 
 
-def alert_writer(table: UpsertTable, read_events: Callable[[], DataFrame] | None = None, **options) -> BatchWriter:
+def event_rows(event_lines: DataFrame) -> DataFrame:
+    """Event records, for :func:`kept.pane_writer`."""
+    return records(event_lines, "event_log")
+
+
+def alert_writer(
+    table: UpsertTable, read_events: Callable[[], DataFrame] | None = None, *, panes: PartedStore | None = None,
+    window: str = "5 minutes", slide: str = "1 minute", **options,
+) -> BatchWriter:
     """Write alerts into a table keyed by ``doc_id`` (device and minute); the last one of an id stays.
 
-    With ``read_events``, a reader of the stored events, each alert's users, items and events are written with it.
+    With ``panes``, a store that :func:`kept.pane_writer` fills, each alert's users, items and events are written with it; only
+    the hours of the alerts' windows are opened.  With ``read_events``, a reader of all stored events, they are counted from those.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         found = batch.persist()
         try:
-            if read_events is not None:
-                found = alerts.alert_documents(batch, alerts.alert_evidence(batch, read_events(), **options))
+            if panes is not None:
+                found = alerts.alert_documents(batch, kept.evidence_of(panes, window, slide)(batch))
+            elif read_events is not None:
+                found = alerts.alert_documents(batch, alerts.alert_evidence(batch, read_events(), window, slide, **options))
             table.write(alerts.throttled(found), batch_id)
         finally:
             batch.unpersist()
@@ -298,7 +321,10 @@ def alert_writer(table: UpsertTable, read_events: Callable[[], DataFrame] | None
 def sale_detail(
     order_lines: DataFrame, detail_lines: DataFrame, arrival: str = "timestamp", **bounds
 ) -> DataFrame:
-    """Orders with details by arrival time; users are joined in :func:`sale_user_writer`."""
+    """Orders with details by arrival time, up to ``wait`` apart; users are joined in :func:`sale_user_writer`.
+
+    :func:`sale_rows` with :func:`kept.pending_sale_writer` has no such limit.
+    """
     placed = orders.with_create_parts(records(order_lines, "shop_order", keep=[arrival]))
     return stream_joins.sale_details(
         placed, records(detail_lines, "shop_order_detail", keep=[arrival]),
@@ -306,6 +332,11 @@ def sale_detail(
     )
 
 
+def sale_rows(order_lines: DataFrame, detail_lines: DataFrame) -> DataFrame:
+    """Orders and details in one stream, for :func:`kept.pending_sale_writer`."""
+    return kept.sale_rows(orders.with_create_parts(records(order_lines, "shop_order")), records(detail_lines, "shop_order_detail"))
+
+
 def sale_user_writer(read_users: Callable[[], DataFrame], as_of: Callable[[], str], write: BatchWriter) -> BatchWriter:
     """Join each micro-batch with the users as they stand, then write it."""
 

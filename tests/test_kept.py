@@ -1,0 +1,156 @@
+"""Jobs whose memory outlives the checkpoint: seen devices, waiting orders and details, panes of events."""
+
+from pyspark.sql import functions as F
+
+from millrace.operators import alerts, joins, orders, visits
+from millrace.sinks import files
+from millrace.sinks.stores import PartedStore
+from millrace.sources.feeds import records
+from millrace.streaming import jobs, kept
+from tests.conftest import rows
+from tests.test_streaming import END, T, chunks, clock, feeds  # noqa: F401
+
+DAY = 86_400_000
+
+
+def parts(store):
+    from pathlib import Path
+
+    return {p.name.partition("=")[2] for p in Path(store.path).glob("part=*")}
+
+
+def opened(store, monkeypatch):
+    """Parts whose folders are opened from now on."""
+    found, held = set(), PartedStore._open
+
+    def spy(self, spark, folders, schema):
+        found.update(f.partition("part=")[2].partition("/")[0] for f in folders)
+        return held(self, spark, folders, schema)
+
+    monkeypatch.setattr(PartedStore, "_open", spy)
+    return found
+
+
+def startup(mid, ts):
+    return {"mid": mid, "uid": "u", "ts": ts}
+
+
+def test_a_new_checkpoint_emits_no_device_twice(feeds, spark, tmp_path, monkeypatch):  # noqa: F811
+    store = PartedStore(str(tmp_path / "seen"))
+    data = [startup("hot" if i % 3 == 0 else f"m{i % 7}", T + i * 3_000_000) for i in range(120)]  # four days and more
+    feeds.put("startup", *chunks(data, 20))
+    feeds.run(jobs.startups(feeds.stream("startup")), jobs.dau_writer(store, files.append(str(tmp_path / "a"))))
+    got = spark.read.parquet(str(tmp_path / "a"))
+    want = visits.daily_actives(records(feeds.batch("startup"), "startup_log").withColumn("log_id", F.lit(0)))
+    assert rows(got, "mid", "logDate", "ts") == rows(want, "mid", "logDate", "ts") and len(parts(store)) >= 4
+    # the same topic from its start, with a checkpoint that knows nothing, and two new devices
+    last = data[-1]["ts"]
+    feeds.put("later", data[-15:], [startup("new", last), startup("hot", last), startup(None, last), startup(None, last)], [startup("new", last + 5)])
+    seen = opened(store, monkeypatch)
+    feeds.run(jobs.startups(feeds.stream("later")), jobs.dau_writer(store, files.append(str(tmp_path / "b"))))
+    assert rows(spark.read.parquet(str(tmp_path / "b")), "mid") == [("new",), (None,)]
+    days = {r.logDate for r in jobs.startups(feeds.batch("later")).collect()}
+    assert seen == days and len(days) < len(parts(store))
+
+
+def test_a_batch_run_again_says_the_same(spark, tmp_path):
+    store, out = PartedStore(str(tmp_path / "seen")), str(tmp_path / "out")
+    write = kept.first_seen_writer(store, files.append(out), ("mid",), "logDate", ("ts",), most=2)
+    frame = lambda *r: spark.createDataFrame(r, "mid string, logDate string, ts long")
+    batches = [frame(("a", "d1", 5), ("a", "d1", 3), ("b", None, 1)), frame(("a", "d1", 1), ("c", "d1", 1)), frame(("b", None, 2), ("a", "d2", 7)),
+               frame(("c", "d1", 9), ("e", "d1", 9)), frame(("e", "d1", 1), ("f", "d1", 1)), frame()]
+    for n, batch in enumerate(batches):
+        write(batch, n)
+        write(batch, n)  # lost before it was committed
+    got = spark.read.parquet(out)
+    want = [("a", "d1", 3), ("a", "d2", 7), ("b", None, 1), ("c", "d1", 1), ("e", "d1", 9), ("f", "d1", 1)]
+    assert rows(got, "mid", "logDate", "ts") == sorted(want, key=str)
+    assert parts(store) == {"d1", "d2", "none"}
+    assert len(list((tmp_path / "seen" / "part=d1").iterdir())) <= 4
+    store.expire(spark, "d2")
+    assert parts(store) == {"d2", "none"}
+
+
+def order(k, day=0):
+    return {"id": f"o{k}", "order_status": "1001", "user_id": "u", "create_time": clock(k + 86_400 * day)}
+
+
+def detail(k, of):
+    return {"id": f"d{k}", "order_id": f"o{of}", "sku_id": "s", "sku_name": "tea", "order_price": "1.5"}
+
+
+def test_details_of_any_lateness_meet_their_order(feeds, spark, tmp_path):  # noqa: F811
+    """Details days after their order and before it; an order with a third of the details; records that come twice."""
+    store, out = PartedStore(str(tmp_path / "pending")), str(tmp_path / "out")
+    details = [detail(k, 0 if k % 3 == 0 else k % 19) for k in range(120)]
+    feeds.put("order", *chunks([order(k, day=k % 12) for k in range(15)], 4), [order(20)], [order(0), order(16, 30)])
+    feeds.put("detail", details[:10], details[10:12], details[12:70], details[60:], [detail(900, 20), {"id": "x", "order_id": None}])
+    write = kept.pending_sale_writer(store, files.append(out), buckets=8, most=2)
+    feeds.run(jobs.sale_rows(feeds.stream("order"), feeds.stream("detail")), write)
+    # a new checkpoint, ten days on: what waits is still there, and what was matched is not matched again
+    feeds.put("order2", [order(17, 10)], [order(3, day=3)])
+    feeds.put("detail2", [detail(901, 5)], [details[1]])
+    again = kept.pending_sale_writer(store, files.append(str(tmp_path / "out2")), buckets=8, most=2)
+    feeds.run(jobs.sale_rows(feeds.stream("order2"), feeds.stream("detail2")), again)
+    got = spark.read.parquet(out).unionByName(spark.read.parquet(str(tmp_path / "out2")))
+    all_orders = records(feeds.batch("order"), "shop_order").unionByName(records(feeds.batch("order2"), "shop_order")).distinct()
+    all_details = records(feeds.batch("detail"), "shop_order_detail").unionByName(records(feeds.batch("detail2"), "shop_order_detail")).distinct()
+    want = joins.sale_details(orders.with_create_parts(all_orders), all_details)
+    keep = ["order_detail_id", "order_id", "user_id", "sku_price", "dt"]
+    assert rows(got.select(*keep).distinct()) == rows(want, *keep) and want.count() > 100
+    # only a detail that comes again after it was matched gives its pair again
+    twice = {r[0] for r in got.groupBy("order_detail_id").count().where("count > 1").collect()}
+    assert twice <= {f"d{k}" for k in (1, *range(60, 70))}
+
+
+def test_only_buckets_of_the_batch_are_opened_and_emptied(spark, tmp_path, monkeypatch):
+    store, out = PartedStore(str(tmp_path / "pending")), str(tmp_path / "out")
+    write = kept.pending_sale_writer(store, files.append(out), buckets=64, most=1)
+    shop = lambda rs: orders.with_create_parts(spark.createDataFrame(rs, "id string, order_status string, user_id string, create_time string"))
+    lines = lambda rs: spark.createDataFrame(rs, "id string, order_id string, sku_id string, sku_name string, order_price string")
+    as_rows = lambda os, ds: kept.sale_rows(shop([tuple(o.values()) for o in os]), lines([tuple(d.values()) for d in ds]))
+    write(as_rows([], [detail(k, k) for k in range(200)]), 0)
+    seen = opened(store, monkeypatch)
+    for n in range(1, 5):
+        batch = as_rows([order(7)] if n == 1 else [], [detail(1000 + n, 7)])
+        write(batch, n)
+        write(batch, n)
+    assert len(seen) == 1 < len(parts(store))
+    assert sorted(r.order_detail_id for r in spark.read.parquet(out).collect()) == sorted(["d7", *(f"d{1000 + n}" for n in range(1, 5))])
+    held = spark.read.parquet(store.path).where("order_key = 'o7'")
+    assert held.where("placed IS NOT NULL").distinct().count() == 1 and held.where("detail IS NOT NULL").count() == 0
+
+
+def test_alert_documents_from_panes(feeds, spark, tmp_path, monkeypatch):  # noqa: F811
+    data = [
+        {"mid": f"m{i % 4}", "uid": f"u{i % 5}", "evid": "clickItem" if i % 41 == 0 else "coupon", "itemid": f"i{i % 3}",
+         "ts": T + i // 60 * DAY // 12 + i % 60 * 5_000} for i in range(240)  # four bursts, two hours apart
+    ] + [{"mid": None, "uid": "u", "evid": "coupon", "itemid": "i", "ts": T}, {"mid": "m1", "uid": "u9", "evid": "coupon", "itemid": "i", "ts": None}]
+    feeds.put("events", *chunks(data, 90), [{"mid": "end", "evid": "x", "ts": T + DAY}])
+    store = PartedStore(str(tmp_path / "panes"))
+    feeds.run(jobs.event_rows(feeds.stream("events")), kept.pane_writer(store))
+    read = lambda: records(feeds.batch("events"), "event_log")
+    found = alerts.coupon_alerts(read()).where(F.col("mid") != "end")
+    want = alerts.throttled(alerts.alert_documents(found, alerts.alert_evidence(found, read())))
+    table = files.UpsertTable(str(tmp_path / "docs"), ["doc_id"], ["ts", "stt"])
+    feeds.run(jobs.coupon_alert(feeds.stream("events")), jobs.alert_writer(table, panes=store))
+    columns = ("doc_id", "stt", "uids", "itemIds", "events")
+    assert rows(table.read(spark), *columns) == rows(want, *columns) and want.count() > 3
+    # an alert opens the hours of its window
+    seen = opened(store, monkeypatch)
+    one = found.orderBy("stt").limit(1)
+    assert kept.evidence_of(store)(one).count() > 0
+    assert 1 <= len(seen) <= 2 < len(parts(store))
+
+
+def test_panes_of_a_batch_run_again_count_once(spark, tmp_path):
+    store = PartedStore(str(tmp_path / "panes"))
+    events = spark.createDataFrame([("m", "u", "coupon", "i", T + k) for k in range(5)], "mid string, uid string, evid string, itemid string, ts long")
+    write = kept.pane_writer(store)
+    for n in (0, 0, 1, 1):
+        write(events, n)
+    found = alerts.coupon_alerts(events, min_users=1)
+    got = kept.evidence_of(store)(found)
+    assert {(r.kind, r.ct) for r in got.collect()} == {("event", 10), ("uid", 10), ("item", 10)}
+    assert got.count() == 3 * found.count()
+    assert kept.evidence_of(PartedStore(str(tmp_path / "none")))(found).count() == 0
