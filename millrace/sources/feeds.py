@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from millrace import schemas
 from millrace.operators.logs import parse_clean
+from millrace.sinks.kafka import MESSAGE_ID, message_id_of
 
 
 @dataclass(frozen=True)
@@ -76,13 +77,20 @@ def read_kafka(
     group: str | None = None,
     start: str | None = None,
     extra: Mapping[str, str] | None = None,
+    message_ids: bool = False,
 ) -> DataFrame:
-    """Lines of a topic with their place in it.  A batch read covers what the topic holds."""
+    """Lines of a topic with their place in it.  A batch read covers what the topic holds.
+
+    ``message_ids`` adds the column ``message_id`` that :func:`millrace.sinks.kafka.with_headers` sends, for ``once``.
+    """
     start = start or ("latest" if streaming else "earliest")
     reader = spark.readStream if streaming else spark.read
     options = {**kafka_options(servers, topic, group, start), **(extra or {})}
-    rows = reader.format("kafka").options(**options).load()
-    return rows.selectExpr("CAST(value AS STRING) AS value", "topic", "partition", "offset", "timestamp")
+    columns = ["CAST(value AS STRING) AS value", "topic", "partition", "offset", "timestamp"]
+    if not message_ids:
+        return reader.format("kafka").options(**options).load().selectExpr(*columns)
+    rows = reader.format("kafka").options(**options, includeHeaders="true").load()
+    return rows.withColumn(MESSAGE_ID, message_id_of(F.col("headers"))).selectExpr(*columns, MESSAGE_ID)
 
 
 def read_files(

@@ -18,7 +18,7 @@ from millrace import schemas
 from millrace.operators import alerts, changes, joins, logs, orders, stats
 from millrace.operators.visits import with_log_time
 from millrace.sinks.files import BatchWriter, UpsertTable
-from millrace.sinks.kafka import routed_messages
+from millrace.sinks.kafka import MESSAGE_ID, routed_messages
 from millrace.sinks.stores import PartedStore
 from millrace.sources.feeds import records
 from millrace.streaming import joins as stream_joins
@@ -136,7 +136,7 @@ def forwarded(change_lines: DataFrame) -> DataFrame:
 
 def base_db_writer(
     read_routes: Callable[[], DataFrame], write_facts: BatchWriter, dim_tables: Callable[[str, str, list[str]], UpsertTable],
-    order: str | None = None,
+    order: str | None = None, position: Sequence[str] = (),
 ) -> BatchWriter:
     """Route change lines by the routing table as it stands at each micro-batch.
 
@@ -144,14 +144,19 @@ def base_db_writer(
     (topic, value), dimension changes to ``dim_tables(sink table, key, columns)``, a table with the
     column ``image``: a change sets the columns its route lists.  Every configured dimension is created, also
     before its first row.  ``order`` names the column of the source position (a topic's ``offset``), by which a
-    batch's changes are ordered; without it their place in the input files counts.
+    batch's changes are ordered; without it their place in the input files counts.  ``position`` names the columns that
+    tell a source record from all others (``topic``, ``partition``, ``offset``): the facts then carry a ``message_id`` made of them,
+    by which a reader (:func:`millrace.sinks.kafka.once`) leaves out what a batch sent twice.
     """
+    named = [MESSAGE_ID] if position else []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         routes = read_routes()
         # offsets rise within a partition, and a key's changes are in one: the offset alone orders them
         placed = batch.withColumn("seq", F.col(order).cast("long") if order else F.monotonically_increasing_id())
-        rows = changes.with_after_image(changes.parse_changes(placed, keep=["seq"])).withColumn("batch", F.lit(batch_id).cast("long"))
+        if position:
+            placed = placed.withColumn(MESSAGE_ID, F.concat_ws("/", *[F.col(c).cast("string") for c in position]))
+        rows = changes.with_after_image(changes.parse_changes(placed, keep=["seq", *named])).withColumn("batch", F.lit(batch_id).cast("long"))
         routed = changes.route_by_config(rows, routes).persist()
         try:
             write_facts(routed_messages(changes.facts(routed)), batch_id)

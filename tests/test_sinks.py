@@ -1,10 +1,13 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import changes
 from millrace.session import checkpoint_root
-from millrace.sinks import files, jdbc, kafka
+from millrace.sinks import checked, files, jdbc, kafka
 from millrace.sources import feeds
+from millrace.streaming import jobs
 from tests.conftest import rows
 
 CHANGES = "id string, v string, seq long, gone boolean"
@@ -157,3 +160,54 @@ def test_checkpoint_folder_comes_from_the_session():
     assert checkpoint_root(Session({}), "/shared/x/") == "/shared/x"
     with pytest.raises(ValueError):
         checkpoint_root(Session({}))
+
+
+def test_bulk_write_reports_its_items(spark, tmp_path):
+    """A null id and an oversized document are reported; the others of the batch are written, once."""
+    docs = spark.createDataFrame(
+        [("a", "x", 1), (None, "y", 2), ("b", "z" * 900, 3), ("c", None, 4), (None, "w" * 900, 5)], "doc_id string, `a.text` string, ts long")
+    told = []
+    table = files.UpsertTable(str(tmp_path / "t"), ["doc_id"], ["ts"])
+    write = checked.reporting(table.write, files.append(str(tmp_path / "bad")), most_bytes=500, report=lambda n, c: told.append((n, c)))
+    for _ in range(2):
+        write(docs, 3)
+    assert rows(table.read(spark), "doc_id") == [("a",), ("c",)]
+    bad = spark.read.parquet(str(tmp_path / "bad"))
+    assert rows(bad, "doc_id", "reason", "batch_id") == sorted([("b", "too large", 3), (None, "no id", 3), (None, "no id", 3)], key=str)
+    assert sorted(r.document is None for r in bad.collect()) == [False, True, True]
+    assert told == [(3, {"written": 2, "too large": 1, "no id": 2})] * 2
+    write(docs.where("false"), 4)
+    assert told[-1] == (4, {"written": 0})
+
+
+def test_message_ids_as_headers(spark):
+    sent = kafka.with_headers(spark.createDataFrame([("t", "v", "db/0/7")], "topic string, value string, message_id string"))
+    assert sent.columns == ["topic", "value", "headers"]
+    assert sent.select(kafka.message_id_of(F.col("headers"))).first()[0] == "db/0/7"
+    assert sent.select(kafka.message_id_of(F.slice("headers", 1, 0))).first()[0] is None
+
+
+def test_a_batch_sent_twice_is_read_once(spark, tmp_path):
+    """Routed facts of a batch that failed after sending: the reader takes each change once."""
+    line = lambda k: json.dumps({"database": "s", "tableName": "order_info", "type": "insert", "data": {"id": str(k % 3)}})
+    source = spark.createDataFrame([(line(k), "db", k % 2, k // 2) for k in range(6)], "value string, topic string, partition int, offset long")
+    routes = lambda: spark.sql(
+        "SELECT 'order_info' sourceTable, 'insert' operateType, 'kafka' sinkType, 'dwd' sinkTable, 'id' sinkColumns, "
+        "CAST(NULL AS STRING) sinkPk, CAST(NULL AS STRING) sinkExtend")
+    sent = []
+
+    def send(facts, batch_id):
+        facts.write.json(f"{tmp_path}/sent/{len(sent)}")
+        sent.append(batch_id)
+
+    write = jobs.base_db_writer(routes, send, None, order="offset", position=["topic", "partition", "offset"])
+    write(source, 0)
+    write(source, 0)
+    spark.createDataFrame([("dwd", "plain")] * 2, "topic string, value string").write.json(f"{tmp_path}/sent/2")
+    stream = spark.readStream.schema("topic string, value string, message_id string").option("maxFilesPerTrigger", 1).json(f"{tmp_path}/sent/*")
+    read = kafka.once(stream.withColumn("timestamp", F.col("_metadata.file_modification_time")))
+    query = jobs.start(read, files.append(str(tmp_path / "got")), checkpoint=str(tmp_path / "check"), every=None)
+    assert query.awaitTermination(120) and not query.exception()
+    got = spark.read.parquet(str(tmp_path / "got"))
+    assert rows(got.where("message_id IS NOT NULL"), "message_id") == [(f"db/{k % 2}/{k // 2}",) for k in (0, 2, 4, 1, 3, 5)]
+    assert got.where("message_id IS NULL").count() == 2
