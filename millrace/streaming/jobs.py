@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace import schemas
+from millrace.functions.moments import day_of, from_millis
 from millrace.operators import alerts, changes, joins, logs, orders, stats
+from millrace.operators.logs import is_entry
 from millrace.operators.visits import with_log_time
 from millrace.sinks.files import BatchWriter, UpsertTable
 from millrace.sinks.kafka import MESSAGE_ID, routed_messages
@@ -90,9 +92,22 @@ def log_message(pages: DataFrame) -> DataFrame:
 
 
 def unique_visit(page_lines: DataFrame) -> DataFrame:
+    """First visits by the checkpoint's state, as they arrive; :func:`unique_visit_writer` goes by time and remembers longer."""
     return log_message(keyed.unique_visits(logs.page_logs(logs.parse_logs(page_lines))))
 
 
+def entries(page_lines: DataFrame) -> DataFrame:
+    """Entry pages with their day, for :func:`unique_visit_writer`."""
+    pages = logs.page_logs(logs.parse_logs(page_lines)).where(is_entry())
+    return pages.withColumn("visit_day", day_of(from_millis("ts")))
+
+
+def unique_visit_writer(store: PartedStore, write: BatchWriter, **options) -> BatchWriter:
+    """Write the first visit of each device and day as a line.  Of a micro-batch's entry pages the earliest by time counts."""
+    send = lambda rows, batch_id: write(log_message(rows.drop("visit_day")), batch_id)
+    return kept.first_seen_writer(store, send, ("mid",), "visit_day", **options)
+
+
 def user_jump(
     page_lines: DataFrame, within: timedelta = timedelta(seconds=10), delay: str = "10 seconds", shards: int = 512
 ) -> DataFrame:

@@ -1,5 +1,7 @@
 """Jobs whose memory outlives the checkpoint: seen devices, waiting orders and details, panes of events."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from millrace.operators import alerts, joins, orders, visits
@@ -8,7 +10,7 @@ from millrace.sinks.stores import PartedStore
 from millrace.sources.feeds import records
 from millrace.streaming import jobs, kept
 from tests.conftest import rows
-from tests.test_streaming import END, T, chunks, clock, feeds  # noqa: F401
+from tests.test_streaming import T, chunks, clock, feeds, pages_of, random_logs  # noqa: F401
 
 DAY = 86_400_000
 
@@ -53,6 +55,18 @@ def test_a_new_checkpoint_emits_no_device_twice(feeds, spark, tmp_path, monkeypa
     assert seen == days and len(days) < len(parts(store))
 
 
+def test_first_visits_go_by_time_inside_a_batch(feeds, spark, tmp_path):  # noqa: F811
+    data = random_logs(1, n=240, step=1_080_000)
+    rng = random.Random(8)
+    mixed = [x for part in chunks(data, 80) for x in rng.sample(part, len(part))]
+    feeds.put("pages", *chunks(mixed, 80))
+    out = str(tmp_path / "visits")
+    feeds.run(jobs.entries(feeds.stream("pages")), jobs.unique_visit_writer(PartedStore(str(tmp_path / "seen")), files.append(out)))
+    got = pages_of(spark.read.parquet(out).select("value"))
+    want = visits.unique_visits(pages_of(feeds.batch("pages")))
+    assert rows(got, "log_id", "mid", "ts") == rows(want, "log_id", "mid", "ts") and got.count() > 15
+
+
 def test_a_batch_run_again_says_the_same(spark, tmp_path):
     store, out = PartedStore(str(tmp_path / "seen")), str(tmp_path / "out")
     write = kept.first_seen_writer(store, files.append(out), ("mid",), "logDate", ("ts",), most=2)
