@@ -159,7 +159,8 @@ def base_db_writer(
     (topic, value), dimension changes to ``dim_tables(sink table, key, columns)``, a table with the
     column ``image``: a change sets the columns its route lists.  Every configured dimension is created, also
     before its first row.  ``order`` names the column of the source position (a topic's ``offset``), by which a
-    batch's changes are ordered; without it their place in the input files counts.  ``position`` names the columns that
+    batch's changes are ordered; without it their place in the input files counts.  Offsets order a key's changes only if the
+    topic is keyed, so that they share a partition; from an unkeyed topic give a column that rises with the source's time.  ``position`` names the columns that
     tell a source record from all others (``topic``, ``partition``, ``offset``): the facts then carry a ``message_id`` made of them,
     by which a reader (:func:`millrace.sinks.kafka.once`) leaves out what a batch sent twice.
     """
@@ -167,7 +168,7 @@ def base_db_writer(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         routes = read_routes()
-        # offsets rise within a partition, and a key's changes are in one: the offset alone orders them
+        # offsets rise within a partition: they order the changes of a topic that is keyed by row
         placed = batch.withColumn("seq", F.col(order).cast("long") if order else F.monotonically_increasing_id())
         if position:
             placed = placed.withColumn(MESSAGE_ID, F.concat_ws("/", *[F.col(c).cast("string") for c in position]))
