@@ -6,7 +6,11 @@ this one puts shingles of well-filled counters last, so that passages many texts
 
 *Links.*  Neighbours under a shared shingle are verified first, so that a group of near copies becomes
 one set by links in proportion to its rows.  Then all pairs under a shared shingle that are still in
-different sets are verified.  Verification counts the common shingles of the texts themselves.
+different sets are looked at, and those that their sketches do not rule out are verified.  The rows of a crowded shingle
+are dealt into blocks, so a task holds a bounded number of them.  Verification counts the common shingles of the texts themselves.
+
+*Sketches.*  A bit tells whether an odd number of a set's hashes fall into its bucket.  The bits in which two sketches differ are at most
+the hashes in which the sets differ, and nearly as many, so they bound the common ones from above and lose no pair.
 
 Only components are kept: two texts are in one set exactly when a chain of similar pairs joins them.
 """
@@ -30,6 +34,10 @@ SEED = 42
 COUNTERS = 1 << 17
 # Pairs that a task verifies at once, with the texts they need.
 CHUNK = 2_000
+# Bits of the shortest sketch, by which pairs are ruled out where they meet.
+LEAST_BITS = 1024
+# Rows of one shingle that meet in a task are at most about two times so many.
+CROWD = 500
 
 
 def shingle_set(text: bytes, shingle: int) -> np.ndarray:
@@ -59,18 +67,22 @@ def first_shingles(n: int, similarity: float) -> int:
     return n - int(np.ceil(n * similarity - 1e-9)) + 1
 
 
-def sketch_of(hashes: np.ndarray) -> bytes | None:
-    """Hashes counted in buckets, about four a bucket; none if a count does not fit a byte."""
-    m = 1 << max(4, int(len(hashes) // 4).bit_length())
-    counts = np.bincount((hashes % m).astype(np.int64), minlength=m)
-    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else None
+def sketch_of(hashes: np.ndarray) -> bytes:
+    """A bit a bucket, set where an odd number of hashes fall; at least two buckets a hash."""
+    m = max(LEAST_BITS, 1 << int(2 * len(hashes)).bit_length())
+    odd = np.bincount((hashes % m).astype(np.int64), minlength=m) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
 
+def folded(sketch: bytes, size: int) -> np.ndarray:
+    """The sketch of the same hashes with ``size`` bytes."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint8).reshape(-1, size), axis=0)
 
-def most_common(one: bytes, two: bytes) -> int:
-    """Upper bound of the common hashes of two sets by their sketches; buckets of the larger one are added up to those of the other."""
-    m = 1 << max(4, min(len(one), len(two)).bit_length() - 1)
-    a, b = (np.bincount(np.arange(len(x)) % m, weights=np.frombuffer(x, np.uint8), minlength=m) for x in (one, two))
-    return int(np.minimum(a, b).sum())
+
+def most_common(one: bytes, two: bytes, n: int) -> int:
+    """Upper bound of the common hashes of two sets of ``n`` together, by their sketches."""
+    size = min(len(one), len(two))
+    return int(n - np.bitwise_count(folded(one, size) ^ folded(two, size)).sum()) // 2
 
 
 def set_prints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
@@ -154,21 +166,56 @@ def _shared(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
     return rows.repartition("token").sortWithinPartitions("token", "n", "fp").mapInArrow(met, "token long, fp long, n long, at long")
 
 
+def _briefs(named: DataFrame) -> DataFrame:
+    """``(fp, brief)``: the sketches folded to the shortest size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            short = [folded(x, LEAST_BITS // 8).tobytes() for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(short, pa.binary())], ["fp", "brief"])
+
+    return named.select("fp", "sketch").mapInArrow(run, "fp long, brief binary")
+
+
+def _blocks(rows: DataFrame, crowd: int) -> DataFrame:
+    """Rows (token, fp, n, at, root, brief, held) with ``token`` made a block of it and ``side``.
+
+    ``held`` rows of a token beyond ``crowd`` are dealt into parts, and every two parts meet in one block: rows of side 0 with
+    those of side 1.  Side -1 is one part with itself.  Two blocks with the same hash only make more pairs to look at.
+    """
+    parts = F.ceil(F.col("held") / crowd)
+    dealt = rows.withColumn("own", F.pmod(F.xxhash64("fp"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    side = F.when(F.col("own") == F.col("other"), -1).when(F.col("own") < F.col("other"), 0).otherwise(1).cast("long")
+    block = F.when(F.col("held") <= crowd, F.col("token")).otherwise(F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other")))
+    return dealt.select(block.alias("token"), "fp", "n", "at", "root", side.alias("side"), "brief")
+
+
 def _pairs(similarity: float, most_steps: int | None):
-    """Pairs within runs of equal token, rows (token, fp, n, at, root) in order of token and n; ``most_steps`` next ones only."""
+    """Pairs within runs of equal token, rows (token, fp, n, at, root, side, brief) in order of token and n.
 
-    def fits(rows: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        reach = np.minimum(rows[3, x], rows[3, y]) + np.minimum(rows[2, x] - rows[3, x], rows[2, y] - rows[3, y])
-        return (rows[4, x] != rows[4, y]) & (reach >= least_common(rows[2, x] + rows[2, y], similarity))
+    ``most_steps`` next rows only; rows need no side and brief where there are none.
+    """
 
-    def of(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def fits(rows: np.ndarray, briefs: np.ndarray | None, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        both = rows[2, x] + rows[2, y]
+        least = least_common(both, similarity)
+        reach = np.minimum(rows[3, x], rows[3, y]) + np.minimum(rows[2, x] - rows[3, x], rows[2, y] - rows[3, y])
+        fit = (rows[4, x] != rows[4, y]) & (reach >= least)
+        if briefs is not None:
+            fit &= (rows[5, x] < 0) | (rows[5, x] != rows[5, y])
+            at = np.flatnonzero(fit)
+            apart = np.bitwise_count(briefs[x[at]] ^ briefs[y[at]]).sum(axis=1, dtype=np.int64)
+            fit[at] = (both[at] - apart) // 2 >= least[at]
+        return fit
+
+    def of(rows: np.ndarray, briefs: np.ndarray | None) -> Iterator[pa.RecordBatch]:
         at, step = np.arange(rows.shape[1]), 0
         while len(at) and (most_steps is None or step < most_steps):
             step += 1
             at = at[at + step < rows.shape[1]]
             # sizes rise within a run: what is too large stays so
             at = at[(rows[0, at] == rows[0, at + step]) & (rows[2, at] >= np.floor(rows[2, at + step] * similarity - 1e-9))]
-            use = at[fits(rows, at, at + step)]
+            use = at[fits(rows, briefs, at, at + step)]
             if len(use):
                 a, b = rows[1, use], rows[1, use + step]
                 both = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
@@ -176,27 +223,32 @@ def _pairs(similarity: float, most_steps: int | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: np.ndarray | None = None
+        brief_held: np.ndarray | None = None
         for batch in batches:
-            now = np.stack([batch.column(k).to_numpy() for k in range(5)])
-            rows = now if held is None else np.concatenate([held, now], axis=1)
+            brief = "brief" in batch.schema.names
+            rows = np.stack([batch.column(k).to_numpy() for k in range(5 + brief)])
+            briefs = np.frombuffer(b"".join(batch.column("brief").to_pylist()), np.uint64).reshape(-1, LEAST_BITS // 64) if brief else None
+            if held is not None:
+                rows = np.concatenate([held, rows], axis=1)
+                briefs = np.concatenate([brief_held, briefs]) if brief else None
             cut = int(np.searchsorted(rows[0], rows[0, -1])) if rows.shape[1] else 0  # the last run may go on
-            yield from of(rows[:, :cut])
-            held = rows[:, cut:]
+            yield from of(rows[:, :cut], briefs[:cut] if brief else None)
+            held, brief_held = rows[:, cut:], briefs[cut:] if brief else None
         if held is not None:
-            yield from of(held)
+            yield from of(held, brief_held)
 
     return run
 
 
 def _possible(pairs: DataFrame, named: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose sketches do not rule them out; a pair without a sketch stays."""
+    """The pairs whose sketches do not rule them out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            least = least_common(batch.column(2).to_numpy() + batch.column(3).to_numpy(), similarity)
+            both = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
             keep = [
-                x is None or y is None or most_common(x, y) >= m
-                for x, y, m in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), least.tolist(), strict=True)]
+                most_common(x, y, n) >= m
+                for x, y, n, m in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), both.tolist(), least_common(both, similarity).tolist(), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     one, two = (named.select(F.col("fp").alias(k), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"s{k}")) for k in "ab")
@@ -206,7 +258,7 @@ def _possible(pairs: DataFrame, named: DataFrame, similarity: float) -> DataFram
 def _verified(pairs: DataFrame, rows: DataFrame, named: DataFrame, shingle: int, similarity: float, name: str) -> DataFrame:
     """The pairs that are similar, by their common shingles, written.
 
-    Sketches, a byte for four shingles, rule most pairs out first.  ``CHUNK`` of the others are a task's share; it
+    Sketches, two to four bits a shingle, rule most pairs out first.  ``CHUNK`` of the others are a task's share; it
     gets each of their texts once.
     """
     pairs = written(pairs.distinct(), "pairs", free=True)
@@ -233,11 +285,11 @@ def _verified(pairs: DataFrame, rows: DataFrame, named: DataFrame, shingle: int,
     return found
 
 
-def similar_links(docs: DataFrame, text_col: str, prints: DataFrame, shingle: int, similarity: float) -> DataFrame:
+def similar_links(docs: DataFrame, text_col: str, prints: DataFrame, shingle: int, similarity: float, crowd: int = CROWD) -> DataFrame:
     """``(a, b)`` links of set names whose components are those of all pairs of at least ``similarity``.
 
     ``prints`` are :func:`set_prints`.  Null and empty texts are the empty set, which has no links; repeated rows are one set.  Tables of
-    a step are removed when the next is written.
+    a step are removed when the next is written.  ``crowd`` decides the work of a task, never the result.
     """
     # one text of each set; equal texts are one row
     named = written(prints.groupBy("fp").agg(F.min("mark").alias("mark"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "named", free=True)
@@ -254,8 +306,11 @@ def similar_links(docs: DataFrame, text_col: str, prints: DataFrame, shingle: in
     roots = written(components(links).select(F.col("key").alias("fp"), "root"), "near_roots")
     rooted = written(shared.join(roots, "fp", "left").select("token", "fp", "n", "at", F.coalesce("root", "fp").alias("root")), "rooted", free=True)
     remove(shared)
-    open_ = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
-    rest = ordered(rooted.join(written(open_, "open", free=True), "token", "left_semi")).mapInArrow(_pairs(similarity, None), kinds)
+    open_ = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("held"))
+    open_ = written(open_.where("low < high").select("token", "held"), "open", free=True)
+    met = written(rooted.join(open_, "token"), "met", free=True)
+    rest = ordered(_blocks(met.join(_briefs(named), "fp"), crowd)).mapInArrow(_pairs(similarity, None), kinds)
     far = _verified(rest, rows, named, shingle, similarity, "far_links")
+    remove(met)
     remove(rooted)
     return links.unionByName(far)

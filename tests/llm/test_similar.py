@@ -72,13 +72,33 @@ def test_nulls_and_empty_table(docs):
 
 
 def test_sketches_bound_the_common_hashes():
-    """Never below the truth, whatever the sizes; far below the threshold for unlike sets."""
+    """Never below the truth, whatever the sizes; below the threshold for sets a little less similar than it."""
     rng = np.random.default_rng(6)
-    for n, m in ((1, 1), (10, 400), (500, 500), (500, 620), (3000, 3500), (0, 5)):
-        both = rng.integers(0, 1 << 63, max(n, m) // 2, dtype=np.uint64)
-        one, two = (np.unique(np.concatenate([both[:k // 2], rng.integers(0, 1 << 63, k - k // 2, dtype=np.uint64)])) for k in (n, m))
-        bound = similar.most_common(similar.sketch_of(one), similar.sketch_of(two))
-        assert len(np.intersect1d(one, two)) <= bound <= min(len(one), len(two))
-    unlike = [np.unique(rng.integers(0, 1 << 63, 2000, dtype=np.uint64)) for _ in range(2)]
-    assert similar.most_common(*map(similar.sketch_of, unlike)) < similar.least_common(4000, 0.8)
-    assert similar.sketch_of(np.arange(5000, dtype=np.uint64) << np.uint64(40)) is None
+    random_set = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    for n, m in ((1, 1), (10, 400), (500, 500), (500, 620), (3000, 3500), (0, 5), (0, 0)):
+        both = random_set(max(n, m) // 2)
+        one, two = (np.unique(np.concatenate([both[:k // 2], random_set(k - k // 2)])) for k in (n, m))
+        common = len(np.intersect1d(one, two))
+        assert common <= similar.most_common(similar.sketch_of(one), similar.sketch_of(two), len(one) + len(two)) <= (len(one) + len(two)) // 2
+    for n in (150, 2000, 20_000):
+        both = random_set(int(0.86 * n))  # similarity 0.75
+        one, two = (np.unique(np.concatenate([both, random_set(n - len(both))])) for _ in range(2))
+        assert similar.most_common(similar.sketch_of(one), similar.sketch_of(two), 2 * n) < similar.least_common(2 * n, 0.8)
+    crowded = np.arange(5000, dtype=np.uint64) << np.uint64(40)  # all in one bucket
+    assert similar.most_common(similar.sketch_of(crowded), similar.sketch_of(crowded), 10_000) == 5000
+
+
+def test_folding_is_the_sketch_of_fewer_buckets():
+    hashes = np.unique(np.random.default_rng(2).integers(0, 1 << 63, 9000, dtype=np.uint64))
+    short = np.bincount((hashes % similar.LEAST_BITS).astype(np.int64), minlength=similar.LEAST_BITS) & 1
+    assert similar.folded(similar.sketch_of(hashes), similar.LEAST_BITS // 8).tobytes() == np.packbits(short.astype(np.uint8), bitorder="little").tobytes()
+
+
+@pytest.mark.parametrize("crowd", (1, 3, 7))
+def test_blocks_of_crowded_shingles_lose_nothing(docs, texts, crowd, monkeypatch):
+    """Every run is dealt into blocks, and the groups stay those of brute force."""
+    dealt = similar._blocks
+    monkeypatch.setattr(similar, "_blocks", lambda rows, _: dealt(rows, crowd))
+    top, _ = brute_sets(texts)
+    found = simhash.near_duplicates(docs(*texts), shingle=5, similarity=0.8)
+    assert by_id(found, "doc_id", "component_id") == sorted(enumerate(top), key=str)
