@@ -6,7 +6,8 @@ this one puts shingles of well-filled counters last, so that passages many texts
 
 *Links.*  Neighbours under a shared shingle are verified first, so that a group of near copies becomes
 one set by links in proportion to its rows.  Then all pairs under a shared shingle that are still in
-different sets are looked at, and those that their sketches do not rule out are verified.  The rows of a crowded shingle
+different sets are looked at, and those that their sketches do not rule out are verified.  A pair is told under the first shingle it
+shares, as far as the earlier shingles its rows carry show it.  The rows of a crowded shingle
 are dealt into blocks, so a task holds a bounded number of them.  Verification counts the common shingles of the texts themselves.
 
 *Sketches.*  A bit tells whether an odd number of a set's hashes fall into its bucket.  The bits in which two sketches differ are at most
@@ -23,7 +24,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
@@ -38,6 +39,8 @@ CHUNK = 2_000
 LEAST_BITS = 1024
 # Rows of one shingle that meet in a task are at most about two times so many.
 CROWD = 500
+# Earlier shingles of a set that a row carries, to tell pairs that have met before.
+EARLIER = 8
 
 
 def shingle_set(text: bytes, shingle: int) -> np.ndarray:
@@ -178,7 +181,7 @@ def _briefs(named: DataFrame) -> DataFrame:
 
 
 def _blocks(rows: DataFrame, crowd: int) -> DataFrame:
-    """Rows (token, fp, n, at, root, brief, held) with ``token`` made a block of it and ``side``.
+    """Rows (token, fp, n, at, root, brief, earlier, held) with ``token`` made a block of it and ``side``.
 
     ``held`` rows of a token beyond ``crowd`` are dealt into parts, and every two parts meet in one block: rows of side 0 with
     those of side 1.  Side -1 is one part with itself.  Two blocks with the same hash only make more pairs to look at.
@@ -187,35 +190,40 @@ def _blocks(rows: DataFrame, crowd: int) -> DataFrame:
     dealt = rows.withColumn("own", F.pmod(F.xxhash64("fp"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
     side = F.when(F.col("own") == F.col("other"), -1).when(F.col("own") < F.col("other"), 0).otherwise(1).cast("long")
     block = F.when(F.col("held") <= crowd, F.col("token")).otherwise(F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other")))
-    return dealt.select(block.alias("token"), "fp", "n", "at", "root", side.alias("side"), "brief")
+    return dealt.select(block.alias("token"), "fp", "n", "at", "root", side.alias("side"), "brief", "earlier")
 
 
 def _pairs(similarity: float, most_steps: int | None):
-    """Pairs within runs of equal token, rows (token, fp, n, at, root, side, brief) in order of token and n.
+    """Pairs within runs of equal token, rows (token, fp, n, at, root, side, brief, earlier) in order of token and n.
 
-    ``most_steps`` next rows only; rows need no side and brief where there are none.
+    ``most_steps`` next rows only.  Rows without side, brief and earlier make pairs wherever they meet.  With them a pair counts
+    under the first shingle it shares, where no common one stands before the two places, and is passed over where the earlier
+    shingles show another.
     """
 
-    def fits(rows: np.ndarray, briefs: np.ndarray | None, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    def fits(rows: np.ndarray, told: tuple[np.ndarray, np.ndarray] | None, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         both = rows[2, x] + rows[2, y]
         least = least_common(both, similarity)
-        reach = np.minimum(rows[3, x], rows[3, y]) + np.minimum(rows[2, x] - rows[3, x], rows[2, y] - rows[3, y])
-        fit = (rows[4, x] != rows[4, y]) & (reach >= least)
-        if briefs is not None:
-            fit &= (rows[5, x] < 0) | (rows[5, x] != rows[5, y])
-            at = np.flatnonzero(fit)
-            apart = np.bitwise_count(briefs[x[at]] ^ briefs[y[at]]).sum(axis=1, dtype=np.int64)
-            fit[at] = (both[at] - apart) // 2 >= least[at]
+        reach = np.minimum(rows[2, x] - rows[3, x], rows[2, y] - rows[3, y])
+        if told is None:
+            return (rows[4, x] != rows[4, y]) & (reach + np.minimum(rows[3, x], rows[3, y]) >= least)
+        briefs, earlier = told
+        fit = (rows[4, x] != rows[4, y]) & (reach >= least) & ((rows[5, x] < 0) | (rows[5, x] != rows[5, y]))
+        at = np.flatnonzero(fit)
+        apart = np.bitwise_count(briefs[x[at]] ^ briefs[y[at]]).sum(axis=1, dtype=np.int64)
+        fit[at] = (both[at] - apart) // 2 >= least[at]
+        at = np.flatnonzero(fit)
+        fit[at] = ~(earlier[x[at]][:, :, None] == earlier[y[at]][:, None, :]).any(axis=(1, 2))
         return fit
 
-    def of(rows: np.ndarray, briefs: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    def of(rows: np.ndarray, told: tuple[np.ndarray, np.ndarray] | None) -> Iterator[pa.RecordBatch]:
         at, step = np.arange(rows.shape[1]), 0
         while len(at) and (most_steps is None or step < most_steps):
             step += 1
             at = at[at + step < rows.shape[1]]
             # sizes rise within a run: what is too large stays so
             at = at[(rows[0, at] == rows[0, at + step]) & (rows[2, at] >= np.floor(rows[2, at + step] * similarity - 1e-9))]
-            use = at[fits(rows, briefs, at, at + step)]
+            use = at[fits(rows, told, at, at + step)]
             if len(use):
                 a, b = rows[1, use], rows[1, use + step]
                 both = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
@@ -223,19 +231,23 @@ def _pairs(similarity: float, most_steps: int | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: np.ndarray | None = None
-        brief_held: np.ndarray | None = None
+        told: tuple[np.ndarray, ...] | None = None
         for batch in batches:
-            brief = "brief" in batch.schema.names
-            rows = np.stack([batch.column(k).to_numpy() for k in range(5 + brief)])
-            briefs = np.frombuffer(b"".join(batch.column("brief").to_pylist()), np.uint64).reshape(-1, LEAST_BITS // 64) if brief else None
+            more = "brief" in batch.schema.names
+            rows = np.stack([batch.column(k).to_numpy() for k in range(5 + more)])
+            fresh = None
+            if more:
+                fresh = (
+                    np.frombuffer(b"".join(batch.column("brief").to_pylist()), np.uint64).reshape(-1, LEAST_BITS // 64),
+                    batch.column("earlier").flatten().to_numpy().reshape(-1, EARLIER))
             if held is not None:
                 rows = np.concatenate([held, rows], axis=1)
-                briefs = np.concatenate([brief_held, briefs]) if brief else None
+                fresh = tuple(np.concatenate(two) for two in zip(told, fresh, strict=True)) if more else None
             cut = int(np.searchsorted(rows[0], rows[0, -1])) if rows.shape[1] else 0  # the last run may go on
-            yield from of(rows[:, :cut], briefs[:cut] if brief else None)
-            held, brief_held = rows[:, cut:], briefs[cut:] if brief else None
+            yield from of(rows[:, :cut], tuple(x[:cut] for x in fresh) if more else None)
+            held, told = rows[:, cut:], tuple(x[cut:] for x in fresh) if more else None
         if held is not None:
-            yield from of(held, brief_held)
+            yield from of(held, told)
 
     return run
 
@@ -308,7 +320,10 @@ def similar_links(docs: DataFrame, text_col: str, prints: DataFrame, shingle: in
     remove(shared)
     open_ = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("held"))
     open_ = written(open_.where("low < high").select("token", "held"), "open", free=True)
-    met = written(rooted.join(open_, "token"), "met", free=True)
+    before = Window.partitionBy("fp").orderBy("at").rowsBetween(-EARLIER, -1)
+    # filled up with the set's own name, which no other row carries
+    earlier = F.slice(F.concat(F.collect_list("token").over(before), F.array_repeat("fp", EARLIER)), 1, EARLIER)
+    met = written(rooted.join(open_, "token").withColumn("earlier", earlier), "met", free=True)
     rest = ordered(_blocks(met.join(_briefs(named), "fp"), crowd)).mapInArrow(_pairs(similarity, None), kinds)
     far = _verified(rest, rows, named, shingle, similarity, "far_links")
     remove(met)
