@@ -30,7 +30,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each near-duplicate group."""
+    """The document with the least id of each near-duplicate group: SimHash links, checked exactly, and the similar pairs beyond their radius."""
     return simhash.one_of_each_group(docs, shingle=SHINGLE, similarity=SIMILARITY)
 
 

@@ -192,8 +192,9 @@ def near_duplicates(
     row and never names a group that has another id.  Null and empty texts have fingerprint zero
     and form a group like any other.  ``mark`` is a hash of the text, ``least_mark`` the group's least.  Other columns are not read.
 
-    With ``similarity`` the groups are those of all pairs whose shingle sets have at least that Jaccard similarity,
-    counted exactly; ``fp`` then names the set and ``radius`` is not used: no radius that tables can serve reaches such pairs.
+    With ``similarity`` the groups are those of all pairs whose shingle sets have at least that Jaccard similarity, counted exactly, and ``fp``
+    names the set.  The fingerprints' links within ``radius`` come first and each is verified; pairs that no radius
+    reaches that tables can serve are added by shared shingles (:mod:`millrace.llm.similar`).
     """
     found = fingerprints(docs, id_col, text_col, shingle) if similarity is None else similar.set_prints(docs, id_col, text_col, shingle)
     prints = written(found, "fingerprints")
@@ -201,7 +202,7 @@ def near_duplicates(
     if similarity is None:
         links = near_links(distinct.select("fp"), radius, blocks, in_task)
     else:
-        links = similar.similar_links(docs, text_col, prints, shingle, similarity)
+        links = similar.similar_links(docs, text_col, prints, shingle, similarity, lambda bits: near_links(bits, radius, blocks, in_task))
     sets = components(links).withColumnRenamed("key", "fp")
     rooted = written(distinct.join(sets, "fp", "left").select("fp", "least", "least_mark", F.coalesce("root", "fp").alias("root")), "rooted")
     named = written(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.min("least_mark").alias("least_mark")), "named")

@@ -4,8 +4,8 @@
 ``similarity`` share a shingle among their first ``n - ceil(similarity * n) + 1``.  Any order is right;
 this one puts shingles of well-filled counters last, so that passages many texts hold are rarely among the first.
 
-*Links.*  Neighbours under a shared shingle are verified first, so that a group of near copies becomes
-one set by links in proportion to its rows.  Then all pairs under a shared shingle that are still in
+*Links.*  The links of the SimHash fingerprints come first, each verified.  Then neighbours under a shared shingle that those
+did not link are verified, so that a group of near copies becomes one set by links in proportion to its rows.  Then all pairs under a shared shingle that are still in
 different sets are looked at, and those that their sketches do not rule out are verified.  A pair is told under the first shingle it
 shares, as far as the earlier shingles its rows carry show it.  The rows of a crowded shingle
 are dealt into blocks, so a task holds a bounded number of them.  Verification counts the common shingles of the texts themselves.
@@ -18,7 +18,7 @@ Only components are kept: two texts are in one set exactly when a chain of simil
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -43,15 +43,28 @@ CROWD = 500
 EARLIER = 8
 
 
-def shingle_set(text: bytes, shingle: int) -> np.ndarray:
-    """Different XXH64 hashes of the word shingles of a UTF-8 text, rising; a shorter text is one shingle."""
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """XXH64 hashes of the word shingles of a UTF-8 text in order, repeats included; a shorter text is one shingle."""
     words = text.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
     joined, span = memoryview(b" ".join(words)), min(shingle, len(words))
     ends = [0, *accumulate(len(w) + 1 for w in words)]
     digest, n = xxhash.xxh64_intdigest, max(1, len(words) - shingle + 1)
-    return np.unique(np.fromiter((digest(joined[ends[k]:ends[k + span] - 1], SEED) for k in range(n)), np.uint64, n))
+    return np.fromiter((digest(joined[ends[k]:ends[k + span] - 1], SEED) for k in range(n)), np.uint64, n)
+
+
+def shingle_set(text: bytes, shingle: int) -> np.ndarray:
+    """Different hashes of the word shingles, rising."""
+    return np.unique(shingle_hashes(text, shingle))
+
+
+def majority(hashes: np.ndarray, chunk: int = 1 << 15) -> int:
+    """SimHash fingerprint of shingle hashes, as a signed long: a bit is set if over half of them have it; 0 for none."""
+    ones = np.zeros(64, np.int64)
+    for low in range(0, len(hashes), chunk):
+        ones += np.unpackbits(hashes[low:low + chunk].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(hashes)).view(">i8")[0])
 
 
 def set_key(hashes: np.ndarray) -> int:
@@ -89,19 +102,20 @@ def most_common(one: bytes, two: bytes, n: int) -> int:
 
 
 def set_prints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``(id, mark, fp, n, sketch)`` per row: a hash of the whole text, the name of its shingle set, its size and sketch."""
+    """``(id, mark, fp, n, sketch, bits)`` per row: a hash of the whole text, the name of its shingle set, its size, sketch and SimHash."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t.as_py(), shingle) for t in batch.column(2)]
+            every = [shingle_hashes(t.as_py(), shingle) for t in batch.column(2)]
+            sets = [np.unique(x) for x in every]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array(map(set_key, sets), pa.int64()), pa.array(map(len, sets), pa.int32()),
-                pa.array(map(sketch_of, sets), pa.binary())], ["id", "mark", "fp", "n", "sketch"])
+                pa.array(map(sketch_of, sets), pa.binary()), pa.array(map(majority, every), pa.int64())], ["id", "mark", "fp", "n", "sketch", "bits"])
 
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("mark"), as_bytes(text).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, mark long, fp long, n int, sketch binary")
+    return rows.mapInArrow(run, f"id {kind}, mark long, fp long, n int, sketch binary, bits long")
 
 
 def _levels(texts: DataFrame, shingle: int) -> np.ndarray:
@@ -297,24 +311,43 @@ def _verified(pairs: DataFrame, rows: DataFrame, named: DataFrame, shingle: int,
     return found
 
 
-def similar_links(docs: DataFrame, text_col: str, prints: DataFrame, shingle: int, similarity: float, crowd: int = CROWD) -> DataFrame:
+def fingerprint_pairs(named: DataFrame, near: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``(a, b)``: sets that their SimHash fingerprints link.
+
+    ``named`` has ``(fp, n, bits)`` a set; ``near`` links different fingerprints within its radius.  Sets of one fingerprint
+    are paired with the least of them, and the least ones of two linked fingerprints with each other, so pairs are in proportion to the sets.
+    """
+    sets = named.where("n > 0").select("fp", "bits")
+    least = written(sets.groupBy("bits").agg(F.min("fp").alias("least")), "least_sets")
+    same = sets.join(least, "bits").where("fp <> least").select(F.col("fp").alias("a"), F.col("least").alias("b"))
+    links = near(least.select(F.col("bits").alias("fp")))
+    one, two = (least.select(F.col("bits").alias(k), F.col("least").alias(f"set_{k}")) for k in "ab")
+    linked = links.join(one, "a").join(two, "b").select(F.greatest("set_a", "set_b").alias("a"), F.least("set_a", "set_b").alias("b"))
+    return same.unionByName(linked)
+
+
+def similar_links(
+    docs: DataFrame, text_col: str, prints: DataFrame, shingle: int, similarity: float, near: Callable[[DataFrame], DataFrame],
+    crowd: int = CROWD,
+) -> DataFrame:
     """``(a, b)`` links of set names whose components are those of all pairs of at least ``similarity``.
 
-    ``prints`` are :func:`set_prints`.  Null and empty texts are the empty set, which has no links; repeated rows are one set.  Tables of
+    ``prints`` are :func:`set_prints`, ``near`` links their SimHash fingerprints.  Null and empty texts are the empty set, which has no links; repeated rows are one set.  Tables of
     a step are removed when the next is written.  ``crowd`` decides the work of a task, never the result.
     """
     # one text of each set; equal texts are one row
-    named = written(prints.groupBy("fp").agg(F.min("mark").alias("mark"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "named", free=True)
+    named = written(prints.groupBy("fp").agg(F.min("mark").alias("mark"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bits").alias("bits")), "named", free=True)
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.xxhash64(text).alias("mark"), as_bytes(text).alias("text"))
+    told = _verified(fingerprint_pairs(named, near), rows, named, shingle, similarity, "fingerprint_links")
     shared = written(_shared(rows, shingle, similarity), "first_shingles", free=True)
     kinds = "a long, b long"
 
     def ordered(df: DataFrame) -> DataFrame:
         return df.repartition("token").sortWithinPartitions("token", "n", "fp")
 
-    near = ordered(shared.withColumn("root", F.col("fp"))).mapInArrow(_pairs(similarity, 1), kinds)
-    links = _verified(near, rows, named, shingle, similarity, "near_links")
+    beside = ordered(shared.withColumn("root", F.col("fp"))).mapInArrow(_pairs(similarity, 1), kinds).join(told, ["a", "b"], "left_anti")
+    links = told.unionByName(_verified(beside, rows, named, shingle, similarity, "near_links"))
     roots = written(components(links).select(F.col("key").alias("fp"), "root"), "near_roots")
     rooted = written(shared.join(roots, "fp", "left").select("token", "fp", "n", "at", F.coalesce("root", "fp").alias("root")), "rooted", free=True)
     remove(shared)

@@ -102,3 +102,28 @@ def test_blocks_of_crowded_shingles_lose_nothing(docs, texts, crowd, monkeypatch
     top, _ = brute_sets(texts)
     found = simhash.near_duplicates(docs(*texts), shingle=5, similarity=0.8)
     assert by_id(found, "doc_id", "component_id") == sorted(enumerate(top), key=str)
+
+
+def test_fingerprints_link_first(docs, texts, monkeypatch):
+    """The links of the SimHash fingerprints are checked before any other, and none that holds is left to the shingles."""
+    asked = []
+    verified = similar._verified
+
+    def told(pairs, rows, named, shingle, similarity, name):
+        found = verified(pairs, rows, named, shingle, similarity, name)
+        asked.append((name, {tuple(r) for r in found.collect()}, {r.fp: r.bits for r in named.where("n > 0").collect()}))
+        return found
+
+    monkeypatch.setattr(similar, "_verified", told)
+    simhash.near_duplicates(docs(*texts, "b a", "a b c d"), shingle=5, similarity=0.8).count()
+    assert [name for name, _, _ in asked] == ["fingerprint_links", "near_links", "far_links"]
+    first, others, bits = asked[0][1], asked[1][1] | asked[2][1], asked[0][2]
+    near = {(a, b) for a in bits for b in bits if a > b and ((bits[a] ^ bits[b]) & (2**64 - 1)).bit_count() <= simhash.RADIUS}
+    assert first and first <= near and not first & others
+    shingles = {similar.set_key(s): s for s in (similar.shingle_set((t or "").encode(), 5) for t in texts)}
+    assert bits == {k: simhash.fingerprint(t, 5) - (1 << 64) * (simhash.fingerprint(t, 5) >> 63) for t in [
+        (t or "").encode() for t in [*texts, "b a", "a b c d"]] if (k := similar.set_key(similar.shingle_set(t, 5))) in bits}
+    holds = {(a, b) for a, b in near if a in shingles and b in shingles
+             and len(np.intersect1d(shingles[a], shingles[b])) >= 0.8 * len(np.union1d(shingles[a], shingles[b]))}
+    # the links are a forest, so fewer than the pairs
+    assert first <= holds and len(first) >= len(holds) / 2
