@@ -36,13 +36,14 @@ def decode_connect(
     """
     path = records.withColumn("_path", F.split(topic, r"\."))
     rows = parse_clean(path, CONNECT_VALUE, value, ["_path", *keep]).withColumnRenamed("_path", "path")
-    op = F.lower("op")
-    named = F.try_element_at(F.create_map(*[F.lit(x) for pair in OPERATIONS.items() for x in pair]), op)
+    names = F.create_map(*[F.lit(x) for pair in OPERATIONS.items() for x in pair])
+    # a known code as it stands needs no lower-casing
+    kind = F.coalesce(F.try_element_at(names, "op"), F.try_element_at(names, F.lower("op")), F.lower("op"))
     empty = F.create_map().cast(TEXT_MAP)
     return rows.select(
         F.try_element_at("path", F.lit(2)).alias("database"),
         F.try_element_at("path", F.lit(3)).alias("tableName"),
-        F.coalesce(named, op).alias("type"),
+        kind.alias("type"),
         F.coalesce("after", empty).alias("data"),
         F.coalesce("before", empty).alias("before"),
         *keep,
@@ -90,7 +91,10 @@ def prune(data: Column | str, columns: Column | str) -> Column:
     """Keep the map entries named in a comma list (exact names, not trimmed)."""
     data = F.col(data) if isinstance(data, str) else data
     columns = F.col(columns) if isinstance(columns, str) else columns
-    wanted = F.split(columns, ",")
+    return _kept(data, F.split(columns, ","))
+
+
+def _kept(data: Column, wanted: Column) -> Column:
     return F.map_filter(data, lambda name, _: F.array_contains(wanted, name))
 
 
@@ -106,12 +110,12 @@ def route_by_config(changes: DataFrame, routes: DataFrame) -> DataFrame:
         F.col("operateType").alias("type"),
         "sinkType",
         "sinkTable",
-        "sinkColumns",
+        F.split("sinkColumns", ",").alias("_wanted"),  # once a route, not once an entry
         F.coalesce("sinkPk", F.lit("id")).alias("sinkPk"),
         F.coalesce("sinkExtend", F.lit("")).alias("sinkExtend"),
     )
     routed = changes.join(wanted, ["tableName", "type"], "inner")
-    return routed.withColumn("data", prune("data", "sinkColumns")).drop("sinkColumns")
+    return routed.withColumn("data", _kept(F.col("data"), F.col("_wanted"))).drop("_wanted")
 
 
 def facts(routed: DataFrame) -> DataFrame:

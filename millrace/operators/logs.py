@@ -16,6 +16,7 @@ _DIRTY = "_dirty"
 
 # Stands behind the line in what is parsed; no line can hold it by accident.
 _END = "8d1f6c1e-end-of-line"
+_MARK = "8d1f6c1e-mark"
 
 
 def parse_json(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
@@ -23,22 +24,39 @@ def parse_json(lines: DataFrame, schema: T.StructType, value: str = "value") ->
 
     The parser sees each line once, as an array of the line and a mark: whatever follows the object, or ends it early, moves
     the mark.  Both the fields and the validity are then taken from the binary value.  A field of another shape than the
-    schema's reads as null, and the line stays clean; an object read as text has its names sorted.  A schema with maps (change
-    records) takes its fields by a second reading.  ``inline`` keeps later filters and fields from copying the
+    schema's reads as null, and the line stays clean; an object read as text has its names sorted.  A schema of texts and
+    maps only (change records, flat feeds) is read as records in one go, and numbers in it keep their text.  ``inline`` keeps later filters and fields from copying the
     line's own expression, the parse or the reading of fields below or beside it.
     """
+    if all(isinstance(f.dataType, (T.StringType, T.MapType)) for f in schema):
+        return _flat_records(lines, schema, value)
     both = F.try_parse_json(F.concat(F.lit("["), F.col(value), F.lit(f',"{_END}"]')))
     rows = lines.select("*", _once(both.alias("_both")))
-    if any(isinstance(f.dataType, T.MapType) for f in schema):
-        # the binary value sorts names, and the entries of a map keep the order of the line
-        read = F.from_json(value, schema, {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"})
-        record = F.when(F.col(value).rlike(r"^\s*\{"), read)  # it reads other values as a record of nulls
-    else:
-        record = F.try_variant_get("_both", "$[0]", schema.simpleString())
+    record = F.try_variant_get("_both", "$[0]", schema.simpleString())
     whole = F.coalesce(F.try_variant_get("_both", "$[1]", "string") == _END, F.lit(False))
     return rows.select(*lines.columns, _once(F.when(whole, record).alias("record"))).withColumn(_DIRTY, F.col("record").isNull())
 
 
+def _flat_records(lines: DataFrame, schema: T.StructType, value: str) -> DataFrame:
+    """:func:`parse_json` for a schema of texts and maps, whose entries keep the order of the line (the binary value sorts names).
+
+    One reading too, without a binary value whose fields are cast one by one: the line and a marked object are an array of two records, and nothing else is if the line is one object.
+    A name that is repeated in a map makes the line dirty; of other repeated names the last one counts.
+    """
+    marked = F.concat(F.lit("["), F.col(value), F.lit(f',{{"{_MARK}":"{_END}"}}]'))
+    options = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    both = F.from_json(marked, T.ArrayType(T.StructType([*schema.fields, T.StructField(_MARK, T.StringType())])), options)
+    rows = lines.select("*", _once(both.alias("_both")))
+    line, mark = F.get("_both", F.lit(0)), F.get("_both", F.lit(1))[_MARK]
+    whole = (F.size("_both") == 2) & (mark == _END)
+    for f in schema:
+        if isinstance(f.dataType, T.MapType):
+            names = F.map_keys(line[f.name])
+            whole = whole & F.coalesce(F.size(F.array_distinct(names)) == F.size(names), F.lit(True))
+    record = F.struct(*[line[f.name].alias(f.name) for f in schema])
+    return rows.select(*lines.columns, _once(F.when(whole & line.isNotNull(), record).alias("record"))).withColumn(_DIRTY, F.col("record").isNull())
+
+
 def _once(*columns: Column) -> Column:
     """The columns behind a barrier that no expression is moved or copied through."""
     return F.inline(F.array(F.struct(*columns)))

@@ -480,7 +480,9 @@ def _as_connect_records(t: Tables, rows, name: str, columns: list[str]):
     """Rows as the connector sends inserts: operation code and an image in which every value is text."""
     text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") if c == "create_time" else F.col(c).cast("string")
     image = F.struct(*[text(c).alias(c) for c in columns], F.lit("x").alias("unrouted"))
-    return rows.select(F.lit(f"source.shop.{name}").alias("topic"), F.to_json(F.struct(F.lit("c").alias("op"), image.alias("after"))).alias("value"))
+    # What follows is work on every row, so rows are dealt to all cores first: a file gives few tasks.
+    dealt = rows.select(*columns).repartition(3 * t.spark.sparkContext.defaultParallelism, *columns)
+    return dealt.select(F.lit(f"source.shop.{name}").alias("topic"), F.to_json(F.struct(F.lit("c").alias("op"), image.alias("after"))).alias("value"))
 
 
 @query("cdc_to_order_wide", f"""

@@ -1,8 +1,9 @@
 import json
 
 from millrace.operators import changes
+from millrace.plans.catalogue import QUERIES
 from millrace.schemas import ROUTE
-from tests.conftest import rows
+from tests.conftest import SMALL, rows
 
 
 def change(table, op, data=None, before=None, **extra):
@@ -105,3 +106,20 @@ def test_dim_schema():
     schema = changes.dim_schema("id,name", None)
     assert [(f.name, f.nullable) for f in schema] == [("id", False), ("name", True)]
     assert [f.nullable for f in changes.dim_schema("id,name", "name")] == [True, False]
+
+
+def test_a_change_line_is_read_once(spark, lines):
+    """Validity and fields of change records come from one reading, and a route's columns are split once a route."""
+    text = changes.parse_changes(lines("{}"))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("from_json") == 1 and "parseJson" not in text
+    rows = changes.parse_changes(lines(
+        '{"type":"a","data":{"z":"1","a":2}}', '{"type":"a"},{"type":"b"}', '{"type":"a"}],[{"type":"b"}', '{"type":"a"} x', "[]", "null", None,
+        '{"type":"a"},{"8d1f6c1e-mark":"8d1f6c1e-end-of-line"}', '{"data":{"a":"1","a":"2"}}', '{"type":5,"data":7,"before":{"b":null}}'
+    )).selectExpr("type", "map_keys(data)", "before").collect()
+    assert [tuple(r) for r in rows] == [("a", ["z", "a"], None), ("5", None, {"b": None})]
+
+
+def test_rows_are_dealt_before_they_are_printed(spark):
+    """The JSON work of the change path does not follow the number of files."""
+    text = QUERIES["cdc_to_order_wide"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("REPARTITION_BY_NUM") == 2
