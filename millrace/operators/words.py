@@ -19,6 +19,8 @@ from millrace.functions.text import WORD
 from millrace.operators.logs import is_keyword_search
 
 UNIT = r"[a-z0-9]+|[\p{L}\p{N}]"
+# Units of the longest run that is decided as one stretch.
+WHOLE = 64
 
 
 def runs_of(text: Column | str) -> Column:
@@ -64,16 +66,49 @@ def _best_way(stretch: Column) -> Column:
     return F.transform(F.array(ways), pieces)[0]  # bound to a name, so that it is decided once
 
 
+def _lattice(lines: Column, hits: Column) -> Column:
+    """The stretch of a whole run: its units with the words ``hits`` (at, n, chars) that start there."""
+    return F.transform(lines, lambda u, k: F.struct(
+        k.alias("at"), u.alias("unit"),
+        F.transform(F.filter(hits, lambda h: h["at"] == k), lambda h: F.struct(h["n"].alias("n"), h["chars"].alias("chars"))).alias("ns")))
+
+
+def _whole(cut: DataFrame, listed: DataFrame) -> DataFrame:
+    """Runs (run, _u) as one stretch each: their places are brought together once, by run."""
+    lengths = listed.groupBy("first").agg(F.collect_set("n").alias("lens"))
+    places = cut.select("run", "_u", F.posexplode("_u").alias("at", "unit"))
+    tried = places.join(lengths, F.col("unit") == F.col("first"), "left").select(
+        "run", "at", "_u", F.explode_outer(F.filter("lens", lambda n: n <= F.size("_u") - F.col("at"))).alias("n"))
+    tried = tried.select("run", "at", "n", F.array_join(F.slice("_u", F.col("at") + 1, F.coalesce("n", F.lit(0))), "").alias("_piece"))
+    found = tried.join(listed.select("piece"), F.col("_piece") == F.col("piece"), "left")
+    hit = F.when(F.col("piece").isNotNull(), F.struct("at", "n", F.length("piece").alias("chars")))
+    return found.groupBy("run").agg(F.collect_list(hit).alias("hits"))
+
+
 def segmented(runs: DataFrame, dictionary: DataFrame, run: str = "run", word: str = "word", unit: str = UNIT) -> DataFrame:
     """``(run, words)`` of every different run; ``words`` are its pieces in order.
 
-    Null runs are left out; an empty dictionary cuts a run into its units.
+    Null runs are left out; an empty dictionary cuts a run into its units.  Runs of at most ``WHOLE`` units are one stretch;
+    only longer ones are cut into stretches.
     """
     listed = _listed(dictionary, word, unit)
-    longest = listed.agg(F.max("n")).first()[0] or 1  # bounds what a place carries
-    cut = runs.select(F.lower(run).alias("run")).where("run IS NOT NULL").distinct().withColumn("_u", _units("run", unit)).where(F.size("_u") > 0)
+    cut = runs.select(F.lower(run).alias("run")).where("run IS NOT NULL").distinct()
+    # work on every place of a run: dealt to all cores, however few bytes the runs are
+    cut = cut.repartition(3 * runs.sparkSession.sparkContext.defaultParallelism, "run")
+    cut = cut.withColumn("_u", _units("run", unit)).where(F.size("_u") > 0)
+    short = _whole(cut.where(F.size("_u") <= WHOLE), listed).select("run", F.transform(
+        F.array(_lattice(_units("run", unit), F.col("hits"))), _best_way)[0].alias("words"))
+    pieces = short.unionByName(_in_stretches(cut.where(F.size("_u") > WHOLE), listed))
+    return pieces.select(F.col("run").alias(run), "words")
+
+
+def _in_stretches(cut: DataFrame, listed: DataFrame) -> DataFrame:
+    """``(run, words)`` of runs (run, _u) of any length."""
+    # the longest word bounds what a place carries; one row, joined by a constant
+    longest = listed.agg(F.coalesce(F.max("n"), F.lit(1)).alias("longest")).withColumn("_one", F.lit(1))
+    cut = cut.withColumn("_one", F.pmod(F.length("run"), F.lit(1)) + 1).join(longest, "_one")
     places = cut.select("run", F.posexplode(F.transform("_u", lambda u, k: F.struct(
-        u.alias("unit"), F.slice(F.col("_u"), k + 1, longest).alias("ahead")))).alias("at", "_p")).select("run", "at", "_p.unit", "_p.ahead")
+        u.alias("unit"), F.slice(F.col("_u"), k + 1, F.col("longest")).alias("ahead")))).alias("at", "_p")).select("run", "at", "_p.unit", "_p.ahead")
     lengths = listed.groupBy("first").agg(F.collect_set("n").alias("lens"))
     tried = places.join(lengths, F.col("unit") == F.col("first")).select(
         "run", "at", "ahead", F.explode(F.filter("lens", lambda n: n <= F.size("ahead"))).alias("n"))
@@ -89,7 +124,7 @@ def segmented(runs: DataFrame, dictionary: DataFrame, run: str = "run", word: st
     stretches = lattice.groupBy("run", "stretch").agg(F.array_sort(F.collect_list(F.struct("at", "unit", "ns"))).alias("line"))
     pieces = stretches.select("run", "stretch", F.transform(F.array("line"), _best_way)[0].alias("pieces"))
     return pieces.groupBy("run").agg(F.array_sort(F.collect_list(F.struct("stretch", "pieces"))).alias("all")).select(
-        F.col("run").alias(run), F.flatten(F.transform("all", lambda s: s["pieces"])).alias("words"))
+        "run", F.flatten(F.transform("all", lambda s: s["pieces"])).alias("words"))
 
 
 def smart_words(rows: DataFrame, text: str, dictionary: DataFrame, word: str = "word", unit: str = UNIT) -> DataFrame:
@@ -107,9 +142,22 @@ def smart_words(rows: DataFrame, text: str, dictionary: DataFrame, word: str = "
     return joined.select(*[F.col(f"`{c}`") for c in rows.columns], F.coalesce(words, empty).alias("words"))
 
 
+def run_counts(rows: DataFrame, text: str) -> DataFrame:
+    """``(run, m)``: every different run of the texts with how often it is there.
+
+    The barrier keeps filters and unused columns out of the count, so a query that takes it several times counts once.
+    """
+    runs = rows.select(F.explode(runs_of(text)).alias("run")).groupBy("run").agg(F.count("*").alias("m"))
+    return runs.select(F.inline(F.array(F.struct("run", "m"))))
+
+
 def word_counts(rows: DataFrame, text: str, dictionary: DataFrame, word: str = "word", unit: str = UNIT) -> DataFrame:
     """``(word, ct)`` over all texts.  Runs are counted before they are cut, so a frequent one is cut and joined once."""
-    runs = rows.select(F.explode(runs_of(text)).alias("run")).groupBy("run").agg(F.count("*").alias("m"))
+    return counted_words(run_counts(rows, text), dictionary, word, unit)
+
+
+def counted_words(runs: DataFrame, dictionary: DataFrame, word: str = "word", unit: str = UNIT) -> DataFrame:
+    """``(word, ct)`` over :func:`run_counts`."""
     cut = segmented(runs, dictionary, word=word, unit=unit)
     return runs.join(cut, "run").select(F.explode("words").alias("word"), "m").groupBy("word").agg(F.sum("m").alias("ct"))
 

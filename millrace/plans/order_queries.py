@@ -452,9 +452,9 @@ def search_terms(t: Tables):
     FROM step JOIN run ON run.run = step.run WHERE p < len(lens) GROUP BY 1""")
 def tokenize_smart(t: Tables):
     # The short runs of all documents are the dictionary, and any letter is a unit, so that words overlap everywhere.
-    docs = t.table("documents")
-    short = docs.select(F.explode(words.runs_of("text")).alias("word")).where(F.length("word").between(2, 4)).distinct()
-    return words.word_counts(docs, "text", short, unit=r"[\p{L}\p{N}]")
+    runs = words.run_counts(t.table("documents"), "text")
+    short = runs.where(F.length("run").between(2, 4)).select(F.col("run").alias("word"))
+    return words.counted_words(runs, short, unit=r"[\p{L}\p{N}]")
 
 
 @query("tokenize_dictionary", r"""

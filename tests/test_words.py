@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import words
-from tests.conftest import rows
+from millrace.plans.catalogue import QUERIES
+from tests.conftest import SMALL, rows
 
 
 def brute(run, listed):
@@ -81,3 +82,21 @@ def test_the_dictionary_stays_on_the_executors(spark, size):
     table = spark.range(size).select(F.concat(F.lit("深"), F.col("id").cast("string")).alias("word"))
     df = words.segmented(spark.createDataFrame([("深1",)], "run string"), table)
     assert len(df._jdf.queryExecution().optimizedPlan().toString()) < 30_000
+
+
+def test_texts_are_searched_for_runs_once(spark):
+    """The dictionary and the runs of tokenize_smart come from one count, whose shuffle is used again."""
+    df = QUERIES["tokenize_smart"](spark, SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1
+
+
+def test_short_runs_are_one_stretch(spark, monkeypatch):
+    """Whole or in stretches, a run is cut the same way."""
+    rng = random.Random(4)
+    listed = sorted({"".join(rng.choices("深空灰色移", k=rng.randint(1, 5))) for _ in range(50)})
+    runs = {"".join(rng.choices("深空灰色移x5", k=rng.randint(1, 40))) for _ in range(80)}
+    whole = cut(spark, runs, listed)
+    monkeypatch.setattr(words, "WHOLE", 3)
+    assert cut(spark, runs, listed) == whole
