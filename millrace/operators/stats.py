@@ -110,11 +110,10 @@ def rows_in_one_pass(
     delay: str | None = None,
 ) -> DataFrame:
     """Several kinds of product rows from one read of a source: (kind, when, number, amount) each; ``when`` None is always."""
-    counted = set(_ORDER_COUNTS.values())
     facts = []
     for kind, when, number, amount in kinds:
         fact = F.struct(
-            F.lit(kind).alias("kind"), (F.col(order) if kind in counted else F.lit(None)).cast("long").alias("order_id"),
+            F.lit(kind).alias("kind"), F.col(order).cast("long").alias("order_id"),
             F.lit(0 if number is None else number).cast("long").alias("number"),
             F.lit(0 if amount is None else amount).cast("decimal(16,2)").alias("amount"))
         facts.append(fact if when is None else F.when(when, fact))
@@ -173,28 +172,19 @@ def comment_rows(comments: DataFrame, delay: str | None = None) -> DataFrame:
 
 def product_stats(rows: Iterable[DataFrame], window: str = WINDOW) -> DataFrame:
     """Sums and exact distinct order counts per sku; join dimensions afterwards."""
-    per_order = (
-        _union(rows)
-        .groupBy(F.window("event_time", window), "sku_id", "kind", "order_id")
-        .agg(
-            F.count("*").alias("ct"), F.sum("number").alias("number"), F.sum("amount").alias("amount"),
-            F.max(F.unix_millis("event_time")).alias("ts"),
-        )
+    of = lambda kind, value: F.when(F.col("kind") == kind, value)
+    # One row per order whatever its kinds, so that the rows of one order line travel as one.
+    sums = {
+        **{n: of(kind, 1) for n, kind in _ROW_COUNTS.items()}, **{n: of(kind, F.col("number")) for n, kind in _NUMBER_SUMS.items()},
+        **{n: of(kind, F.col("amount")) for n, kind in _AMOUNT_SUMS.items()},
+    }
+    per_order = _union(rows).groupBy(F.window("event_time", window), "sku_id", "order_id").agg(
+        *[F.sum(value).alias(n) for n, value in sums.items()],
+        *[F.max(of(kind, F.col("order_id").isNotNull().cast("int"))).alias(n) for n, kind in _ORDER_COUNTS.items()],
+        F.max(F.unix_millis("event_time")).alias("ts"),
     )
-
-    def total(column: Column, kinds: dict[str, str]) -> list[Column]:
-        return [
-            F.coalesce(F.sum(F.when(F.col("kind") == kind, column)), F.lit(0)).alias(name)
-            for name, kind in kinds.items()
-        ]
-
     stats = per_order.groupBy("window", "sku_id").agg(
-        *total(F.col("ct"), _ROW_COUNTS),
-        *total(F.col("number"), _NUMBER_SUMS),
-        *total(F.col("amount"), _AMOUNT_SUMS),
-        *[F.count(F.when(F.col("kind") == kind, F.col("order_id"))).alias(n) for n, kind in _ORDER_COUNTS.items()],
-        F.max("ts").alias("ts"),
-    )
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in (*sums, *_ORDER_COUNTS)], F.max("ts").alias("ts"))
     return with_window_bounds(stats)
 
 

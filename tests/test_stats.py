@@ -131,3 +131,16 @@ def test_alert_documents_and_throttle(spark):
     assert [tuple(e) for e in doc.events] == [("addCart", 1), ("coupon", 3)]
     one, = alerts.throttled(found).collect()
     assert one.doc_id == f"m{(T + 500) // 60000}" and one.stt == "2020-12-21 06:52:00"
+
+
+def test_the_rows_of_an_order_line_travel_as_one(spark):
+    """Payment, refund and comment of a line are one row before the first shuffle, and the order of a comment is not counted."""
+    df = spark.range(3).selectExpr("7 AS sku", "id AS o", "timestamp_seconds(100) AS t", "CAST(2 AS decimal(16,2)) AS a")
+    made = stats.rows_in_one_pass(df, "sku", F.col("t"), "o", [
+        ("payment", None, None, F.col("a")), ("refund", F.col("o") == 1, None, F.col("a")), ("comment", None, F.lit(1), None)])
+    got = stats.product_stats([made])
+    row = got.first()
+    assert (row.paid_order_ct, row.refund_order_ct, row.order_ct, row.comment_ct, row.good_comment_ct) == (3, 1, 0, 3, 3)
+    assert (row.payment_amount, row.refund_amount, row.order_amount) == (6, 2, 0)
+    first = [x for x in got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].split("\n") if "hashpartitioning" in x][-1]
+    assert "kind" not in first and "order_id" in first
