@@ -104,9 +104,10 @@ def segmented(runs: DataFrame, dictionary: DataFrame, run: str = "run", word: st
 
 def _in_stretches(cut: DataFrame, listed: DataFrame) -> DataFrame:
     """``(run, words)`` of runs (run, _u) of any length."""
-    # the longest word bounds what a place carries; one row, joined by a constant
-    longest = listed.agg(F.coalesce(F.max("n"), F.lit(1)).alias("longest")).withColumn("_one", F.lit(1))
-    cut = cut.withColumn("_one", F.pmod(F.length("run"), F.lit(1)) + 1).join(longest, "_one")
+    # the longest word bounds what a place carries; one row, joined by a key that is always zero
+    longest = listed.groupBy(F.pmod("n", F.lit(1)).alias("_one")).agg(F.max("n").alias("longest"))
+    cut = cut.withColumn("_one", F.pmod(F.length("run"), F.lit(1))).join(longest, "_one", "left")
+    cut = cut.withColumn("longest", F.coalesce("longest", F.lit(1)))
     places = cut.select("run", F.posexplode(F.transform("_u", lambda u, k: F.struct(
         u.alias("unit"), F.slice(F.col("_u"), k + 1, F.col("longest")).alias("ahead")))).alias("at", "_p")).select("run", "at", "_p.unit", "_p.ahead")
     lengths = listed.groupBy("first").agg(F.collect_set("n").alias("lens"))
