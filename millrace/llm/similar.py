@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.shared import as_bytes, remove, written
+from millrace.llm.shared import as_bytes, remove, slices, written
 
 SEED = 42
 # Counters of the common order: it decides the work, never the result.
@@ -106,7 +106,7 @@ def set_prints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             every = [shingle_hashes(t.as_py(), shingle) for t in batch.column(2)]
             sets = [np.unique(x) for x in every]
             yield pa.RecordBatch.from_arrays([
@@ -141,7 +141,7 @@ def _shared(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
 
     def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies in a task say nothing new; forgotten at a fixed number
-        for batch in batches:
+        for batch in slices(batches):
             out: list[list[np.ndarray]] = [[], [], [], []]
             for t in batch.column(0):
                 hashes = shingle_set(t.as_py(), shingle)
@@ -187,7 +187,7 @@ def _briefs(named: DataFrame) -> DataFrame:
     """``(fp, brief)``: the sketches folded to the shortest size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             short = [folded(x, LEAST_BITS // 8).tobytes() for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(short, pa.binary())], ["fp", "brief"])
 
@@ -270,7 +270,7 @@ def _possible(pairs: DataFrame, named: DataFrame, similarity: float) -> DataFram
     """The pairs whose sketches do not rule them out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             both = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
             keep = [
                 most_common(x, y, n) >= m

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import as_bytes, written
+from millrace.llm.shared import as_bytes, slices, written
 
 TRIPLE = 3
 REACH = 6      # letters that a triple may stretch over
@@ -33,6 +33,7 @@ NEAR = 0.45    # likeness below which a word is not like a landmark at all
 WIDTH = 0.15   # of the Gaussian over the distance between words
 LANDMARKS = 160
 PER_CLASS = 5_000
+HELD = 50_000  # words of texts, repeats included, that a reader holds at once; one text is always held whole
 _LETTERS = 32
 
 # Single letters with one to three characters between them that are no letters; on ASCII both patterns say the same.
@@ -169,12 +170,13 @@ class Reader:
         while low < len(texts):  # so many texts at a time that their words fit the memory
             if len(self.seen) > self.most:
                 self.seen, self.near = set(), {}
-            unseen, read = set(), []
-            while low < len(texts) and len(unseen) < 50_000:
+            unseen, read, held = set(), [], 0
+            while low < len(texts) and held < HELD:
                 words = words_of(texts[low])
                 distinct = set(words)
                 unseen |= distinct - self.seen
                 read.append((words, distinct))
+                held += len(words)
                 low += 1
             self.learn(unseen)
             for words, distinct in read:
@@ -294,7 +296,7 @@ def train(
         return nothing
 
     def taught_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             words, toxic = [], []
             for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 own = {p for w in set(words_of(text.as_py())) for p in pieces(_plain(w)) if len(p) >= TRIPLE}
@@ -312,7 +314,7 @@ def train(
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(Landmarks(chosen))
-        for batch in batches:
+        for batch in slices(batches):
             found = [d.tolist() for d in reader.describe([t.as_py() for t in batch.column(0)])]
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(found, pa.list_(pa.float32()))], ["toxic", "labelled", "x"])
 

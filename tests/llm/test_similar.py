@@ -5,8 +5,9 @@ import random
 import pytest
 
 import numpy as np
+import pyarrow as pa
 
-from millrace.llm import simhash, similar
+from millrace.llm import shared, simhash, similar
 from tests.llm.conftest import by_id
 
 
@@ -127,3 +128,19 @@ def test_fingerprints_link_first(docs, texts, monkeypatch):
              and len(np.intersect1d(shingles[a], shingles[b])) >= 0.8 * len(np.union1d(shingles[a], shingles[b]))}
     # the links are a forest, so fewer than the pairs
     assert first <= holds and len(first) >= len(holds) / 2
+
+
+def test_steps_take_batches_in_slices(docs, monkeypatch):
+    """What a worker makes of a batch does not grow with the batch, and no row is lost."""
+    steps, df = [], docs("a b c d e f")
+    kept = type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, run, *kind: steps.append(run) or kept(self, run, *kind))
+    similar.set_prints(df, "doc_id", "text", 5)
+    n = 3 * shared.SLICE + 1
+    batch = pa.RecordBatch.from_arrays([
+        pa.array(range(n)), pa.array(range(n)), pa.array([b"some words of text number %d" % k for k in range(n)])], ["id", "mark", "text"])
+    out = list(steps[0](iter([batch, batch.slice(0, 0)])))
+    assert [b.num_rows for b in out] == [shared.SLICE] * 3 + [1]
+    assert [k for b in out for k in b.column(0).to_pylist()] == list(range(n))
+    named = [similar.set_key(similar.shingle_set(t.as_py(), 5)) for t in batch.column(2)]
+    assert [k for b in out for k in b.column(2).to_pylist()] == named

@@ -111,3 +111,16 @@ def test_gapped_and_inserted_letters_stay_near():
 def test_spaced_insults_are_one_word(text):
     assert b"idiot" in toxicity.words_of(text.encode())
     assert b"\xd0\xb4\xd1\x83\xd1\x80\xd0\xb0" in toxicity.words_of("\u0434 \u0443 \u0440 \u0430".encode())
+
+
+def test_a_reader_holds_few_words_at_once(rows, monkeypatch):
+    """Known words must not let a whole batch of texts be held as words."""
+    read = []
+    words_of = toxicity.words_of
+    monkeypatch.setattr(toxicity, "words_of", lambda text: read.append(len(found := words_of(text))) or found)
+    first = next(toxicity.Reader(toxicity.Landmarks(BAD)).describe([b"grumblefink said it " * 100] * 2_000))
+    assert first[-1] > 0 and sum(read) <= toxicity.HELD + 300
+    texts = [t.encode() for _, t, _ in rows]
+    whole = list(toxicity.Reader(toxicity.Landmarks(BAD)).describe(texts))
+    monkeypatch.setattr(toxicity, "HELD", 20)
+    assert np.allclose(whole, list(toxicity.Reader(toxicity.Landmarks(BAD)).describe(texts)))
